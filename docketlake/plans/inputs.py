@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from docketlake.schemas import ACTION_ELEMENT
 from docketlake.session import configure
+from docketlake.sources.files import spread
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings "
@@ -157,14 +158,20 @@ def _expand(sql: str, table) -> str:
     return _NAME.sub(put, sql)
 
 
+# Inputs whose rows are costly to work on: whole texts and nested documents.
+_COSTLY = {"documents", "pages", "s_digests", "s_responses", "s_nested_base"}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return configure(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+    df = configure(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(df) if name in _COSTLY else df
 
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """An input view as a DataFrame."""
     sql = _expand(VIEWS[name], lambda t: f"parquet.`{sf_dir}/{t}.parquet`")
-    return configure(spark).sql(sql)
+    df = configure(spark).sql(sql)
+    return spread(df) if name in _COSTLY else df
 
 
 def oracle(sql: str) -> str:

@@ -25,7 +25,7 @@ def _html_to_text_sql(column: str) -> str:
         '</?(p|div|br|li|tr|h[1-6])[^>]*>', chr(10), 'gi'), '<[^>]+>', '', 'g')"""
     decoded = tags
     for entity, char in (("&quot;", "'\"'"), ("&copy;", "'©'"), ("&middot;", "'·'"), ("&amp;", "'&'")):
-        decoded = f"replace({decoded}, '{entity}', {char})"
+        decoded = f"regexp_replace({decoded}, '{entity}?', {char}, 'g')"
     return f"""array_to_string(list_filter(list_transform(
         string_split_regex({decoded}, '{_BREAKS}'), lambda x: trim(x, {_SPACES})), lambda x: x <> ''), chr(10))"""
 

@@ -30,6 +30,15 @@ def raw_files(spark: SparkSession, root: str, year: int | None = None) -> DataFr
     return files.select("path", "length", urls.year_folder(F.col("path")).alias("year_dir"), "content")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores for costly per-row work on a scan with fewer splits than cores.
+
+    A scan of large data has more splits than there are cores and is left alone.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def balanced(df: DataFrame, *partition_by: str) -> DataFrame:
     """Few large files per partition folder; a hot folder is split over many tasks."""
     return df.hint("rebalance", *partition_by)
