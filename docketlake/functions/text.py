@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-# Python's str.isspace: Unicode White_Space plus the four ASCII separators.
-SPACE = r"[\s\x1c-\x1f]"
-# Python's str.splitlines boundaries, and the whitespace that is none of them.
-_BREAKS = r"\n\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029"
-_INLINE_SPACE = rf"[\s\x1f&&[^{_BREAKS}]]"
+# Fixed values. Python's str.isspace: Unicode White_Space and the ASCII separators;
+# str.splitlines breaks lines at some of them.
+BREAKS = "\n\r\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029"
+SPACES = BREAKS + "\t\x1f \xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u202f\u205f\u3000"
+SPACE = f"[{SPACES}]"
 
 # Headings that mark an enforcement section, tolerant of OCR errors.
 # Three strict headings whose words may be split over lines, then three loose
@@ -21,8 +21,9 @@ SECTION_PATTERNS = [
     r"C[I1L|!]V[I1L|!]L.*?PROCEED",
     r"CR[I1L|!]M.*?PROCEED",
 ]
-# i: ignore case, u: also outside ASCII, d: only \n ends a line, U: Unicode \s.
-_FLAGS = "(?iudU)"
+# i: ignore case, u: also outside ASCII, d: only \n ends a line.
+_FLAGS = "(?iud)"
+_COMMON_PART = r"PR[O0Q][C(]EED"
 CONTEXT_CHARS = 50
 # The shortest possible section match ("CRIM" + "PROCEED").
 _SHORTEST_MATCH = 11
@@ -34,8 +35,8 @@ def let(value: Column, body) -> Column:
 
 
 def py_strip(c: Column) -> Column:
-    """Strip Unicode whitespace on both sides (linear in the text)."""
-    return F.regexp_replace(c, rf"(?U)\A{SPACE}++|(?<!{SPACE}){SPACE}++\z", "")
+    """Strip Unicode whitespace on both sides; looks at the ends only."""
+    return F.trim(c, F.lit(SPACES))
 
 
 def decode_bytes(content: Column) -> Column:
@@ -52,21 +53,18 @@ def line_count(c: Column) -> Column:
 
 
 def nonempty_lines(c: Column) -> Column:
-    """Split into lines, strip each, drop the empty ones, join with ``\\n``.
-
-    One replacement instead of an array of lines: a run of whitespace that holds
-    a line break becomes one ``\\n``, then the ends are stripped.
-    """
-    run = rf"(?U)(?<!{_INLINE_SPACE}){_INLINE_SPACE}*+[{_BREAKS}]{SPACE}*+"
-    return py_strip(F.regexp_replace(c, run, "\n"))
+    """Split into lines, strip each, drop the empty ones, join with ``\\n``."""
+    lines = F.transform(F.split(c, f"[{BREAKS}]", -1), py_strip)
+    return F.array_join(F.filter(lines, lambda line: line != ""), "\n")
 
 
 def has_section(c: Column) -> Column:
-    """True when any of the six section patterns occurs."""
-    hit = c.rlike(_FLAGS + SECTION_PATTERNS[0])
-    for pattern in SECTION_PATTERNS[1:]:
-        hit = hit | c.rlike(_FLAGS + pattern)
-    return hit
+    """True when any of the six section patterns occurs.
+
+    All six contain the word of ``_COMMON_PART``: a text without it is rejected in
+    one cheap pass.
+    """
+    return c.rlike(_FLAGS + _COMMON_PART) & c.rlike(_FLAGS + "|".join(SECTION_PATTERNS))
 
 
 def section_contexts(c: Column) -> Column:

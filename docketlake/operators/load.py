@@ -164,11 +164,13 @@ def flatten_actions(digests: DataFrame, start: Column | int | None = None) -> Da
     the rows also get their id.
     """
     keep = [c for c in digests.columns if c not in ("actions", "has_enforcement_actions")]
-    rows = digests.select(*keep, F.posexplode("actions").alias("pos", "_a"))
-    fields = [F.col(f"_a.{f}").alias(f) for f in _ACTION_FIELDS]
-    ids = [] if start is None else [(F.col("actions_offset") + F.col("pos") + start).alias("id")]
+    # Only the action's own fields leave the array, so child lists are not copied.
+    slim = F.transform("actions", lambda a, i: F.struct(
+        i.alias("pos"), *[a[f].alias(f) for f in _ACTION_FIELDS]))
+    rows = digests.select(*keep, F.explode(slim).alias("_a"))
+    ids = [] if start is None else [(F.col("actions_offset") + F.col("_a.pos") + start).alias("id")]
     keep = [c for c in keep if not c.endswith("_offset")]
-    return rows.select(*ids, *keep, "pos", *fields)
+    return rows.select(*ids, *keep, "_a.*")
 
 
 def flatten_children(digests: DataFrame, kind: str, action_start: Column | int | None = None,
@@ -199,9 +201,9 @@ def action_profile(digests: DataFrame) -> DataFrame:
     """Number of respondents, violations and sanctions of every action."""
     keep = [c for c in digests.columns
             if c not in ("actions", "has_enforcement_actions", "extraction_notes")]
-    rows = digests.select(*keep, F.posexplode("actions").alias("pos", "_a"))
-    return rows.select(*keep, "pos",
-                       *[F.coalesce(F.size(f"_a.{k}"), F.lit(0)).alias(f"n_{k}") for k in CHILDREN])
+    counts = F.transform("actions", lambda a, i: F.struct(i.alias("pos"), *[
+        F.coalesce(F.size(a[k]), F.lit(0)).alias(f"n_{k}") for k in CHILDREN]))
+    return digests.select(*keep, F.explode(counts).alias("_a")).select(*keep, "_a.*")
 
 
 # --- integrity ---------------------------------------------------------------

@@ -132,8 +132,7 @@ def _sections_sql() -> str:
 
 @query("prefilter_sections", _sections_sql())
 def prefilter_sections(spark, sf):
-    found = view(spark, sf, "s_digests").where(X.has_section(F.col("text")))
-    return found.select("doc_id", F.posexplode(X.section_contexts(F.col("text"))).alias("pos", "section"))
+    return view(spark, sf, "s_digests").select("doc_id", F.posexplode(X.section_contexts(F.col("text"))).alias("pos", "section"))
 
 
 @query("prefilter_tally", f"""
