@@ -47,13 +47,14 @@ def prompts(texts: DataFrame, template: str = DEFAULT_TEMPLATE) -> DataFrame:
 
 def call_extractor(work: DataFrame, make_client: Callable[[], Callable[[str], str]],
                    key: str = "digest_date", max_tries: int = MAX_TRIES,
-                   initial_delay: float = INITIAL_DELAY) -> DataFrame:
+                   initial_delay: float = INITIAL_DELAY, concurrency: int | None = None) -> DataFrame:
     """Call a caller-supplied function for every prompt and log each try.
 
     ``make_client`` runs once per task and returns ``prompt -> answer``. An
     exception with a ``status_code`` in the retryable set is tried again after a
-    growing delay; any other ends the tries for that prompt. The only place of the
-    package where Python code runs in the tasks.
+    growing delay; any other ends the tries for that prompt. ``concurrency`` spreads
+    the prompts over that many tasks, which bounds how many run at once. The only
+    place of the package where Python code runs in the tasks.
     """
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         ask = make_client()
@@ -76,6 +77,8 @@ def call_extractor(work: DataFrame, make_client: Callable[[], Callable[[str], st
             yield out
 
     slim = work.select(F.col(key).cast("string").alias("prompt_key"), "prompt")
+    if concurrency is not None:
+        slim = slim.repartition(concurrency)
     return slim.mapInPandas(run, CALL_LOG)
 
 

@@ -74,12 +74,13 @@ def not_loaded(digests: DataFrame, loaded_dates: DataFrame) -> DataFrame:
 def load_stats(classified: DataFrame) -> DataFrame:
     """One row of counts of a load run."""
     o = F.col("load_outcome")
+    n_actions = F.col("n_actions") if "n_actions" in classified.columns else F.size("actions")
     return classified.agg(
         F.count_if(o == "loaded").alias("loaded"),
         F.count_if(o == "skipped_existing").alias("skipped_existing"),
         F.count_if(o == "no_actions").alias("no_actions"),
         F.count_if(o == "error").alias("errors"),
-        F.coalesce(F.sum(F.when(o == "loaded", F.size("actions"))), F.lit(0)).alias("total_actions"),
+        F.coalesce(F.sum(F.when(o == "loaded", n_actions)), F.lit(0)).alias("total_actions"),
     )
 
 
@@ -93,21 +94,21 @@ def repeated_dates(classified: DataFrame) -> DataFrame:
 
 # --- surrogate ids -----------------------------------------------------------
 
-def digest_sizes(digests: DataFrame, order: list[str]) -> DataFrame:
-    """Rows that every digest will add to each table."""
+def with_sizes(digests: DataFrame) -> DataFrame:
+    """Adds the number of rows that every digest brings to each table."""
     def children(name: str) -> Column:
         return F.aggregate("actions", F.lit(0),
                            lambda n, a: n + F.coalesce(F.size(a[name]), F.lit(0)))
 
-    return digests.select(
-        *order, F.size("actions").alias("n_actions"),
-        *[children(c).alias(f"n_{c}") for c in CHILDREN],
-    )
+    sizes = {"n_actions": F.size("actions"), **{f"n_{c}": children(c) for c in CHILDREN}}
+    return digests.withColumns(sizes)
 
 
 def running_offsets(sizes: DataFrame, order: list[str]) -> DataFrame:
     """For each digest, the number of rows that all digests before it add.
 
+    ``sizes`` has the columns of :func:`with_sizes`; ``order`` must be unique.
+
     A prefix sum without a global window: the small rows are range-partitioned by
     the load order and checkpointed, which fixes which partition holds what; the
     totals of the partitions (one row each) are summed up in order and broadcast;
@@ -116,7 +117,7 @@ def running_offsets(sizes: DataFrame, order: list[str]) -> DataFrame:
     shared_dir(sizes.sparkSession)  # makes sure that there is a checkpoint folder
     counts = [f"n_{k}" for k in KINDS]
     parts = (
-        sizes.repartitionByRange(*order).withColumn("_part", F.spark_partition_id())
+        sizes.select(*order, *counts).repartitionByRange(*order).withColumn("_part", F.spark_partition_id())
         .checkpoint()
     )
     by_part = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
@@ -131,16 +132,9 @@ def running_offsets(sizes: DataFrame, order: list[str]) -> DataFrame:
     )
 
 
-def with_offsets(digests: DataFrame, order: list[str], key: str | None = None) -> DataFrame:
-    """Digests with their offsets.
-
-    ``order`` fixes the load order and must be unique; where ``key`` alone
-    identifies a digest, the offsets are joined by it.
-    """
-    offsets = running_offsets(digest_sizes(digests, order), order)
-    if key is not None:
-        offsets = offsets.drop(*[c for c in order if c != key])
-    return digests.join(offsets, order if key is None else key)
+def with_offsets(digests: DataFrame, order: list[str]) -> DataFrame:
+    """Digests with their offsets in the load order, whose columns identify a digest."""
+    return digests.join(running_offsets(with_sizes(digests), order), order)
 
 
 def next_ids(tables: dict[str, DataFrame]) -> DataFrame:

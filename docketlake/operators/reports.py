@@ -39,11 +39,18 @@ def unique_respondents(respondents: DataFrame, approximate: bool = False) -> Dat
 
 
 def settlement_rate(actions: DataFrame) -> DataFrame:
-    """Settled actions among those that say whether they were settled."""
-    return actions.agg(
-        F.count_if("settlement").alias("settled"), F.count("settlement").alias("total")
-    ).withColumn("rate", F.try_divide(F.col("settled"), F.col("total"))).withColumn(
-        "label", percent_label(F.col("rate")))
+    """Settled actions among those that say whether they were settled.
+
+    The label is ``—`` when none says so; an empty table has no numbers at all.
+    """
+    def rows(condition: Column) -> Column:
+        return F.sum(F.when(condition, 1).otherwise(0))
+
+    sums = actions.agg(rows(F.col("settlement")).alias("settled"),
+                       rows(F.col("settlement").isNotNull()).alias("total"))
+    rate = F.try_divide(F.col("settled"), F.col("total"))
+    return sums.withColumn("rate", rate).withColumn(
+        "label", F.when(F.col("total").isNotNull(), percent_label(rate)))
 
 
 def actions_by_month(actions: DataFrame) -> DataFrame:

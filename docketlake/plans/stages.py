@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from docketlake.operators import extraction as E, load as L, manifest as M, parsing as P
+from docketlake.functions import urls
+from docketlake.operators import extraction as E, load as L, manifest as M, parsing as P, reports as R
 from docketlake.schemas import MANIFEST, PARSING
 from docketlake.session import configure, scratch_path
 from docketlake.sources import files, tables as T
@@ -54,11 +55,8 @@ def parse_year(spark: SparkSession, base: str, raw_root: str, year: int,
     staged = scratch_path(spark, "parsed")
     parsed.write.parquet(staged)
     parsed = spark.read.parquet(staged)
-
-    from docketlake.functions.urls import digest_date_from_name, text_path as out_path
-
     skipped = P.mark_existing(
-        raw.select("path", out_path(F.col("path"), "markdown").alias("out_path")), done,
+        raw.select("path", urls.text_path(F.col("path"), "markdown").alias("out_path")), done,
         "path", "markdown_length"
     ).select("path", "out_path", F.col("status").alias("parsing_status"),
              F.lit(None).cast("int").alias("page_count"), "markdown_length",
@@ -66,7 +64,7 @@ def parse_year(spark: SparkSession, base: str, raw_root: str, year: int,
     new = P.to_results(parsed.select(*skipped.columns).unionByName(skipped),
                        F.current_timestamp().cast("timestamp_ntz"))
     texts = parsed.where(F.col("parsing_status") == "completed").select(
-        F.col("path").alias("pdf_path"), digest_date_from_name(F.col("path")).alias("digest_date"),
+        F.col("path").alias("pdf_path"), urls.digest_date_from_name(F.col("path")).alias("digest_date"),
         "text", F.lit(year).alias("year"))
     old = T.read_or_empty(spark, result_path, f"{PARSING}, year INT").where(
         F.col("year") == year).drop("year")
@@ -79,19 +77,27 @@ def parse_year(spark: SparkSession, base: str, raw_root: str, year: int,
 
 
 def extract_texts(spark: SparkSession, base: str, make_client: Callable[[], Callable[[str], str]],
-                  year: int | None = None, limit: int | None = None) -> DataFrame:
-    """Extract the pending digests, store their records, return the outcomes."""
+                  year: int | None = None, limit: int | None = None, retry_failed: bool = False,
+                  concurrency: int | None = None) -> DataFrame:
+    """Extract the pending digests, store their records, return the outcomes.
+
+    Digests whose extraction failed have a record and are left alone, unless
+    ``retry_failed``. Those in error have none and are tried again.
+    """
     configure(spark)
     texts = files.read_texts(spark, f"{base}/digest_text", year)
     record_path = f"{base}/extractions"
     if files.path_exists(spark, record_path):
-        done = files.read_extractions(spark, record_path).select("digest_date")
+        done = files.read_extractions(spark, record_path)
+        if retry_failed:
+            done = done.where(L.has_actions() | ~F.col("has_enforcement_actions"))
+        done = done.select("digest_date")
     else:
         done = spark.createDataFrame([], "digest_date DATE")
     work = E.prompts(E.pending_digests(texts, done, limit=limit)).select("digest_date", "prompt")
     # The calls are costly: their log is written once and read from there on.
     staged = scratch_path(spark, "calls")
-    E.call_extractor(work, make_client).write.parquet(staged)
+    E.call_extractor(work, make_client, concurrency=concurrency).write.parquet(staged)
     log = spark.read.parquet(staged)
     day = F.col("prompt_key").cast("date")
     answered = log.where(F.col("http_status") == 200).select(
@@ -125,32 +131,39 @@ def load_records(spark: SparkSession, base: str, digests: DataFrame, order: list
         dates = existing["enforcement_actions"].where(~F.col("year").isin(replace_years))
     else:
         dates = existing["enforcement_actions"]
+    # Written once: the row number stays with its record from here on, and the
+    # sizes can be read without the nested columns.
     staged = scratch_path(spark, "load")
-    # The row number is written down, so it stays with its record from here on.
-    L.classify(digests, dates).withColumn("_row", F.monotonically_increasing_id()).write.parquet(staged)
+    L.with_sizes(L.classify(digests, dates)).withColumn(
+        "_row", F.monotonically_increasing_id()).write.parquet(staged)
     classified = spark.read.parquet(staged)
-    stats = L.load_stats(classified).first()
-    if replace_years and stats.loaded == 0:
+    stats = L.load_stats(classified)
+    counts = spark.createDataFrame([stats.first()], stats.schema)
+    loaded = counts.first().loaded
+    if replace_years and loaded == 0:
         raise ValueError("nothing to load in place of the stored years")
-    counts = spark.createDataFrame([stats], L.load_stats(classified).schema)
-    if stats.loaded == 0:
+    if loaded == 0:
         return counts
 
     ids = L.next_ids(existing).first().asDict()
-    chosen = classified.where(F.col("load_outcome") == "loaded").select(
-        "_row", *order, *[c for c in ("digest_date", "has_enforcement_actions", "actions",
-                              "extraction_notes") if c not in order])
+    chosen = classified.where(F.col("load_outcome") == "loaded")
     offsets_path = scratch_path(spark, "offsets")
-    L.with_offsets(chosen, [*order, "_row"], "_row").write.parquet(offsets_path)
-    chosen = spark.read.parquet(offsets_path).withColumn("year", F.year("digest_date"))
+    L.running_offsets(chosen, [*order, "_row"]).drop(*order).write.parquet(offsets_path)
+    offsets = spark.read.parquet(offsets_path)
+    chosen = chosen.select("_row", "digest_date", F.year("digest_date").alias("year"), "actions",
+                           "extraction_notes")
+
+    def placed(*kinds: str) -> DataFrame:
+        return chosen.join(offsets.select("_row", *[f"{k}_offset" for k in kinds]), "_row")
+
     start = ids["enforcement_actions"]
-    actions = L.flatten_actions(chosen, start).withColumn(
+    actions = L.flatten_actions(placed("actions"), start).withColumn(
         "created_at", F.current_timestamp().cast("timestamp_ntz"))
     out = {"enforcement_actions": actions.select(
         "id", "digest_date", "action_type", "title", "settlement", "court", "case_number",
         "release_number", "full_text", "extraction_notes", "created_at", "year")}
     for kind, fields in L.CHILDREN.items():
-        out[kind] = L.flatten_children(chosen, kind, start, ids[kind]).select(
+        out[kind] = L.flatten_children(placed("actions", kind), kind, start, ids[kind]).select(
             "id", "action_id", *fields, "year")
     T.publish_load(spark, base, out, counts, replace_years)
     return counts
@@ -175,3 +188,32 @@ def load_extractions(spark: SparkSession, base: str, year: int | None = None,
     # record's content breaks ties between records of one date.
     keyed = records.withColumn("record_hash", F.xxhash64("actions", "extraction_notes"))
     return load_records(spark, base, keyed, ["digest_date", "record_hash"], years)
+
+
+def dashboard(spark: SparkSession, base: str) -> dict[str, DataFrame]:
+    """Every report over the stored tables; a table that is not there counts as empty."""
+    configure(spark)
+    t = T.enforcement_tables(spark, base)
+    actions, respondents = t["enforcement_actions"], t["respondents"]
+    manifest = T.read_or_empty(spark, f"{base}/download_manifest", MANIFEST)
+    parsing = T.read_or_empty(spark, f"{base}/parsing_results", PARSING)
+    return {
+        "total_actions": R.total(actions),
+        "digests_parsed": R.digests_parsed(parsing),
+        "unique_respondents": R.unique_respondents(respondents),
+        "settlement_rate": R.settlement_rate(actions),
+        "actions_by_month": R.actions_by_month(actions).orderBy("month"),
+        "action_types": R.action_types(actions),
+        "sanction_types": R.sanction_types(t["sanctions"]),
+        "entity_types": R.entity_types(respondents),
+        "top_respondents": R.top_respondents(respondents),
+        "top_statutes": R.top_statutes(t["violations"]),
+        "settlement_by_type": R.settlement_by_type(actions),
+        "files_on_disk": R.files_on_disk(manifest),
+        "years_in_manifest": R.years_in_manifest(manifest),
+        "parse_failures": R.parse_failures(parsing),
+        "coverage_by_year": R.coverage_by_year(manifest).orderBy("year"),
+        "parse_quality": R.parse_quality(parsing, manifest),
+        "manifest_summary": M.manifest_summary(manifest),
+        "parse_summary": P.parse_summary(parsing),
+    }

@@ -18,7 +18,7 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 
 def raw_files(spark: SparkSession, root: str, year: int | None = None) -> DataFrame:
-    """Digest files below ``root/YYYY``: path, size, year folder, content.
+    """Digest files below ``root/YYYY``: path (from ``root`` on), size, year folder, content.
 
     One level of folders, case-sensitive suffixes; a missing folder is empty.
     """
@@ -27,7 +27,8 @@ def raw_files(spark: SparkSession, root: str, year: int | None = None) -> DataFr
     if not path_exists(spark, folder):
         return spark.createDataFrame([], "path STRING, length BIGINT, year_dir STRING, content BINARY")
     files = spark.read.format("binaryFile").option("ignoreMissingFiles", True).load(pattern)
-    return files.select("path", "length", urls.year_folder(F.col("path")).alias("year_dir"), "content")
+    path = F.concat(F.lit(f"{root}/"), F.regexp_extract("path", r"([^/]*/[^/]*)$", 1))
+    return files.select(path.alias("path"), "length", urls.year_folder(F.col("path")).alias("year_dir"), "content")
 
 
 def spread(df: DataFrame) -> DataFrame:
@@ -67,19 +68,22 @@ def read_extractions(spark: SparkSession, path: str, year: int | None = None,
                      whole_files: bool = False, extra: str = "") -> DataFrame:
     """Nested records with the schema of a digest.
 
-    ``whole_files`` reads one pretty-printed object per file. A record that cannot
-    be read keeps its text in ``_corrupt``; ``_path`` names the file it came from.
-    ``extra`` adds columns (DDL) that the records carry besides the digest's own.
+    ``whole_files`` reads one pretty-printed object per file, in plain year folders
+    (``1999/x.json``) instead of partition folders. A record that cannot be read
+    keeps its text in ``_corrupt``; ``_path`` names the file it came from. ``extra`` adds columns (DDL)
+    that the records carry besides the digest's own.
     """
-    source = path if year is None else f"{path}/year={year}"
+    if whole_files:
+        source = f"{path}/{'*' if year is None else year}"
+    else:
+        source = path if year is None else f"{path}/year={year}"
     fields = ", ".join(filter(None, [DIGEST, extra, "_corrupt STRING"]))
     reader = (
         spark.read.schema(fields)
         .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt")
         .option("multiLine", whole_files)
-        .option("basePath", path)
     )
-    df = reader.json(source)
+    df = (reader if whole_files else reader.option("basePath", path)).json(source)
     return df.withColumn("_path", F.col("_metadata.file_path"))
 
 
