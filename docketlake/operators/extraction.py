@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from docketlake.functions import answers as A, text as X
 from docketlake.functions.prompts import DEFAULT_TEMPLATE, build_prompt
-from docketlake.operators.keys import missing_from, top_per_group
+from docketlake.operators.keys import known_keys, top_per_group
 from docketlake.schemas import ACTION_ELEMENT
 
 # Fixed values.
@@ -26,8 +26,14 @@ CALL_LOG = "prompt_key STRING, attempt INT, http_status INT, response STRING, er
 
 def pending_digests(texts: DataFrame, done: DataFrame, key: str = "digest_date",
                     limit: int | None = None, order: str | None = None) -> DataFrame:
-    """Digests with an enforcement section and no record yet, at most ``limit`` per year."""
-    pending = missing_from(texts.where(X.has_section(F.col("text"))), done, key)
+    """Digests with an enforcement section and no record yet, at most ``limit`` per year.
+
+    The pre-filter only looks at texts that have no record: its condition names a
+    column of the other side, so it cannot move below the join.
+    """
+    known = known_keys(done, key).withColumn("_known", F.lit(True))
+    new_hit = F.when(F.col("_known").isNull(), X.has_section(F.col("text")))
+    pending = texts.join(known, key, "left").where(new_hit).select(*texts.columns)
     return pending if limit is None else top_per_group(pending, "year", order or key, limit).drop("rn")
 
 

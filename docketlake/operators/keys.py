@@ -2,19 +2,31 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
-def first_per_key(df: DataFrame, key: str, order: Column, last: bool = False) -> DataFrame:
+def apart(key: str) -> Column:
+    """A second grouping column that depends on the key alone.
+
+    Grouping by it too keeps the exchange of a later join on the key directly below
+    that join. Adaptive execution splits a skewed side only in that shape; the
+    second exchange moves no more than the grouped rows.
+    """
+    return F.crc32(F.col(key).cast("string")).alias("_apart")
+
+
+def first_per_key(df: DataFrame, key: str, order: Column, last: bool = False,
+                  for_join: bool = False) -> DataFrame:
     """One row per key: the first (or last) by ``order``.
 
     An aggregate rather than a ranking window, so copies of a hot key are reduced
-    before the shuffle instead of meeting in one task.
+    before the shuffle instead of meeting in one task. ``for_join``: the rows are
+    going to be joined to a side that may be skewed, see :func:`apart`.
     """
     rest = [c for c in df.columns if c != key]
     pick = F.max_by if last else F.min_by
     return (
-        df.groupBy(key)
+        df.groupBy(key, *([apart(key)] if for_join else []))
         .agg(pick(F.struct(*rest), order).alias("_row"))
         .select(key, "_row.*")
         .select(*df.columns)
@@ -22,18 +34,24 @@ def first_per_key(df: DataFrame, key: str, order: Column, last: bool = False) ->
 
 
 def distinct_keys(df: DataFrame, key: str) -> DataFrame:
-    """Distinct non-null keys, shuffled apart from the join that will use them.
+    """Distinct non-null keys, ready to be joined to a side that may be skewed."""
+    return df.where(F.col(key).isNotNull()).groupBy(key, apart(key)).agg(F.lit(1)).select(key)
+
+
+def known_keys(df: DataFrame, key: str) -> DataFrame:
+    """Distinct keys; broadcast where the type alone bounds their number.
 
-    The extra grouping column keeps the join's own exchange directly below the
-    join. Adaptive execution only splits a skewed side in that shape, and the
-    second exchange moves nothing but distinct keys.
+    A DATE has at most 366 values per year, 3.7 million over all years it can hold
+    (some 60 MB), so rows with whole texts need no shuffle to be joined by date.
     """
-    apart = F.crc32(F.col(key).cast("string"))
-    return (
-        df.where(F.col(key).isNotNull())
-        .groupBy(key, apart.alias("_apart")).agg(F.lit(1))
-        .select(key)
-    )
+    if dict(df.dtypes)[key] == "date":
+        return F.broadcast(df.select(key).where(F.col(key).isNotNull()).distinct())
+    return distinct_keys(df, key)
+
+
+def broadcast_if_small(df: DataFrame, rows: int = 500_000) -> DataFrame:
+    """Mark for broadcast after counting, else leave the join to shuffle (runs a job)."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
 def missing_from(df: DataFrame, other: DataFrame, key: str) -> DataFrame:
@@ -49,8 +67,6 @@ def top_per_group(df: DataFrame, group: str, order: str, n: int, name: str = "rn
     it keeps always contains the answer, so the second ranking is exact and sees
     at most ``n * salts`` rows per group.
     """
-    from pyspark.sql import Window
-
     ranked = F.row_number()
     salted = df.withColumn("_salt", F.pmod(F.xxhash64(order), F.lit(salts)))
     inner = Window.partitionBy(group, "_salt").orderBy(order)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+from docketlake.operators.keys import known_keys
 from docketlake.schemas import ENFORCEMENT_TABLES, PRIMARY_KEYS, REQUIRED_COLUMNS
 from docketlake.session import shared_dir
 
@@ -41,13 +42,10 @@ def has_actions() -> Column:
 def classify(digests: DataFrame, loaded_dates: DataFrame) -> DataFrame:
     """Adds ``load_outcome``: error, skipped_existing, no_actions or loaded; and ``fault``.
 
-    The skip set is read once, so two new digests of the same date both load.
-    A DATE column has at most 366 values per year (3.7 million over all years
-    that DATE can hold, some 60 MB), so the distinct dates may be broadcast and
-    the nested rows are not shuffled.
+    The skip set is read once, so two new digests of the same date both load. Its
+    dates are broadcast, so the nested rows are not shuffled.
     """
-    known = F.broadcast(loaded_dates.select("digest_date").distinct()
-                        .withColumn("_known", F.lit(True)))
+    known = known_keys(loaded_dates, "digest_date").withColumn("_known", F.lit(True))
     reason = fault(digests)
     unreadable = reason.isin("unreadable file", "no digest date")
     outcome = (
@@ -67,8 +65,7 @@ def classify(digests: DataFrame, loaded_dates: DataFrame) -> DataFrame:
 
 def not_loaded(digests: DataFrame, loaded_dates: DataFrame) -> DataFrame:
     """Digests whose date is not among the loaded ones."""
-    known = F.broadcast(loaded_dates.select("digest_date").distinct())
-    return digests.join(known, "digest_date", "left_anti")
+    return digests.join(known_keys(loaded_dates, "digest_date"), "digest_date", "left_anti")
 
 
 def load_stats(classified: DataFrame) -> DataFrame:
@@ -84,6 +81,12 @@ def load_stats(classified: DataFrame) -> DataFrame:
     )
 
 
+def load_totals(classified: DataFrame) -> DataFrame:
+    """One row: how many rows a run adds to each table, from the stored sizes."""
+    loaded = classified.where(F.col("load_outcome") == "loaded")
+    return loaded.agg(*[F.coalesce(F.sum(f"n_{k}"), F.lit(0)).alias(k) for k in KINDS])
+
+
 def repeated_dates(classified: DataFrame) -> DataFrame:
     """Dates that more than one digest of this run loads."""
     return (
@@ -223,15 +226,14 @@ def key_violations(tables: dict[str, DataFrame]) -> DataFrame:
     result = None
     for name, df in tables.items():
         key = PRIMARY_KEYS[name]
-        repeated = df.groupBy(key).agg(F.count("*").alias("c")).agg(
-            F.count_if((F.col("c") > 1) & F.col(key).isNotNull()).alias("repeated_keys"))
         nulls = F.lit(False)
         for c in [key, *REQUIRED_COLUMNS.get(name, [])]:
             if c in df.columns:
                 nulls = nulls | F.col(c).isNull()
-        missing = df.agg(F.count_if(nulls).alias("null_rows"))
-        one = repeated.select(F.lit(name).alias("table"), "repeated_keys",
-                              missing.scalar().alias("null_rows"))
+        one = df.groupBy(key).agg(F.count("*").alias("c"), F.count_if(nulls).alias("bad")).agg(
+            F.count_if((F.col("c") > 1) & F.col(key).isNotNull()).alias("repeated_keys"),
+            F.coalesce(F.sum("bad"), F.lit(0)).alias("null_rows"),
+        ).select(F.lit(name).alias("table"), "repeated_keys", "null_rows")
         result = one if result is None else result.unionAll(one)
     return result
 

@@ -79,7 +79,7 @@ def update_manifest(target: DataFrame, results: DataFrame, order: Column | None
     """
     state = ["download_status", "file_size_bytes", "downloaded_at", "error_message"]
     latest = first_per_key(results.select("url", *state), "url",
-                           F.lit(0) if order is None else order, last=True)
+                           F.lit(0) if order is None else order, last=True, for_join=True)
     new = latest.select("url", F.struct(*state).alias("_new"))
     hit, skipped = F.col("_new").isNotNull(), F.col("_new.download_status") == "skipped"
 

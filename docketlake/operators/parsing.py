@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from docketlake.functions import text as X, urls
 from docketlake.functions.html import html_to_text
-from docketlake.operators.keys import first_per_key, missing_from
+from docketlake.operators.keys import apart, first_per_key, missing_from
 
 
 def parse_files(raw: DataFrame, output: str = "markdown", pdf_text: DataFrame | None = None,
@@ -67,7 +67,7 @@ def skip_existing(work: DataFrame, existing: DataFrame, key: str) -> DataFrame:
 
 def mark_existing(work: DataFrame, existing: DataFrame, key: str, size: str) -> DataFrame:
     """Work items whose output is there, as ``skipped`` with the size of that output."""
-    sizes = existing.groupBy(key).agg(F.max(size).alias(size))
+    sizes = existing.groupBy(key, apart(key)).agg(F.max(size).alias(size)).drop("_apart")
     kept = [c for c in work.columns if c != size]
     return work.select(*kept).join(sizes, key).withColumn("status", F.lit("skipped"))
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from docketlake.functions import urls
 from docketlake.operators import extraction as E, load as L, manifest as M, parsing as P, reports as R
+from docketlake.operators.keys import broadcast_if_small
 from docketlake.schemas import MANIFEST, PARSING
 from docketlake.session import configure, scratch_path
 from docketlake.sources import files, tables as T
@@ -51,7 +52,9 @@ def parse_year(spark: SparkSession, base: str, raw_root: str, year: int,
     raw = files.raw_files(spark, raw_root, year)
     done = T.read_or_empty(spark, text_path, schema).where(F.col("year") == year).select(
         F.col("pdf_path").alias("path"), F.length("text").alias("markdown_length"))
-    parsed = P.parse_files(P.skip_existing(raw, done, "path"), pdf_text=pdf_text)
+    # The file contents must not be shuffled for the sake of a list of names.
+    known = broadcast_if_small(done.select("path").distinct())
+    parsed = P.parse_files(raw.join(known, "path", "left_anti"), pdf_text=pdf_text)
     staged = scratch_path(spark, "parsed")
     parsed.write.parquet(staged)
     parsed = spark.read.parquet(staged)
@@ -145,7 +148,9 @@ def load_records(spark: SparkSession, base: str, digests: DataFrame, order: list
     if loaded == 0:
         return counts
 
-    ids = L.next_ids(existing).first().asDict()
+    ids = T.last_ids(spark, base)
+    totals = L.load_totals(classified).first().asDict()
+    totals["enforcement_actions"] = totals.pop("actions")
     chosen = classified.where(F.col("load_outcome") == "loaded")
     offsets_path = scratch_path(spark, "offsets")
     L.running_offsets(chosen, [*order, "_row"]).drop(*order).write.parquet(offsets_path)
@@ -156,16 +161,16 @@ def load_records(spark: SparkSession, base: str, digests: DataFrame, order: list
     def placed(*kinds: str) -> DataFrame:
         return chosen.join(offsets.select("_row", *[f"{k}_offset" for k in kinds]), "_row")
 
-    start = ids["enforcement_actions"]
+    start = ids["enforcement_actions"] + 1
     actions = L.flatten_actions(placed("actions"), start).withColumn(
         "created_at", F.current_timestamp().cast("timestamp_ntz"))
     out = {"enforcement_actions": actions.select(
         "id", "digest_date", "action_type", "title", "settlement", "court", "case_number",
         "release_number", "full_text", "extraction_notes", "created_at", "year")}
     for kind, fields in L.CHILDREN.items():
-        out[kind] = L.flatten_children(placed("actions", kind), kind, start, ids[kind]).select(
+        out[kind] = L.flatten_children(placed("actions", kind), kind, start, ids[kind] + 1).select(
             "id", "action_id", *fields, "year")
-    T.publish_load(spark, base, out, counts, replace_years)
+    T.publish_load(spark, base, out, counts, {t: ids[t] + totals[t] for t in ids}, replace_years)
     return counts
 
 

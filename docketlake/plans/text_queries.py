@@ -185,12 +185,13 @@ def limit_per_year(spark, sf):
 @query("pending_digests", f"""
     SELECT year, doc_id
     FROM (SELECT year, doc_id, row_number() OVER (PARTITION BY year ORDER BY doc_id) AS rn
-          FROM <s_digests> WHERE doc_id % 3 <> 0 AND ({_HAS})) d
+          FROM <s_digests> WHERE ({_HAS})
+            AND digest_date NOT IN (SELECT digest_date FROM <s_digests> WHERE doc_id % 3 = 0)) d
     WHERE rn <= 2""")
 def pending_digests(spark, sf):
     texts = view(spark, sf, "s_digests")
-    done = texts.where("doc_id % 3 = 0").select("doc_id")
-    return E.pending_digests(texts, done, "doc_id", limit=2).select("year", "doc_id")
+    done = texts.where("doc_id % 3 = 0").select("digest_date")
+    return E.pending_digests(texts, done, limit=2, order="doc_id").select("year", "doc_id")
 
 
 # --- files -------------------------------------------------------------------

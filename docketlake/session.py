@@ -7,14 +7,16 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# Runtime settings the results depend on (not tuning).
-SEMANTICS = {
+# Runtime settings that the results, or the tasks' survival, depend on.
+REQUIRED = {
     # DATE/TIMESTAMP arithmetic must not depend on the machine's time zone.
     "spark.sql.session.timeZone": "UTC",
     # A JSON answer that repeats a key keeps the last value.
     "spark.sql.variant.allowDuplicateKeys": "true",
     # Replacing a year must leave the other years of the table alone.
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Digest texts can be hundreds of KB: an Arrow batch must not hold 10,000 of them.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "256",
 }
 
 # Settings for the plan shape; a cluster may override any of them.
@@ -22,14 +24,12 @@ TUNING = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    # Digest texts can be hundreds of KB: keep Arrow batches small in rows.
-    "spark.sql.execution.arrow.maxRecordsPerBatch": "256",
 }
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the settings that the results depend on to a given session."""
-    for key, value in SEMANTICS.items():
+    """Apply the required settings to a given session."""
+    for key, value in REQUIRED.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
     return spark
@@ -44,7 +44,7 @@ def local_session(cores: int | str = "*", memory: str = "8g") -> SparkSession:
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", "8")
     )
-    for key, value in {**SEMANTICS, **TUNING}.items():
+    for key, value in {**REQUIRED, **TUNING}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")

@@ -18,7 +18,8 @@ from docketlake.sources.files import balanced, path_exists
 
 LOADS = (
     "load_id INT, replaced_years ARRAY<INT>, loaded BIGINT, skipped_existing BIGINT, "
-    "no_actions BIGINT, errors BIGINT, total_actions BIGINT, loaded_at TIMESTAMP_NTZ"
+    "no_actions BIGINT, errors BIGINT, total_actions BIGINT, last_ids MAP<STRING, BIGINT>, "
+    "loaded_at TIMESTAMP_NTZ"
 )
 
 
@@ -37,6 +38,15 @@ def loads(spark: SparkSession, base: str) -> DataFrame:
     return read_or_empty(spark, f"{base}/loads", LOADS)
 
 
+def last_ids(spark: SparkSession, base: str) -> dict[str, int]:
+    """Highest id given out in each table: from the ``loads`` rows, not from the tables."""
+    ids = {name: 0 for name in ENFORCEMENT_TABLES}
+    for row in loads(spark, base).select("last_ids").collect():
+        for name, value in row.last_ids.items():
+            ids[name] = max(ids[name], value)
+    return ids
+
+
 def enforcement_tables(spark: SparkSession, base: str) -> dict[str, DataFrame]:
     """The four tables as the committed loads left them.
 
@@ -61,8 +71,11 @@ def enforcement_tables(spark: SparkSession, base: str) -> dict[str, DataFrame]:
 
 
 def publish_load(spark: SparkSession, base: str, tables: dict[str, DataFrame], stats: DataFrame,
-                 replaced_years: list[int] | None = None) -> int:
-    """Store one load (tables with a ``year`` column) and commit it."""
+                 ids: dict[str, int], replaced_years: list[int] | None = None) -> int:
+    """Store one load (tables with a ``year`` column) and commit it.
+
+    ``ids``: the highest id of each table after this load.
+    """
     last = loads(spark, base).agg(F.max("load_id")).first()[0]
     load_id = (last or 0) + 1
     for name in ["respondents", "violations", "sanctions", "enforcement_actions"]:
@@ -75,6 +88,8 @@ def publish_load(spark: SparkSession, base: str, tables: dict[str, DataFrame], s
     row = stats.select(
         F.lit(load_id).alias("load_id"), years.alias("replaced_years"),
         "loaded", "skipped_existing", "no_actions", "errors", "total_actions",
+        F.create_map(*[F.lit(x) for item in ids.items() for x in item]).cast("map<string,bigint>")
+        .alias("last_ids"),
         F.current_timestamp().cast("timestamp_ntz").alias("loaded_at"),
     )
     row.coalesce(1).write.mode("append").parquet(f"{base}/loads")
