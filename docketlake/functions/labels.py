@@ -17,9 +17,16 @@ def percent_label(ratio: Column) -> Column:
                       F.lit("—"))
 
 
+def _fixed(number: Column, digits: int) -> Column:
+    # format_number rounds the exact value, ties to even; its thousands separators go.
+    return F.replace(F.format_number(number, digits), F.lit(","), F.lit(""))
+
+
 def megabytes(n: Column) -> Column:
-    return F.format_string("%.2f", n / F.lit(1024 * 1024))
+    """Bytes as MB with two decimals."""
+    return _fixed(n / F.lit(1024 * 1024), 2)
 
 
 def kilochars(n: Column) -> Column:
-    return F.format_string("%.1f", n / F.lit(1000))
+    """Characters in thousands with one decimal."""
+    return _fixed(n / F.lit(1000), 1)

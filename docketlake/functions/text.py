@@ -75,8 +75,9 @@ def section_contexts(c: Column) -> Column:
     the few pieces before it and the head of the few pieces after it, so the work
     is linear in the text and no running offset is kept.
     """
-    found = [_contexts_of(c, _FLAGS + p) for p in SECTION_PATTERNS]
     none = F.array().cast("array<string>")
+    found = [F.when(c.rlike(_FLAGS + p), _contexts_of(c, _FLAGS + p)).otherwise(none)
+             for p in SECTION_PATTERNS]
     return F.when(has_section(c), F.flatten(F.array(*found))).when(c.isNotNull(), none)
 
 

@@ -100,7 +100,7 @@ def validate_response(spark, sf):
 
 @query("extraction_outcome", f"""
     WITH {_JUDGED}
-    SELECT CAST(DATE '1956-01-01' + CAST(conv_id * 50 + turn AS INT) AS DATE) AS digest_date,
+    SELECT CAST(DATE '1956-01-01' + CAST((conv_id * 50 + turn) % 21550 AS INT) AS DATE) AS digest_date,
       CASE WHEN error_class IS NULL THEN coalesce(json_array_length(d, '$.actions'), 0) > 0 ELSE true END
         AS has_enforcement_actions,
       CAST(CASE WHEN error_class IS NULL THEN coalesce(json_array_length(d, '$.actions'), 0) ELSE 0 END AS INT)
@@ -114,7 +114,7 @@ def validate_response(spark, sf):
       {_OUTCOME} AS outcome
     FROM judged""")
 def extraction_outcome(spark, sf):
-    day = F.date_add(F.lit(datetime.date(1956, 1, 1)), (F.col("conv_id") * 50 + F.col("turn")).cast("int"))
+    day = F.date_add(F.lit(datetime.date(1956, 1, 1)), ((F.col("conv_id") * 50 + F.col("turn")) % 21550).cast("int"))
     answers = view(spark, sf, "s_responses").select(day.alias("digest_date"), "response")
     out = E.extraction_outcomes(answers)
     first = F.get("actions", F.lit(0))
@@ -239,19 +239,24 @@ _ORDER = ["year_dir", "file_name"]
 _SKIP = "digest_date < DATE '1998-01-01'"
 
 
-def _loadable(spark, sf):
-    """New digests with actions; the dates before 1998 count as loaded."""
+def _placed(spark, sf):
+    """New digests with actions and their offsets; the dates before 1998 count as loaded.
+
+    Staged once with their sizes, as a load does.
+    """
     nested = nested_digests(spark, sf)
-    dates = nested.where(_SKIP).select("digest_date")
-    return L.classify(nested, dates).where("load_outcome = 'loaded'")
+    new = L.classify(nested, nested.where(_SKIP).select("digest_date")).where("load_outcome = 'loaded'")
+    staged = scratch_path(spark, "load")
+    L.with_sizes(new).write.parquet(staged)
+    new = spark.read.parquet(staged)
+    return new.join(L.running_offsets(new, _ORDER), _ORDER)
 
 
 @query("surrogate_ids", f"""
     SELECT 100 + row_number() OVER (ORDER BY year_dir, file_name, i) AS id, k, i AS pos, digest_date
     FROM ({FLAT_ACTIONS}) a WHERE NOT ({_SKIP}) AND has_enforcement_actions""")
 def surrogate_ids(spark, sf):
-    placed = L.with_offsets(_loadable(spark, sf), _ORDER)
-    return L.flatten_actions(placed, 101).select("id", "k", F.col("pos").cast("bigint").alias("pos"), "digest_date")
+    return L.flatten_actions(_placed(spark, sf), 101).select("id", "k", F.col("pos").cast("bigint").alias("pos"), "digest_date")
 
 
 @query("surrogate_child_ids", f"""
@@ -262,8 +267,7 @@ def surrogate_ids(spark, sf):
     FROM ({FLAT_RESPONDENTS}) r JOIN a ON r.k = a.k AND r.i = a.i
     WHERE NOT ({_SKIP}) AND has_enforcement_actions""")
 def surrogate_child_ids(spark, sf):
-    placed = L.with_offsets(_loadable(spark, sf), _ORDER)
-    return L.flatten_children(placed, "respondents", 1, 8).select("id", "action_id", "name")
+    return L.flatten_children(_placed(spark, sf), "respondents", 1, 8).select("id", "action_id", "name")
 
 
 @query("next_ids", """
@@ -389,3 +393,20 @@ def pk_violations(spark, sf):
 def renest_actions(spark, sf):
     return L.action_overview(view(spark, sf, "s_actions"), view(spark, sf, "s_respondents"),
                              view(spark, sf, "s_violations"), view(spark, sf, "s_sanctions"))
+
+
+@query("table_exists", """
+    SELECT 'orders.parquet' AS "table", true AS present, (SELECT count(*) FROM orders) AS n
+    UNION ALL SELECT 'lineitem.parquet', true, (SELECT count(*) FROM lineitem)
+    UNION ALL SELECT 'enforcement_actions', false, 0""")
+def table_exists(spark, sf):
+    """Rows of two tables that are there and of one that is not."""
+    keys = {"orders.parquet": "o_orderkey BIGINT", "lineitem.parquet": "l_orderkey BIGINT",
+            "enforcement_actions": "id BIGINT"}
+    out = None
+    for name, schema in keys.items():
+        present = T.tables_present(spark, sf, [name])
+        one = T.read_or_empty(spark, f"{sf}/{name}", schema).agg(F.count("*").alias("n")).select(
+            F.lit(name).alias("table"), F.lit(present).alias("present"), "n")
+        out = one if out is None else out.unionAll(one)
+    return out

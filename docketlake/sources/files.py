@@ -32,12 +32,16 @@ def raw_files(spark: SparkSession, root: str, year: int | None = None) -> DataFr
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Use all cores for costly per-row work on a scan with fewer splits than cores.
+    """Use all cores for costly per-row work on a scan that is small for the cluster.
 
-    A scan of large data has more splits than there are cores and is left alone.
+    The splits of a small scan are cut finer than a file's row groups, so most of
+    them are empty. From one full split per core on, a scan is left as it is.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    split = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return df.repartition(cores) if size < cores * split else df
 
 
 def balanced(df: DataFrame, *partition_by: str) -> DataFrame:
