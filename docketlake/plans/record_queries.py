@@ -177,8 +177,8 @@ def extraction_scan(spark, sf):
     """Nested records written as JSON lines, read back by their schema and flattened."""
     path = scratch_path(spark, "extractions")
     nested = nested_digests(spark, sf)
-    files.write_extractions(nested.select("*", F.col("year_dir").alias("year")).drop("k", "year_dir", "file_name"), path)
-    stored = files.read_extractions(spark, path).where("_corrupt IS NULL")
+    files.write_extractions(nested.select("*", F.col("year_dir").alias("year")).drop("k", "year_dir", "file_name"), path, fmt="json")
+    stored = files.read_extractions(spark, path, fmt="json").where("_corrupt IS NULL")
     return L.flatten_actions(stored).select(
         "digest_date", F.col("pos").cast("bigint").alias("pos"), "action_type", "title", "settlement", "court",
         "release_number", "extraction_notes")

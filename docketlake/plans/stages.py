@@ -33,14 +33,20 @@ def plan_downloads(spark: SparkSession, base: str, url_root: str, first: int, la
 
 
 def record_downloads(spark: SparkSession, base: str, attempts: DataFrame) -> None:
-    """Resolve a log of fetch attempts into the manifest, touching only its years."""
+    """Resolve a log of fetch attempts into the manifest, rewriting only its years."""
     configure(spark)
-    path = f"{base}/download_manifest"
-    results = M.resolve_fetches(attempts).select(
+    path, resolved = f"{base}/download_manifest", scratch_path(spark, "resolved")
+    M.resolve_fetches(attempts).select(
         "url", F.col("status").alias("download_status"), "file_size_bytes", "downloaded_at",
-        F.col("message").alias("error_message"))
+        F.col("message").alias("error_message")).write.parquet(resolved)
+    results = spark.read.parquet(resolved)
     target = spark.read.schema(MANIFEST).parquet(path)
-    T.replace_partitions(M.update_manifest(target, results), path, "year")
+    # At most one value per year of the archive.
+    touched = target.select("url", "year").join(results.select("url"), "url", "left_semi")
+    years = [r.year for r in touched.select("year").distinct().collect()]
+    if years:
+        target = target.where(F.col("year").isin(years))
+        T.replace_partitions(M.update_manifest(target, results), path, "year")
 
 
 def parse_year(spark: SparkSession, base: str, raw_root: str, year: int,
@@ -92,6 +98,8 @@ def extract_texts(spark: SparkSession, base: str, make_client: Callable[[], Call
     record_path = f"{base}/extractions"
     if files.path_exists(spark, record_path):
         done = files.read_extractions(spark, record_path)
+        if year is not None:
+            done = done.where(F.col("year") == year)
         if retry_failed:
             done = done.where(L.has_actions() | ~F.col("has_enforcement_actions"))
         done = done.select("digest_date")
@@ -178,10 +186,12 @@ def load_extractions(spark: SparkSession, base: str, year: int | None = None,
                      full_reload: bool = False, whole_files: bool = False) -> DataFrame:
     """Load the stored records, all or those of one year, new dates only.
 
+    ``whole_files``: the records are JSON files in year folders, one digest each.
     A full reload replaces the selected years and leaves the others as they are.
     """
     configure(spark)
-    records = files.read_extractions(spark, f"{base}/extractions", year, whole_files)
+    fmt = "files" if whole_files else "parquet"
+    records = files.read_extractions(spark, f"{base}/extractions", year, fmt)
     years = None
     if full_reload:
         years = [year] if year else [

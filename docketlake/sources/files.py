@@ -62,32 +62,43 @@ def read_texts(spark: SparkSession, path: str, year: int | None = None,
     return df if year is None else df.where(F.col("year") == year)
 
 
-def write_extractions(records: DataFrame, path: str, mode: str = "append") -> None:
-    """Store nested records as JSON lines, partitioned by year; nulls are written out."""
-    balanced(records, "year").write.mode(mode).partitionBy("year").option(
-        "ignoreNullFields", False).json(path)
+def write_extractions(records: DataFrame, path: str, mode: str = "append",
+                      fmt: str = "parquet") -> None:
+    """Store nested records, partitioned by year.
+
+    Parquet by default, so that a look at the dates reads only the dates; ``json``
+    writes one record per line, nulls included.
+    """
+    writer = balanced(records, "year").write.mode(mode).partitionBy("year")
+    if fmt == "json":
+        writer.option("ignoreNullFields", False).json(path)
+    else:
+        writer.parquet(path)
 
 
 def read_extractions(spark: SparkSession, path: str, year: int | None = None,
-                     whole_files: bool = False, extra: str = "") -> DataFrame:
+                     fmt: str = "parquet") -> DataFrame:
     """Nested records with the schema of a digest.
 
-    ``whole_files`` reads one pretty-printed object per file, in plain year folders
-    (``1999/x.json``) instead of partition folders. A record that cannot be read
-    keeps its text in ``_corrupt``; ``_path`` names the file it came from. ``extra`` adds columns (DDL)
-    that the records carry besides the digest's own.
+    ``parquet`` and ``json`` (one record per line) read what
+    :func:`write_extractions` wrote; ``files`` reads one JSON object per file from
+    plain year folders (``1999/x.json``). A JSON record that cannot be read keeps
+    its text in ``_corrupt``; ``_path`` names the file a record came from.
     """
-    if whole_files:
+    if fmt == "files":
         source = f"{path}/{'*' if year is None else year}"
     else:
         source = path if year is None else f"{path}/year={year}"
-    fields = ", ".join(filter(None, [DIGEST, extra, "_corrupt STRING"]))
-    reader = (
-        spark.read.schema(fields)
-        .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt")
-        .option("multiLine", whole_files)
-    )
-    df = (reader if whole_files else reader.option("basePath", path)).json(source)
+    reader = spark.read.schema(DIGEST if fmt == "parquet" else f"{DIGEST}, _corrupt STRING")
+    if fmt != "files":
+        reader = reader.option("basePath", path)
+    if fmt == "parquet":
+        df = reader.parquet(source)
+    else:
+        df = (
+            reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt")
+            .option("multiLine", fmt == "files").json(source)
+        )
     return df.withColumn("_path", F.col("_metadata.file_path"))
 
 

@@ -14,12 +14,15 @@ from docketlake.schemas import DIGEST
 from docketlake.session import configure
 
 
-def load_new_files(spark: SparkSession, base: str, checkpoint: str):
-    """Load every record file not seen before, then stop; returns the query."""
+def load_new_files(spark: SparkSession, source: str, base: str, checkpoint: str):
+    """Load every file of JSON-lines records below ``source`` not seen before, then stop.
+
+    Returns the streaming query. ``checkpoint`` must be a folder the cluster shares.
+    """
     configure(spark)
     arriving = (
-        spark.readStream.schema(f"{DIGEST}, year INT, _corrupt STRING")
-        .option("columnNameOfCorruptRecord", "_corrupt").json(f"{base}/extractions")
+        spark.readStream.schema(f"{DIGEST}, _corrupt STRING")
+        .option("columnNameOfCorruptRecord", "_corrupt").option("recursiveFileLookup", True).json(source)
     )
 
     def load(batch: DataFrame, _: int) -> None:

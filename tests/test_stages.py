@@ -126,9 +126,9 @@ def test_pretty_printed_files(spark):
 def test_stream_of_new_files(spark):
     base, check = scratch_path(spark, "stream"), scratch_path(spark, "check")
     write(f"{local(base)}/extractions/year=1999/a.json", json.dumps(record("1999-01-01", "a")).encode())
-    load_new_files(spark, base, check).awaitTermination()
+    load_new_files(spark, f"{base}/extractions", base, check).awaitTermination()
     write(f"{local(base)}/extractions/year=1999/b.json",
           "\n".join(json.dumps(record(d, "b")) for d in ("1999-01-02", "1999-01-01")).encode())
-    load_new_files(spark, base, check).awaitTermination()
+    load_new_files(spark, f"{base}/extractions", base, check).awaitTermination()
     actions = T.enforcement_tables(spark, base)["enforcement_actions"]
     assert sorted((a.id, str(a.digest_date)) for a in actions.collect()) == [(1, "1999-01-01"), (2, "1999-01-02")]
