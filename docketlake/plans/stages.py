@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -10,7 +11,7 @@ from docketlake.functions import urls
 from docketlake.operators import extraction as E, load as L, manifest as M, parsing as P, reports as R
 from docketlake.operators.keys import broadcast_if_small
 from docketlake.schemas import MANIFEST, PARSING
-from docketlake.session import configure, scratch_path
+from docketlake.session import configure, drop_scratch, scratch_path
 from docketlake.sources import files, tables as T
 
 
@@ -47,6 +48,7 @@ def record_downloads(spark: SparkSession, base: str, attempts: DataFrame) -> Non
     if years:
         target = target.where(F.col("year").isin(years))
         T.replace_partitions(M.update_manifest(target, results), path, "year")
+    drop_scratch(spark, resolved)
 
 
 def parse_year(spark: SparkSession, base: str, raw_root: str, year: int,
@@ -82,6 +84,7 @@ def parse_year(spark: SparkSession, base: str, raw_root: str, year: int,
     row = spark.createDataFrame([counts.first()], counts.schema)
     files.write_texts(texts, text_path, mode="append")
     T.replace_partitions(merged, result_path, "year")
+    drop_scratch(spark, staged)
     return row
 
 
@@ -106,10 +109,10 @@ def extract_texts(spark: SparkSession, base: str, make_client: Callable[[], Call
     else:
         done = spark.createDataFrame([], "digest_date DATE")
     work = E.prompts(E.pending_digests(texts, done, limit=limit)).select("digest_date", "prompt")
-    # The calls are costly: their log is written once and read from there on.
-    staged = scratch_path(spark, "calls")
-    E.call_extractor(work, make_client, concurrency=concurrency).write.parquet(staged)
-    log = spark.read.parquet(staged)
+    # The calls are costly: their log is stored once, for good, and read from there on.
+    log_path = f"{base}/call_log/run={uuid.uuid4().hex}"
+    E.call_extractor(work, make_client, concurrency=concurrency).write.parquet(log_path)
+    log = spark.read.parquet(log_path)
     day = F.col("prompt_key").cast("date")
     answered = log.where(F.col("http_status") == 200).select(
         day.alias("digest_date"), "response", (F.col("attempt") + 1).alias("attempts"))
@@ -154,6 +157,7 @@ def load_records(spark: SparkSession, base: str, digests: DataFrame, order: list
     if replace_years and loaded == 0:
         raise ValueError("nothing to load in place of the stored years")
     if loaded == 0:
+        drop_scratch(spark, staged)
         return counts
 
     ids = T.last_ids(spark, base)
@@ -179,6 +183,7 @@ def load_records(spark: SparkSession, base: str, digests: DataFrame, order: list
         out[kind] = L.flatten_children(placed("actions", kind), kind, start, ids[kind] + 1).select(
             "id", "action_id", *fields, "year")
     T.publish_load(spark, base, out, counts, {t: ids[t] + totals[t] for t in ids}, replace_years)
+    drop_scratch(spark, staged, offsets_path)
     return counts
 
 

@@ -71,3 +71,13 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder."""
     return f"{shared_dir(spark)}/docketlake/{name}-{uuid.uuid4().hex}"
+
+
+def drop_scratch(spark: SparkSession, *paths: str) -> None:
+    """Remove staged tables once what was made of them is stored."""
+    root = f"{shared_dir(spark)}/docketlake/"
+    for path in paths:
+        if not path.startswith(root):
+            raise ValueError(f"not a scratch path: {path}")
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

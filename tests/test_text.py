@@ -79,7 +79,7 @@ def test_newline_normalisation_changes_the_filter(spark):
 
 
 def test_sections_follow_finditer(spark):
-    words = ["ADMINISTRATIVE", "PROCEEDINGS", "proceed", "CIVIL", "cr1m", "CRIMINAL", " ", "\n",
+    words = ["adm\u0130n", "CR\u0130M", "C\u0131V\u0131L", "proceeding\u017f", "PROCEED\u0130NG\u017f", "ADMINISTRATIVE", "PROCEEDINGS", "proceed", "CIVIL", "cr1m", "CRIMINAL", " ", "\n",
              "x" * 30, "é😀", "|", "PR0CEED!NGZ", "adm1n", "\t"]
     texts = random_texts(words, 300, 25, 2) + ["CRIMPROCEED" * 40, None]
     got = apply(spark, texts, X.section_contexts)
