@@ -5,10 +5,18 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 
+# A word goes on over letters, digits, underscores, apostrophes and inner dots.
+_AFTER_SEPARATOR = r"(?<=[^\p{L}\p{M}\p{N}_'\u2019.:])"
+
+
 def title_label(c: Column) -> Column:
-    """Underscores to spaces, then every word in title case, also after hyphens."""
-    spaced = F.replace(c, F.lit("_"), F.lit(" "))
-    return F.array_join(F.transform(F.split(spaced, "-", -1), lambda part: F.initcap(part)), "-")
+    """Every word in title case; words also end at hyphens and slashes."""
+    return F.array_join(F.transform(F.split(c, _AFTER_SEPARATOR, -1), lambda w: F.initcap(w)), "")
+
+
+def spaced_label(c: Column) -> Column:
+    """Title case with underscores as spaces."""
+    return title_label(F.replace(c, F.lit("_"), F.lit(" ")))
 
 
 def percent_label(ratio: Column) -> Column:

@@ -67,8 +67,8 @@ def digest_date_from_name(name: Column) -> Column:
     """The date in a ``digest_YYYY-MM-DD`` file name, null when it is malformed."""
     stem = F.regexp_replace(F.regexp_extract(name, r"([^/]*)$", 1), r"\.[^.]*$", "")
     text = F.regexp_extract(F.replace(stem, F.lit("digest_"), F.lit("")),
-                            r"^(\d{4}-\d{2}-\d{2})$", 1)
-    return F.try_to_date(text, "yyyy-MM-dd")
+                            r"^(\d{4}-\d{1,2}-\d{1,2})$", 1)
+    return F.try_to_date(text, "yyyy-M-d")
 
 
 def file_suffix(path: Column) -> Column:

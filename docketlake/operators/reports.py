@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from docketlake.functions.labels import percent_label, title_label
+from docketlake.functions.labels import percent_label, spaced_label, title_label
 from docketlake.operators.manifest import ON_DISK
 
 
@@ -93,7 +93,7 @@ def sanction_types(sanctions: DataFrame) -> DataFrame:
         "rank", F.row_number().over(Window.orderBy("n")))
     return (
         counts.join(ranks, "n")
-        .select("sanction_type", title_label(F.col("sanction_type")).alias("label"), "n", "rank")
+        .select("sanction_type", spaced_label(F.col("sanction_type")).alias("label"), "n", "rank")
         .orderBy(F.desc("n"), "sanction_type")
     )
 

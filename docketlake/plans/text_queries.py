@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from docketlake.functions import html as H, text as X, urls
-from docketlake.functions.labels import kilochars, megabytes, title_label
+from docketlake.functions.labels import kilochars, megabytes, spaced_label
 from docketlake.functions.prompts import DEFAULT_TEMPLATE
 from docketlake.operators import extraction as E, parsing as P
 from docketlake.operators.keys import top_per_group
@@ -239,7 +239,7 @@ def raw_files(spark, sf):
 def label_title(spark, sf):
     raw = view(spark, sf, "s_sanctions").where("sanction_type IS NOT NULL")
     counted = raw.groupBy(F.col("sanction_type").alias("raw")).agg(F.count("*").alias("n"))
-    return counted.withColumn("label", title_label(F.col("raw")))
+    return counted.withColumn("label", spaced_label(F.col("raw")))
 
 
 @query("size_labels", """

@@ -127,7 +127,8 @@ def test_paths(spark):
 
 def test_dates_from_names(spark):
     names = [("a/digest_1985-01-07.md", dt.date(1985, 1, 7)), ("digest_1985-02-30.md", None),
-             ("digest_850107.md", None), ("1985-01-07.md", dt.date(1985, 1, 7)), ("x.md", None)]
+             ("digest_850107.md", None), ("1985-01-07.md", dt.date(1985, 1, 7)), ("x.md", None),
+             ("digest_1985-1-7.md", dt.date(1985, 1, 7)), ("digest_985-01-07.md", None), ("digest_1985-13-01.md", None)]
     df = spark.createDataFrame([(n,) for n, _ in names], "n STRING")
     got = {r.n: r.d for r in df.select("n", urls.digest_date_from_name(F.col("n")).alias("d")).collect()}
     assert got == dict(names)
