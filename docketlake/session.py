@@ -24,6 +24,8 @@ TUNING = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Recording a stack trace for every Column makes large expressions slow to build.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
