@@ -102,13 +102,6 @@ def retry_schedule(attempts: DataFrame, key: str, initial_delay: float = INITIAL
     )
 
 
-def judge_calls(log: DataFrame) -> DataFrame:
-    """Clean, parse and validate the responses of a call log, row by row."""
-    parsed = log.withColumn("_v", A.parse_answer(A.clean_answer(F.col("response"))))
-    got = F.col("http_status") == 200
-    return parsed.withColumn("judged", F.when(got, A.validate_answer(F.col("_v")))).drop("_v")
-
-
 def resolve_calls(log: DataFrame, key: str, valid: Column) -> DataFrame:
     """What a log of calls means for each digest.
 

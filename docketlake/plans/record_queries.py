@@ -6,7 +6,7 @@ import datetime
 
 from pyspark.sql import functions as F
 
-from docketlake.functions import answers as A
+from docketlake.functions import answers as A, text as X
 from docketlake.operators import extraction as E, load as L
 from docketlake.plans.inputs import (
     FLAT_ACTIONS, FLAT_RESPONDENTS, FLAT_SANCTIONS, FLAT_VIOLATIONS, nested_digests, view,
@@ -159,7 +159,7 @@ def _echo_client():
           FROM <s_digests> WHERE doc_id % 8 IN (0, 1, 2, 3) OR doc_id % 3 = 0) d""")
 def extract_apply(spark, sf):
     texts = view(spark, sf, "s_digests")
-    found = texts.where(E.X.has_section(F.col("text")))
+    found = texts.where(X.has_section(F.col("text")))
     work = E.prompts(found, template="Digest:{content}")
     log = E.call_extractor(work, _echo_client)
     answered = log.where("http_status = 200").select(F.col("prompt_key").cast("date").alias("digest_date"), "response")

@@ -3,8 +3,8 @@
 The four enforcement tables are plain parquet, partitioned by load and year. A
 load writes the children, then the actions, and last one row into ``loads``: that
 row is what makes the load visible, so a job that dies on the way leaves nothing
-a reader can see, and the next run overwrites what it left. The ``loads`` rows are
-also the record of each run's counts.
+a reader can see, then or later. The ``loads`` rows are also the record of each
+run's counts and of the ids it gave out.
 """
 
 from __future__ import annotations
@@ -76,14 +76,14 @@ def publish_load(spark: SparkSession, base: str, tables: dict[str, DataFrame], s
 
     ``ids``: the highest id of each table after this load.
     """
-    last = loads(spark, base).agg(F.max("load_id")).first()[0]
-    load_id = (last or 0) + 1
+    load_id = (loads(spark, base).agg(F.max("load_id")).first()[0] or 0) + 1
+    # A run that died may have left partitions: its number is never used again.
+    while any(path_exists(spark, f"{base}/{t}/load_id={load_id}") for t in ENFORCEMENT_TABLES):
+        load_id += 1
     for name in ["respondents", "violations", "sanctions", "enforcement_actions"]:
         df = tables[name].withColumn("load_id", F.lit(load_id))
-        # Dynamic overwrite: leftovers of a failed run with this id do not stay.
-        writer = balanced(df, "year").write.mode("overwrite").option(
-            "partitionOverwriteMode", "dynamic")
-        writer.partitionBy("load_id", "year").parquet(f"{base}/{name}")
+        balanced(df, "year").write.mode("append").partitionBy("load_id", "year").parquet(
+            f"{base}/{name}")
     years = F.lit(replaced_years or []).cast("array<int>")
     row = stats.select(
         F.lit(load_id).alias("load_id"), years.alias("replaced_years"),

@@ -2,8 +2,6 @@ import datetime as dt
 import random
 
 import pytest
-from pyspark.sql import functions as F
-
 from docketlake.operators import load as L
 from docketlake.plans.stages import load_records
 from docketlake.schemas import DIGEST
@@ -121,10 +119,15 @@ def test_a_load_that_dies_leaves_nothing(spark, monkeypatch):
     monkeypatch.undo()
     t = T.enforcement_tables(spark, base)
     assert rows_of(t["respondents"], "id") == [(1,)]
+    # Other digests come first; what the dead run wrote for 2001 must not show up with them.
+    load_records(spark, base, frame(spark, [digest("2002-03-03", [action(1, tag="later")])]), ORDER)
+    t = T.enforcement_tables(spark, base)
+    assert rows_of(t["respondents"], "id", "name") == [(1, "xr0"), (2, "laterr0")]
     load_records(spark, base, new, ORDER)
     t = T.enforcement_tables(spark, base)
-    assert rows_of(t["respondents"], "id") == [(1,), (2,), (3,), (4,)]
-    assert rows_of(t["enforcement_actions"], "id") == [(1,), (2,), (3,)]
+    assert rows_of(t["respondents"], "id") == [(1,), (2,), (3,), (4,), (5,)]
+    assert rows_of(t["enforcement_actions"], "id") == [(1,), (2,), (3,), (4,)]
+    assert L.orphans({k: t[k] for k in L.CHILDREN}, t["enforcement_actions"]).count() == 0
 
 
 def test_reload_replaces_only_its_years(spark):

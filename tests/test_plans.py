@@ -150,3 +150,15 @@ def test_offsets_survive_recomputation(spark):
     for i, row in enumerate(first):
         assert row[1] == total
         total += i % 3
+
+
+def test_broadcast_only_after_counting(spark):
+    from docketlake.operators.keys import broadcast_if_small, known_keys
+
+    def hinted(df):
+        return "broadcast" in df._jdf.queryExecution().analyzed().toString().lower()
+
+    names = spark.range(10).select(F.col("id").cast("string").alias("k"))
+    assert hinted(broadcast_if_small(names, rows=10)) and not hinted(broadcast_if_small(names, rows=9))
+    days = spark.range(10).select(F.date_add(F.current_date(), F.col("id").cast("int")).alias("k"))
+    assert hinted(known_keys(days, "k")) and not hinted(known_keys(names, "k"))

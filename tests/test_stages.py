@@ -4,8 +4,6 @@ import datetime as dt
 import json
 import os
 
-from pyspark.sql import functions as F
-
 from docketlake.plans import stages as S
 from docketlake.session import scratch_path
 from docketlake.sources import files, tables as T
