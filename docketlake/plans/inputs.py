@@ -158,8 +158,8 @@ def _expand(sql: str, table) -> str:
     return _NAME.sub(put, sql)
 
 
-# Inputs whose rows are costly to work on: whole texts and nested documents.
-_COSTLY = {"documents", "pages", "s_digests", "s_responses", "s_nested_base"}
+# Inputs whose rows are costly to work on: whole texts.
+_COSTLY = {"documents", "pages", "s_digests", "s_responses"}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -184,7 +184,7 @@ def nested_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     The arrays are built from the row's own columns, so no group is collected.
     """
-    base = view(spark, sf_dir, "s_nested_base")
+    base = spread(view(spark, sf_dir, "s_nested_base"))
     k, ck = F.col("k"), F.col("ck")
 
     def upto(n):

@@ -239,13 +239,17 @@ _ORDER = ["year_dir", "file_name"]
 _SKIP = "digest_date < DATE '1998-01-01'"
 
 
+def _loaded_dates(spark, sf):
+    return view(spark, sf, "s_nested_base").where(_SKIP).select("digest_date")
+
+
 def _placed(spark, sf):
     """New digests with actions and their offsets; the dates before 1998 count as loaded.
 
     Staged once with their sizes, as a load does.
     """
     nested = nested_digests(spark, sf)
-    new = L.classify(nested, nested.where(_SKIP).select("digest_date")).where("load_outcome = 'loaded'")
+    new = L.classify(nested, _loaded_dates(spark, sf)).where("load_outcome = 'loaded'")
     staged = scratch_path(spark, "load")
     L.with_sizes(new).write.parquet(staged)
     new = spark.read.parquet(staged)
@@ -285,9 +289,9 @@ def next_ids(spark, sf):
     SELECT k, digest_date FROM <s_nested_base>
     WHERE digest_date NOT IN (SELECT digest_date FROM <s_nested_base> WHERE {_SKIP} OR k % 1000 = 1)""")
 def incremental_load(spark, sf):
-    nested = nested_digests(spark, sf)
-    loaded = nested.where(f"{_SKIP} OR k % 1000 = 1")
-    return L.not_loaded(nested, loaded).select("k", "digest_date")
+    digests = view(spark, sf, "s_nested_base").select("k", "digest_date")
+    loaded = digests.where(f"{_SKIP} OR k % 1000 = 1")
+    return L.not_loaded(digests, loaded)
 
 
 @query("load_no_actions", f"""
@@ -295,7 +299,7 @@ def incremental_load(spark, sf):
     WHERE NOT ({_SKIP}) AND NOT (has_enforcement_actions AND k % 4 > 0) GROUP BY 1""")
 def load_no_actions(spark, sf):
     nested = nested_digests(spark, sf)
-    out = L.classify(nested, nested.where(_SKIP).select("digest_date"))
+    out = L.classify(nested, _loaded_dates(spark, sf))
     return out.where("load_outcome = 'no_actions'").groupBy("digest_date").agg(F.count("*").alias("n"))
 
 
@@ -304,7 +308,7 @@ def load_no_actions(spark, sf):
     WHERE NOT ({_SKIP}) AND has_enforcement_actions AND k % 4 > 0 GROUP BY 1 HAVING count(*) > 1""")
 def load_repeated_dates(spark, sf):
     nested = nested_digests(spark, sf)
-    return L.repeated_dates(L.classify(nested, nested.where(_SKIP).select("digest_date")))
+    return L.repeated_dates(L.classify(nested, _loaded_dates(spark, sf)))
 
 
 _STATS_SQL = f"""
@@ -317,7 +321,7 @@ _STATS_SQL = f"""
 @query("stage_stats", _STATS_SQL)
 def stage_stats(spark, sf):
     nested = nested_digests(spark, sf)
-    return L.load_stats(L.classify(nested, nested.where(_SKIP).select("digest_date")))
+    return L.load_stats(L.classify(nested, _loaded_dates(spark, sf)))
 
 
 @query("table_sink", f"""
