@@ -144,24 +144,24 @@ def extraction_stats(spark, sf):
     return E.extraction_stats(outcomes, rows.where("conv_id % 4 = 0"))
 
 
-def _echo_client():
-    """A stand-in extractor: it answers with the prompt's length and its first heading."""
-    def ask(prompt: str) -> str:
-        return ('```json\n{"actions":[{"action_type":"civil","full_text":"%d"}]}\n```' % len(prompt))
-
-    return ask
-
-
 @query("extract_apply", """
     SELECT digest_date, true AS has_enforcement_actions, CAST(n AS VARCHAR) AS first_text, 'ok' AS outcome
     FROM (SELECT digest_date, length(array_to_string(list_filter(string_split(text, chr(10)),
             lambda x: NOT contains(x, '|')), chr(10))) + 7 AS n
           FROM <s_digests> WHERE doc_id % 8 IN (0, 1, 2, 3) OR doc_id % 3 = 0) d""")
 def extract_apply(spark, sf):
+    """A stand-in extractor that answers with the length of its prompt."""
+    def make_client():
+        # Local, so that it travels with the job to workers that lack this package.
+        def ask(prompt: str) -> str:
+            return ('```json\n{"actions":[{"action_type":"civil","full_text":"%d"}]}\n```' % len(prompt))
+
+        return ask
+
     texts = view(spark, sf, "s_digests")
     found = texts.where(X.has_section(F.col("text")))
     work = E.prompts(found, template="Digest:{content}")
-    log = E.call_extractor(work, _echo_client)
+    log = E.call_extractor(work, make_client)
     answered = log.where("http_status = 200").select(F.col("prompt_key").cast("date").alias("digest_date"), "response")
     out = E.extraction_outcomes(answered)
     return out.select("digest_date", "has_enforcement_actions",

@@ -1,5 +1,9 @@
 """Every registered query against its SQL in DuckDB on the smallest data set."""
 
+import os
+import subprocess
+import sys
+
 import duckdb
 import pytest
 
@@ -40,3 +44,18 @@ def test_query(spark, duck, name):
 def test_entry(spark):
     rows = entry.entry(spark).collect()
     assert {r.action_type for r in rows} == {"administrative", "civil", "criminal"}
+
+
+def test_extractor_reaches_workers_without_the_package(tmp_path):
+    """From another folder the workers cannot import this package; the job must carry what it needs."""
+    root = os.path.dirname(os.path.abspath(entry.__file__))
+    code = (
+        "import importlib.util as u; from pyspark.sql import SparkSession;"
+        "s = SparkSession.builder.master('local[2]').config('spark.ui.enabled', 'false').getOrCreate();"
+        f"p = u.spec_from_file_location('e', {os.path.join(root, '__spark_entry__.py')!r});"
+        "m = u.module_from_spec(p); p.loader.exec_module(m);"
+        f"print('rows', m.queries()['extract_apply'](s, {SF!r}).count())"
+    )
+    env = {k: v for k, v in os.environ.items() if k not in ("PYTHONPATH", "PYSPARK_GATEWAY_PORT", "PYSPARK_GATEWAY_SECRET")}
+    out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=240)
+    assert "rows 133" in out.stdout, out.stderr[-2000:]
