@@ -4,9 +4,27 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from docketlake.llm.chunks import repeated_spans
 from docketlake.llm.common import query, read
 from docketlake.llm.decontamination import contaminated
+from docketlake.llm.fingerprints import fingerprints
 from docketlake.llm.near_duplicates import near_duplicates
+from docketlake.llm.sharding import balanced_shards
+
+
+@query("op1_substring_dedup")
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_spans(read(spark, sf_dir, "documents"))
+
+
+@query("op3_fingerprints")
+def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints(read(spark, sf_dir, "documents"))
+
+
+@query("op4_shards")
+def op4_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return balanced_shards(read(spark, sf_dir, "documents"))
 
 
 @query("op5_near_duplicates")
