@@ -29,8 +29,9 @@ SLOTS = 1 << 20
 LEAST, MOST = 0.002, 0.2
 #: Subsets at each density, and densities (1/4, 1/16, ... of the lexicon).
 LANES, LEVELS = 8, 5
-#: Rows that are put in order together, about.
-ROWS_TOGETHER = 50_000
+#: Rows that are put in order together, about, and most ranges that the ids are cut into.
+#: Beyond that many, ranges hold more rows, which are sorted on disk.
+ROWS_TOGETHER, MOST_RANGES = 10_000, 4096
 
 
 def term_hashes(text: str | Column) -> Column:
@@ -102,7 +103,7 @@ def _bounds(docs: DataFrame, together: int) -> list[int]:
     n, low, high = docs.agg(F.count("doc_id"), F.min("doc_id"), F.max("doc_id")).first()
     if not n:
         return []
-    parts = max(1, -(-n // together))
+    parts = min(MOST_RANGES, max(1, -(-n // together)))
     shares = [i / parts for i in range(1, parts)]
     cuts = docs.agg(F.percentile_approx("doc_id", shares, 10_000)).first()[0] if shares else []
     return sorted({*cuts, high})

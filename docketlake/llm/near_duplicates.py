@@ -8,8 +8,8 @@
    whose shingles no other candidate has can't reach the similarity with any, and leaves.
 4. In each bucket, all are compared with the candidate that shares most buckets, which in a
    family of copies is their common origin. Pairs within a bucket that these links leave in
-   different components are compared afterwards, once each, where sizes and own shingles
-   still allow a link. So no link is lost, and families don't become all their pairs.
+   different components are compared afterwards, once each, where sizes, own shingles and
+   the counts of shingles by hash class still allow a link. So no link is lost, and families don't become all their pairs.
 5. A compared pair must agree in enough of its minima, and is then confirmed on its sets.
 6. Components by large-star and small-star.
 
@@ -32,6 +32,8 @@ from docketlake.llm.shingles import mix, shingler
 
 MINIMA, BANDS = 128, 32
 ROWS = MINIMA // BANDS
+#: Classes of shingles whose counts bound an intersection.
+PROFILE = 256
 #: Five standard deviations of the estimated similarity below the threshold still pass.
 SLACK = 5 * (0.8 * 0.2 / MINIMA) ** 0.5
 
@@ -59,6 +61,12 @@ def _lists(rows: list[np.ndarray], kind: pa.DataType, dtype) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat, kind))
 
 
+def _profile(hashes: np.ndarray) -> np.ndarray:
+    """How many shingles fall into each of PROFILE classes; more than 32,767 count as that many."""
+    counts = np.bincount((hashes & np.uint64(PROFILE - 1)).astype(np.int64), minlength=PROFILE)
+    return np.minimum(counts, 32767).astype(np.int16)
+
+
 def _features(docs: DataFrame, k: int, whole_sets: bool) -> DataFrame:
     """(id, n, d1, d2) and the minima; for candidates the sets besides."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -75,10 +83,11 @@ def _features(docs: DataFrame, k: int, whole_sets: bool) -> DataFrame:
             }
             if whole_sets:
                 columns["hashes"] = _lists(sets, pa.int64(), np.int64)
+                columns["profile"] = _lists([_profile(s) for s in sets], pa.int16(), np.int16)
             yield pa.RecordBatch.from_pydict(columns)
 
     schema = "id bigint, n bigint, d1 bigint, d2 bigint, minima array<int>"
-    return docs.mapInArrow(run, schema + (", hashes array<bigint>" if whole_sets else ""))
+    return docs.mapInArrow(run, schema + (", hashes array<bigint>, profile array<smallint>" if whole_sets else ""))
 
 
 def _alike(share: int) -> Column:
@@ -103,6 +112,14 @@ def _may_link(share: int, x: str, y: str) -> Column:
     return 100 * most >= share * (n(x) + n(y) - most)
 
 
+def _profiles_allow(share: int) -> Column:
+    """Whether the intersection can be large enough: per class, no more than the smaller count."""
+    most = F.aggregate(F.zip_with("x.profile", "y.profile", lambda p, q: F.least(p, q).cast("bigint")),
+                       F.lit(0).cast("bigint"), lambda s, v: s + v)
+    full = (F.array_max("x.profile") == 32767) | (F.array_max("y.profile") == 32767)
+    return full | (100 * most >= share * (F.col("x.n") + F.col("y.n") - most))
+
+
 def near_duplicates(docs: DataFrame, k: int = 5, share: int = 80) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every row.
 
@@ -135,7 +152,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, share: int = 80) -> DataFrame:
         members = staging.save(members.join(able, "id"))
         links = staging.save(_star_links(members, sets, share))
         parts = components(links, staging)
-        rest = staging.save(_remaining_pairs(members, parts, share))
+        rest = staging.save(_remaining_pairs(members, parts, sets, share))
         if not rest.isEmpty():
             more = _confirmed(rest, sets, share)
             links = staging.save(links.unionAll(more))
@@ -167,7 +184,7 @@ def _star_links(members: DataFrame, sets: DataFrame, share: int) -> DataFrame:
     return _confirmed(pairs, sets, share)
 
 
-def _remaining_pairs(members: DataFrame, parts: DataFrame, share: int) -> DataFrame:
+def _remaining_pairs(members: DataFrame, parts: DataFrame, sets: DataFrame, share: int) -> DataFrame:
     """Pairs of a bucket in different components that may still link, each once.
 
     Left stand only members outside the largest component of their bucket; buckets within
@@ -180,8 +197,10 @@ def _remaining_pairs(members: DataFrame, parts: DataFrame, share: int) -> DataFr
                .where("parts > 1").select("bucket", F.col("top.component").alias("main")))
     open_ = placed.join(largest, "bucket")
     keys = placed.groupBy("id").agg(F.sort_array(F.collect_set("bucket")).alias("keys"))   # at most one per band
-    side = open_.join(keys, "id").select(
-        "bucket", "main", "component", F.struct("id", "n", "own").alias("m"), "keys")
+    known = (open_.select("id", "n").distinct().join(keys, "id")
+             .join(sets.select("id", "n", "profile"), ["id", "n"]).distinct())
+    side = open_.join(known, ["id", "n"]).select(
+        "bucket", "main", "component", F.struct("id", "n", "own", "profile").alias("m"), "keys")
     left = side.where("component != main").select("bucket", F.col("component").alias("ca"), F.col("m").alias("x"),
                                                   F.col("keys").alias("kx"))
     right = side.select("bucket", "main", F.col("component").alias("cb"), F.col("m").alias("y"),
@@ -193,6 +212,7 @@ def _remaining_pairs(members: DataFrame, parts: DataFrame, share: int) -> DataFr
             (F.col("cb") == F.col("main")) | (F.col("x.id") < F.col("y.id")),
             _may_link(share, "x", "y"),
             F.array_min(F.array_intersect("kx", "ky")) == left["bucket"],
+            _profiles_allow(share),
         ])
         .select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
     )
