@@ -24,7 +24,7 @@ from docketlake.llm.decontamination import contaminated
 from docketlake.llm.near_duplicates import near_duplicates
 from docketlake.llm.quality import fit_quality, quality_score
 from docketlake.llm.secrets import redacted
-from docketlake.llm.transducer import decode_bpe, encode_bpe
+from docketlake.llm.transducer import round_trip
 from docketlake.session import configure, drop_scratch, scratch_path
 
 #: Score from which a document stays.
@@ -68,10 +68,10 @@ def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path(VOCABULARY)
-    encoded = docs.select("doc_id", "lang", "source", "text", encode_bpe("text", path).alias("ids"))
-    return encoded.select(
-        "doc_id", "lang", "source", F.size("ids").cast("bigint").alias("n_tokens"), "ids",
-        (decode_bpe("ids", path) == F.coalesce("text", F.lit(""))).alias("decodes"))
+    both = docs.select("doc_id", "lang", "source", "text", round_trip("text", path).alias("r"))
+    return both.select(
+        "doc_id", "lang", "source", F.size("r.ids").cast("bigint").alias("n_tokens"), F.col("r.ids").alias("ids"),
+        (F.col("r.back") == F.coalesce("text", F.lit(""))).alias("decodes"))
 
 
 STAGES = [("quality", quality), ("near_dedup", near_dedup), ("decontaminate", decontaminate),

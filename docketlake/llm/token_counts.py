@@ -19,7 +19,7 @@ import regex
 from pyspark.sql import Column
 
 from docketlake.llm.common import text_udf
-from docketlake.llm.merging import merge
+from docketlake.llm.merging import Merges
 from docketlake.llm.tokenizer_files import Vocabulary, byte_symbols
 
 # Fixed: how the vocabulary file splits normalised text.
@@ -30,16 +30,18 @@ REMEMBERED = 400_000
 
 def counter(vocabulary: Vocabulary):
     """``text -> number of tokens``, special strings inside a text counting one each."""
-    ranks, end, shown = vocabulary.ranks, vocabulary.word_end, byte_symbols()
+    end, shown = vocabulary.word_end, byte_symbols()
+    merges = Merges([*shown, *(s + end for s in shown)] if end else shown, vocabulary.merges)
+    ends = len(shown) if end else 0     # a word's last symbol has a number of its own
     split = regex.compile(WORDS).findall
     special = "|".join(map(regex.escape, sorted(vocabulary.special, key=len, reverse=True)))
     parts = regex.compile(special).split if special else None
     known: dict[str, int] = {}
 
     def one(word: str) -> int:
-        symbols = [shown[b] for b in word.encode("utf-8")]
-        symbols[-1] += end
-        return len(symbols) - merge(symbols, ranks)
+        symbols = list(word.encode("utf-8"))
+        symbols[-1] += ends
+        return len(symbols) - merges.merge(symbols)
 
     def plain(text: str) -> int:
         # Lower case is taken letter by letter: a final sigma is no special case.

@@ -14,12 +14,12 @@ def byte_symbols() -> list[str]:
 
 
 class Vocabulary:
-    """Merge ranks, identifiers and special strings of a byte-level BPE in JSON form."""
+    """Merge list, identifiers and special strings of a byte-level BPE in JSON form."""
 
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
             file = json.load(f)
-        self.ranks = {tuple(m): i for i, m in enumerate(file["model"]["merges"])}
+        self.merges = [tuple(m) for m in file["model"]["merges"]]
         self.ids: dict[str, int] = file["model"]["vocab"]
         self.word_end: str = file["model"].get("end_of_word_suffix") or ""
         self.special = {t["content"]: t["id"] for t in file["added_tokens"]}

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from docketlake.llm.common import query, read, whole
 from docketlake.llm.token_counts import token_count
-from docketlake.llm.transducer import decode_bpe, encode_bpe
+from docketlake.llm.transducer import round_trip
 
 #: Tokens that fit into one training sequence.
 LIMIT = 2048
@@ -26,11 +26,10 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_bpe")
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
-    encoded = read(spark, sf_dir, "documents").select("doc_id", encode_bpe("text", path).alias("ids"))
-    decoded = encoded.select("doc_id", "ids", decode_bpe("ids", path).alias("back"))
-    return decoded.select(
+    both = read(spark, sf_dir, "documents").select("doc_id", round_trip("text", path).alias("r"))
+    return both.select(
         "doc_id",
-        F.size("ids").cast("bigint").alias("n_tokens"),
-        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
-        F.sha2("back", 256).alias("decoded_sha256"),
+        F.size("r.ids").cast("bigint").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("r.ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("r.back", 256).alias("decoded_sha256"),
     )

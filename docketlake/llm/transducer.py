@@ -25,13 +25,13 @@ import regex
 from pyspark.sql import Column
 
 from docketlake.llm.common import text_udf
-from docketlake.llm.merging import merge
+from docketlake.llm.merging import Merges
 from docketlake.llm.tokenizer_files import Vocabulary, byte_symbols
 
 # Fixed: how byte-level vocabularies of this family split a text.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Words whose identifiers a task remembers; the memory is emptied when full.
-REMEMBERED = 300_000
+REMEMBERED = 400_000
 #: Identifiers decoded at a time.
 BLOCK = 4096
 
@@ -54,39 +54,40 @@ def sufficient_lookahead(merges: Iterable[tuple[str, str]]) -> int:
 class Transducer:
     """Reads symbols of one word in any portions, returns tokens as soon as they are stable."""
 
-    def __init__(self, ranks: dict[tuple[str, str], int], lookahead: int):
-        self.ranks, self.lookahead, self.held = ranks, lookahead, ""
+    def __init__(self, merges: Merges, lookahead: int):
+        self.merges, self.lookahead, self.held = merges, lookahead, []
         self.limit = 3 * lookahead + 256
 
-    def feed(self, symbols: str) -> Iterator[str]:
+    def feed(self, symbols: list[int]) -> Iterator[int]:
         for at in range(0, len(symbols), self.limit):
             self.held += symbols[at: at + self.limit]
             if len(self.held) > self.limit:
                 yield from self._stable(len(self.held) - self.lookahead)
 
-    def finish(self) -> list[str]:
-        tokens, self.held = self._merged(self.held), ""
+    def finish(self) -> list[int]:
+        tokens, self.held = self._merged(), []
         return tokens
 
-    def _stable(self, until: int) -> Iterator[str]:
-        done = 0
-        for token in self._merged(self.held):
-            if done + len(token) > until:
+    def _stable(self, until: int) -> Iterator[int]:
+        done, sizes = 0, self.merges.sizes
+        for token in self._merged():
+            if done + sizes[token] > until:
                 break
-            done += len(token)
+            done += sizes[token]
             yield token
         self.held = self.held[done:]
 
-    def _merged(self, text: str) -> list[str]:
-        symbols = list(text)
-        merge(symbols, self.ranks)
-        return [s for s in symbols if s]
+    def _merged(self) -> list[int]:
+        symbols = self.held.copy()
+        self.merges.merge(symbols)
+        return [s for s in symbols if s >= 0]
 
 
-def encoder(vocabulary: Vocabulary):
+def encoder(vocabulary: Vocabulary, lookahead: int | None = None):
     """``text -> list of identifiers``, special strings inside a text taken as such."""
-    shown, ids = byte_symbols(), vocabulary.ids
-    machine = Transducer(vocabulary.ranks, sufficient_lookahead(vocabulary.ranks))
+    merges = Merges(byte_symbols(), vocabulary.merges)
+    machine = Transducer(merges, lookahead or sufficient_lookahead(vocabulary.merges))
+    id_of = [vocabulary.ids[s] for s in merges.numbers]
     words = regex.compile(WORDS).findall
     special = vocabulary.special
     marks = "|".join(map(regex.escape, sorted(special, key=len, reverse=True)))
@@ -94,11 +95,9 @@ def encoder(vocabulary: Vocabulary):
     known: dict[str, tuple[int, ...]] = {}
 
     def one(word: str) -> tuple[int, ...]:
-        out: list[int] = []
-        for at in range(0, len(word), 1024):
-            symbols = "".join([shown[b] for b in word[at: at + 1024].encode("utf-8")])
-            out += [ids[t] for t in machine.feed(symbols)]
-        return (*out, *[ids[t] for t in machine.finish()])
+        data = word.encode("utf-8")
+        out = list(machine.feed(list(data))) if len(data) > machine.limit else machine.held.extend(data) or []
+        return tuple([id_of[s] for s in out + machine.finish()])
 
     def plain(text: str, out: list[int]) -> None:
         for word in words(text):
@@ -143,20 +142,44 @@ def decoder(vocabulary: Vocabulary):
     return decode
 
 
+def _id_lists(rows: list[list[int]]) -> pa.ListArray:
+    ends = np.cumsum([0, *map(len, rows)], dtype=np.int32)
+    flat = np.concatenate([np.array(r, np.int32) for r in rows]) if rows else np.empty(0, np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat, pa.int32()))
+
+
+def _prepared(path: str) -> tuple[str, int]:
+    """The file and its lookahead, which is computed once for all tasks."""
+    return path, sufficient_lookahead(Vocabulary(path).merges)
+
+
 def encode_bpe(text: str | Column, path: str) -> Column:
     """Identifiers of each whole text as ``array<int>``."""
+    path, lookahead = _prepared(path)
+
     def make():
-        encode = encoder(Vocabulary(path))
+        encode = encoder(Vocabulary(path), lookahead)
+        return lambda texts: _id_lists([encode(t) for t in texts])
+
+    return text_udf(make, "array<int>")(text)
+
+
+def round_trip(text: str | Column, path: str) -> Column:
+    """``struct<ids, back>``: identifiers of each whole text, and the text decoded from them."""
+    path, lookahead = _prepared(path)
+
+    def make():
+        vocabulary = Vocabulary(path)
+        encode, decode = encoder(vocabulary, lookahead), decoder(vocabulary)
 
         def work(texts: list[str]) -> pa.Array:
             rows = [encode(t) for t in texts]
-            ends = np.cumsum([0, *map(len, rows)], dtype=np.int32)
-            flat = np.concatenate([np.array(r, np.int32) for r in rows]) if rows else np.empty(0, np.int32)
-            return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
+            return pa.StructArray.from_arrays(
+                [_id_lists(rows), pa.array([decode(r) for r in rows], pa.string())], ["ids", "back"])
 
         return work
 
-    return text_udf(make, "array<int>")(text)
+    return text_udf(make, "struct<ids:array<int>,back:string>")(text)
 
 
 def decode_bpe(ids: str | Column, path: str) -> Column:
