@@ -23,11 +23,15 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from docketlake.llm.common import Staging, pick, whole
 
 SHARDS = 40
-ROUNDS = 4
+ROUNDS = 6
 #: Rows of a shard or group that are put in order together, about.
 ROWS_TOGETHER = 500_000
 
 
+def _constant(numbers: list[int]) -> Column:
+    return F.array(*(F.lit(x).cast("bigint") for x in numbers))
+
+
 def _position(df: DataFrame, keys: list[str], order: list[str], name: str, parts: int,
               first: Column | None = None) -> DataFrame:
     """Gapless positions from 0 within ``keys``; rows where ``first`` holds come first.
@@ -65,28 +69,38 @@ def _granted(requests: DataFrame, parts: int) -> DataFrame:
     return asked.select("group", "source", "target", F.least(left, F.col("n")).alias("moved")).where("moved > 0")
 
 
-def _round(cells: DataFrame, quota: Column, parts: int) -> DataFrame:
+def _round(cells: DataFrame, quotas: list[int], parts: int, number: int) -> DataFrame:
     """One round of moves between the cells (group, shard, n) of linked documents."""
-    free = cells.groupBy("shard").agg(F.sum("n").alias("used")).select(
-        "shard", F.greatest(F.get(quota, F.col("shard")) - F.col("used"), F.lit(0)).alias("free"))
+    used = {r["shard"]: r["n"] for r in cells.groupBy("shard").agg(F.sum("n").alias("n")).collect()}   # one per shard
+    room = [max(0, q - used.get(s, 0)) for s, q in enumerate(quotas)]
+    rooms, roomy = _constant(room), [s for s, r in enumerate(room) if r] or [0]
+    cells = cells.select("group", "shard", "n")
+    # A scattered group that can gather in none of its shards may try one with room.
+    stuck = (cells.groupBy("group").agg(F.sum("n").alias("size"), F.count("*").alias("cells"),
+                                        F.max(F.col("n") + F.get(rooms, F.col("shard"))).alias("most"))
+             .where("cells > 1 AND most < size"))
+    tried = stuck.select("group", F.get(_constant(roomy), F.pmod(F.xxhash64("group", F.lit(number)), F.lit(len(roomy)))
+                                        .cast("int")).cast("int").alias("shard"), F.lit(0).cast("bigint").alias("n"))
+    all_cells = cells.unionByName(tried).groupBy("group", "shard").agg(F.sum("n").alias("n")).withColumn(
+        "free", F.get(rooms, F.col("shard")))
     # A group's shards, best first: where it can have most members, then where it has them now.
     of_group = Window.partitionBy("group")
     ranked = (
-        cells.join(F.broadcast(free), "shard").withColumn("size", F.sum("n").over(of_group))
+        all_cells.withColumn("size", F.sum("n").over(of_group))
         .withColumn("place", F.row_number().over(of_group.orderBy(
             F.least(F.col("n") + F.col("free"), "size").desc(), F.col("n").desc(), F.xxhash64("group", "shard"))) - 1)
-        .withColumn("homes", F.ceil(F.col("size") / F.array_min(quota)).cast("int"))
+        .withColumn("homes", F.ceil(F.col("size") / max(1, min(quotas))).cast("int"))
     )
     homes = ranked.where("place < homes AND free > 0").select(
         "group", F.col("place").alias("wish"), F.col("shard").alias("target"), "free")
     requests = (
-        ranked.where("place >= homes").drop("free")
+        ranked.where("place >= homes AND n > 0").drop("free")
         .withColumn("wish", F.pmod("place", "homes")).join(homes, ["group", "wish"])
         .select("group", F.col("shard").alias("source"), "target", "n", "size", "free"))
     moves = _granted(requests, parts)
     changes = moves.select("group", F.col("source").alias("shard"), (-F.col("moved")).alias("n")).unionByName(
         moves.select("group", F.col("target").alias("shard"), F.col("moved").alias("n")))
-    return (cells.select("group", "shard", "n").unionByName(changes).groupBy("group", "shard")
+    return (cells.unionByName(changes).groupBy("group", "shard")
             .agg(F.sum("n").alias("n")).where("n > 0"))
 
 
@@ -116,12 +130,11 @@ def balanced_shards(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS)
         total = rows.count()
         parts = max(16, -(-total // ROWS_TOGETHER))
         quotas = [total // shards + (s < total % shards) for s in range(shards)]
-        quota = F.array(*(F.lit(max(q, 1)).cast("bigint") for q in quotas))
         groups = rows.groupBy("group").agg(F.count("*").alias("_n")).where("_n > 1").select("group")
         linked = staging.save(rows.join(groups, "group", "left_semi"))
         cells = staging.save(linked.groupBy("group", by_hash.alias("shard")).agg(F.count("*").alias("n")))
-        for _ in range(rounds):
-            cells = staging.save(_round(cells, quota, parts))
+        for number in range(rounds):
+            cells = staging.save(_round(cells, quotas, parts, number))
         placed = _members_placed(linked, cells, parts)
         alone = rows.join(groups, "group", "left_anti").withColumn("shard", by_hash)
         columns = ["doc_id", "size", "text_crc32", "shard"]
@@ -137,14 +150,13 @@ def balanced_shards(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS)
         for k, q in zip(kept, quotas):
             gaps += q - k
             ends.append(gaps)
-        array = lambda xs: F.array(*(F.lit(x).cast("bigint") for x in xs))
-        real = array(quotas)
+        real = _constant(quotas)
         over = _position(ranked.where(F.col("slot") >= F.get(real, F.col("shard"))).withColumn("_all", F.lit(0)),
                          ["_all"], order, "_at", parts)
-        to = F.size(F.filter(array(ends), lambda e: e <= F.col("_at")))
-        begin = array([e - (q - k) for e, q, k in zip(ends, quotas, kept)])
+        to = F.size(F.filter(_constant(ends), lambda e: e <= F.col("_at")))
+        begin = _constant([e - (q - k) for e, q, k in zip(ends, quotas, kept)])
         moved = over.withColumn("shard", to).withColumn(
-            "slot", F.get(array(kept), F.col("shard")) + F.col("_at") - F.get(begin, F.col("shard")))
+            "slot", F.get(_constant(kept), F.col("shard")) + F.col("_at") - F.get(begin, F.col("shard")))
         stays = ranked.where(F.col("slot") < F.get(real, F.col("shard")))
         names = ["doc_id", "size", "text_crc32", "shard", "slot"]
         return staging.keep(stays.select(*names).unionByName(moved.select(*names)).select(
