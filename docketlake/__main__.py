@@ -40,7 +40,8 @@ def arguments() -> argparse.Namespace:
     load.add_argument("--year", type=int)
     load.add_argument("--full-reload", action="store_true")
 
-    sub.add_parser("report", help="show every report")
+    report = sub.add_parser("report", help="write every report, whole, as parquet")
+    report.add_argument("--out", required=True, help="folder; each report goes below it by its name")
     return parser.parse_args()
 
 
@@ -59,13 +60,14 @@ def main() -> None:
         make_client = getattr(importlib.import_module(module), function)
         outcomes = stages.extract_texts(spark, a.base, make_client, a.year, a.limit,
                                         concurrency=a.concurrency)
-        outcomes.groupBy("year", "outcome").count().orderBy("year", "outcome").show(200)
+        for row in outcomes.groupBy("year", "outcome").count().orderBy("year", "outcome").toLocalIterator():
+            print(row["year"], row["outcome"], row["count"])
     elif a.stage == "load":
         stages.load_extractions(spark, a.base, a.year, a.full_reload).show()
     else:
         for name, report in stages.dashboard(spark, a.base).items():
-            print(name)
-            report.show(100, truncate=False)
+            report.write.mode("overwrite").parquet(f"{a.out}/{name}")
+            print(f"{a.out}/{name}")
 
 
 if __name__ == "__main__":

@@ -17,7 +17,7 @@ def apart(key: str) -> Column:
 
 def first_per_key(df: DataFrame, key: str, order: Column, last: bool = False,
                   for_join: bool = False) -> DataFrame:
-    """One row per key: the first (or last) by ``order``.
+    """One row per key: the first (or last) by ``order``; for the last, nulls come first.
 
     An aggregate rather than a ranking window, so copies of a hot key are reduced
     before the shuffle instead of meeting in one task. ``for_join``: the rows are
@@ -27,7 +27,7 @@ def first_per_key(df: DataFrame, key: str, order: Column, last: bool = False,
     pick = F.max_by if last else F.min_by
     return (
         df.groupBy(key, *([apart(key)] if for_join else []))
-        .agg(pick(F.struct(*rest), order).alias("_row"))
+        .agg(pick(F.struct(*rest), F.struct(order) if last else order).alias("_row"))
         .select(key, "_row.*")
         .select(*df.columns)
     )

@@ -39,9 +39,12 @@ def year_index_links(links: DataFrame) -> DataFrame:
     return links.where(F.col("href").rlike(urls.YEAR_INDEX_LINK))
 
 
-def link_counts(links: DataFrame) -> DataFrame:
-    """All links and PDF links by page."""
-    return links.groupBy("page_id").agg(
-        F.count("*").alias("n"),
-        F.count_if(F.col("href").rlike(urls.PDF_LINK)).alias("n_pdf"),
+def link_counts(pages: DataFrame) -> DataFrame:
+    """All links and PDF links of each page, 0 where it has none. No shuffle."""
+    found = pages.select("page_id", anchors(F.col("html")).alias("_a"))
+    pdf = F.filter("_a", lambda a: a["href"].rlike(urls.PDF_LINK))
+    return found.select(
+        "page_id",
+        F.coalesce(F.size("_a"), F.lit(0)).cast("bigint").alias("n"),
+        F.coalesce(F.size(pdf), F.lit(0)).cast("bigint").alias("n_pdf"),
     )

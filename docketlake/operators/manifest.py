@@ -71,15 +71,16 @@ def without_failed(batch: DataFrame, manifest: DataFrame, retry_non_404: bool =
     return missing_from(batch, failed.select("url"), "url")
 
 
-def update_manifest(target: DataFrame, results: DataFrame, order: Column | None = None) -> DataFrame:
+def update_manifest(target: DataFrame, results: DataFrame, order: Column) -> DataFrame:
     """Write results into the manifest by url; unknown urls change nothing.
 
+    Of several results of a url the last by ``order`` wins.
+
     A ``skipped`` result keeps the time and message of the earlier download.
     ``results``: url, download_status, file_size_bytes, downloaded_at, error_message.
     """
     state = ["download_status", "file_size_bytes", "downloaded_at", "error_message"]
-    latest = first_per_key(results.select("url", *state), "url",
-                           F.lit(0) if order is None else order, last=True, for_join=True)
+    latest = first_per_key(results.select("url", *state), "url", order, last=True, for_join=True)
     new = latest.select("url", F.struct(*state).alias("_new"))
     hit, skipped = F.col("_new").isNotNull(), F.col("_new.download_status") == "skipped"
 

@@ -72,16 +72,15 @@ def mark_existing(work: DataFrame, existing: DataFrame, key: str, size: str) ->
     return work.select(*kept).join(sizes, key).withColumn("status", F.lit("skipped"))
 
 
-def upsert_results(old: DataFrame, new: DataFrame, order: Column | None = None) -> DataFrame:
-    """Replace or add parse results by ``pdf_path``; the last copy in ``new`` wins.
+def upsert_results(old: DataFrame, new: DataFrame, order: Column) -> DataFrame:
+    """Replace or add parse results by ``pdf_path``; the last copy in ``new`` by ``order`` wins.
 
     A ``skipped`` result keeps the page count, time and message of the stored row.
     """
     key = "pdf_path"
     columns = [c for c in old.columns if c != key]
     sticky = {"page_count", "parsed_at", "error_message"}
-    latest = first_per_key(new.select(key, *columns), key,
-                           F.lit(0) if order is None else order, last=True)
+    latest = first_per_key(new.select(key, *columns), key, order, last=True)
     o = old.select(key, F.struct(*columns).alias("_old"))
     n = latest.select(key, F.struct(*columns).alias("_new"))
     hit, skipped = F.col("_new").isNotNull(), F.col("_new.parsing_status") == "skipped"

@@ -68,12 +68,13 @@ VIEWS = {
           CASE WHEN event_id % 10 = 0 THEN concat('lost/', CAST(event_id AS VARCHAR(20)), '.htm')
             ELSE concat('raw/', CAST(event_id AS VARCHAR(20)), '.htm') END AS pdf_path,
           concat('markdown/', CAST(event_id AS VARCHAR(20)), '.md') AS markdown_path,
-          CASE event_id % 7 WHEN 0 THEN 'failed' WHEN 1 THEN 'skipped' ELSE 'completed' END AS parsing_status,
+          CASE WHEN event_type NOT IN ('purchase', 'view', 'signup') THEN 'failed' ELSE
+            CASE event_id % 7 WHEN 0 THEN 'failed' WHEN 1 THEN 'skipped' ELSE 'completed' END END AS parsing_status,
           CASE WHEN event_id % 7 > 1 THEN CAST(event_id % 9 AS INT) END AS page_count,
           CASE WHEN event_id % 7 > 0 THEN CAST(event_id % 4001 AS INT) END AS markdown_length,
           CASE WHEN event_id % 7 > 1 THEN ts END AS parsed_at,
           CASE WHEN event_id % 7 = 0 THEN 'broken' END AS error_message
-        FROM <events> WHERE event_type IN ('purchase', 'view', 'signup')""",
+        FROM <events>""",
     # Two candidates in each of three attempts for every work item.
     "s_attempts": """
         SELECT (event_id - event_id % 6) / 6 AS w6, event_id % 6 AS r6, event_type, event_id, ts

@@ -94,7 +94,7 @@ def manifest_update(spark, sf):
         (F.col("event_id") % 777).alias("file_size_bytes"),
         F.lit(None).cast("timestamp_ntz").alias("downloaded_at"),
         F.when(done, "Fallback URL used: x").alias("error_message"))
-    return M.update_manifest(m, results).select(
+    return M.update_manifest(m, results, F.struct("download_status", "file_size_bytes")).select(
         "url", "download_status", "file_size_bytes", "downloaded_at", "error_message")
 
 
@@ -263,5 +263,6 @@ def parse_upsert(spark, sf):
         .withColumn("page_count", F.when(~skipped, 77))
         .withColumn("markdown_length", F.col("markdown_length") + 1)
     )
-    merged = P.upsert_results(rows.where("event_id % 3 <> 0").select(columns), new.select(columns))
+    merged = P.upsert_results(rows.where("event_id % 3 <> 0").select(columns), new.select(columns),
+                              F.struct("parsing_status", "markdown_length"))
     return merged.select("pdf_path", "parsing_status", "page_count", "markdown_length")

@@ -287,10 +287,10 @@ def next_ids(spark, sf):
 
 @query("incremental_load", f"""
     SELECT k, digest_date FROM <s_nested_base>
-    WHERE digest_date NOT IN (SELECT digest_date FROM <s_nested_base> WHERE {_SKIP} OR k % 1000 = 1)""")
+    WHERE digest_date NOT IN (SELECT digest_date FROM <s_nested_base> WHERE {_SKIP} OR day(digest_date) = 1)""")
 def incremental_load(spark, sf):
     digests = view(spark, sf, "s_nested_base").select("k", "digest_date")
-    loaded = digests.where(f"{_SKIP} OR k % 1000 = 1")
+    loaded = digests.where(f"{_SKIP} OR day(digest_date) = 1")
     return L.not_loaded(digests, loaded)
 
 

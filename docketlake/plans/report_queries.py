@@ -172,10 +172,10 @@ def links_resolved(spark, sf):
 
 
 @query("link_counts", f"""
-    SELECT page_id, count(*) AS n, count(*) FILTER (regexp_matches(href, '\\.pdf$', 'i')) AS n_pdf
-    FROM ({_LINKS}) l GROUP BY 1""")
+    SELECT p.page_id, count(l.page_id) AS n, count(*) FILTER (regexp_matches(href, '\\.pdf$', 'i')) AS n_pdf
+    FROM pages p LEFT JOIN ({_LINKS}) l ON p.page_id = l.page_id GROUP BY 1""")
 def link_counts(spark, sf):
-    return K.link_counts(_links(spark, sf))
+    return K.link_counts(table(spark, sf, "pages"))
 
 
 # The pages hold no archive links, so each anchor's address is made into one of five kinds.

@@ -47,7 +47,8 @@ def record_downloads(spark: SparkSession, base: str, attempts: DataFrame) -> Non
     years = [r.year for r in touched.select("year").distinct().collect()]
     if years:
         target = target.where(F.col("year").isin(years))
-        T.replace_partitions(M.update_manifest(target, results), path, "year")
+        T.replace_partitions(M.update_manifest(
+            target, results, F.struct("downloaded_at", "download_status", "file_size_bytes", "error_message")), path, "year")
     drop_scratch(spark, resolved)
 
 
@@ -79,7 +80,8 @@ def parse_year(spark: SparkSession, base: str, raw_root: str, year: int,
         "text", F.lit(year).alias("year"))
     old = T.read_or_empty(spark, result_path, f"{PARSING}, year INT").where(
         F.col("year") == year).drop("year")
-    merged = P.upsert_results(old, new).withColumn("year", F.lit(year))
+    merged = P.upsert_results(old, new, F.struct(
+        "parsed_at", "parsing_status", "markdown_length", "markdown_path", "error_message")).withColumn("year", F.lit(year))
     counts = P.parse_stats(new)
     row = spark.createDataFrame([counts.first()], counts.schema)
     files.write_texts(texts, text_path, mode="append")
@@ -192,15 +194,17 @@ def load_extractions(spark: SparkSession, base: str, year: int | None = None,
     """Load the stored records, all or those of one year, new dates only.
 
     ``whole_files``: the records are JSON files in year folders, one digest each.
-    A full reload replaces the selected years and leaves the others as they are.
+    A full reload of a year leaves the others as they are; without a year it replaces all.
     """
     configure(spark)
     fmt = "files" if whole_files else "parquet"
     records = files.read_extractions(spark, f"{base}/extractions", year, fmt)
     years = None
     if full_reload:
-        years = [year] if year else [
-            r[0] for r in records.select(F.year("digest_date")).distinct().collect() if r[0]]
+        # Without a year all that is stored goes, also years that the records no longer have.
+        years = [year] if year else _years(records, "digest_date")
+        if years and not year:
+            years = sorted({*years, *_years(T.enforcement_tables(spark, base)["enforcement_actions"], "digest_date")})
     if whole_files:
         records = records.select("*", *files.load_order())
         return load_records(spark, base, records, ["year_dir", "file_name"], years)
@@ -210,6 +214,11 @@ def load_extractions(spark: SparkSession, base: str, year: int | None = None,
     return load_records(spark, base, keyed, ["digest_date", "record_hash"], years)
 
 
+def _years(df: DataFrame, column: str) -> list[int]:
+    """The years of a column of dates: one value per year of the archive."""
+    return [r[0] for r in df.select(F.year(column)).distinct().collect() if r[0]]
+
+
 def dashboard(spark: SparkSession, base: str) -> dict[str, DataFrame]:
     """Every report over the stored tables; a table that is not there counts as empty."""
     configure(spark)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -56,7 +55,7 @@ def local_session(cores: int | str = "*", memory: str = "8g") -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """Folder that all executors can reach, as the session names it.
 
-    Only a local master may fall back to a folder of its own.
+    Only a local master may fall back to a folder below its warehouse.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
@@ -64,7 +63,7 @@ def shared_dir(spark: SparkSession) -> str:
     if not path:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
-        path = tempfile.mkdtemp(prefix="docketlake-")
+        path = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_staged"
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(path)
     return path.rstrip("/")

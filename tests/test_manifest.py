@@ -69,7 +69,7 @@ def test_update_keeps_time_and_message_on_skip(spark):
         [("a", "skipped", 6, None, None), ("b", "failed", None, None, "HTTP 503"),
          ("z", "completed", 1, t, None), ("c", "completed", 7, None, None)],
         "url STRING, download_status STRING, file_size_bytes BIGINT, downloaded_at TIMESTAMP_NTZ, error_message STRING")
-    got = {r.url: r for r in M.update_manifest(target, results).collect()}
+    got = {r.url: r for r in M.update_manifest(target, results, F.col("downloaded_at")).collect()}
     assert set(got) == {"a", "b", "c"}
     assert (got["a"].download_status, got["a"].file_size_bytes, got["a"].downloaded_at,
             got["a"].error_message) == ("skipped", 6, t, "m")
@@ -162,6 +162,23 @@ def test_parse_files_and_upsert(spark):
     old = spark.createDataFrame([("a", "o", "completed", 4, 10, t, None), ("b", "o", "failed", None, None, None, "x")], PARSING)
     new = spark.createDataFrame([("a", "n", "skipped", None, 11, None, None), ("b", "n", "completed", 1, 2, t, None),
                                  ("c", "n", "failed", None, None, None, "y")], PARSING)
-    rows = sorted(tuple(r) for r in P.upsert_results(old, new).collect())
+    rows = sorted(tuple(r) for r in P.upsert_results(old, new, F.col("parsed_at")).collect())
     assert rows == [("a", "n", "skipped", 4, 11, t, None), ("b", "n", "completed", 1, 2, t, None),
                     ("c", "n", "failed", None, None, None, "y")]
+
+
+def test_the_last_result_wins_however_rows_lie(spark):
+    t = [dt.datetime(2020, 1, d) for d in (1, 2, 3)]
+    rows = [("a", "n", "completed", 1, d, t[d], None) for d in range(3)]
+    old = spark.createDataFrame([], PARSING)
+    for new in (rows, rows[::-1]):
+        got = P.upsert_results(old, spark.createDataFrame(new, PARSING).repartition(3), F.col("parsed_at")).collect()
+        assert [r.markdown_length for r in got] == [2]
+
+
+def test_pages_without_links_are_counted(spark):
+    from docketlake.operators.links import link_counts
+
+    pages = spark.createDataFrame([(1, "u", "<p>none</p>"), (2, "u", '<a href="x.PDF">a</a><a href="y">b</a>'), (3, "u", None)],
+                                  "page_id BIGINT, url STRING, html STRING")
+    assert {tuple(r) for r in link_counts(pages).collect()} == {(1, 0, 0), (2, 2, 1), (3, 0, 0)}

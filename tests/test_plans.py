@@ -13,7 +13,7 @@ from docketlake.session import scratch_path
 from docketlake.sources import files
 
 SF = "/root/testdata/sf0.001"
-QUERIES = entry.queries()
+QUERIES = entry.QUERIES
 
 
 def plan(df):
