@@ -28,13 +28,20 @@ def pending_digests(texts: DataFrame, done: DataFrame, key: str = "digest_date",
                     limit: int | None = None, order: str | None = None) -> DataFrame:
     """Digests with an enforcement section and no record yet, at most ``limit`` per year.
 
+    With a limit, ``order`` (the key, if not given) must name one digest each.
+
     The pre-filter only looks at texts that have no record: its condition names a
     column of the other side, so it cannot move below the join.
     """
     known = known_keys(done, key).withColumn("_known", F.lit(True))
     new_hit = F.when(F.col("_known").isNull(), X.has_section(F.col("text")))
     pending = texts.join(known, key, "left").where(new_hit).select(*texts.columns)
-    return pending if limit is None else top_per_group(pending, "year", order or key, limit).drop("rn")
+    if limit is None:
+        return pending
+    # Only the names are ranked; the texts follow them.
+    order = order or key
+    chosen = top_per_group(pending.select("year", order), "year", order, limit)
+    return pending.join(chosen.select(order), order, "left_semi").select(*texts.columns)
 
 
 def prefilter(texts: DataFrame) -> DataFrame:
@@ -143,9 +150,11 @@ def judge_responses(responses: DataFrame) -> DataFrame:
     )
 
 
-def extraction_outcomes(responses: DataFrame) -> DataFrame:
+def extraction_outcomes(responses: DataFrame, *keep: str) -> DataFrame:
     """Nested record per answered digest, with the outcome that decides its fate.
 
+    ``keep``: the columns that name the digest, its date if none are given.
+
     ``ok``: the actions as given. ``failed``: counted as having actions, none
     kept, the note names the reason. ``error``: not to be stored; it stays pending.
     """
@@ -155,7 +164,7 @@ def extraction_outcomes(responses: DataFrame) -> DataFrame:
     none = F.array().cast(f"array<{ACTION_ELEMENT}>")
     actions = F.when(ok, A.answer_actions(F.col("_v"))).otherwise(none)
     return judged.select(
-        "digest_date",
+        *(keep or ["digest_date"]),
         F.when(ok, F.size(actions) > 0).otherwise(F.lit(True)).alias("has_enforcement_actions"),
         actions.alias("actions"),
         F.when(ok, A.answer_notes(F.col("_v")))

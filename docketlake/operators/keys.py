@@ -49,11 +49,6 @@ def known_keys(df: DataFrame, key: str) -> DataFrame:
     return distinct_keys(df, key)
 
 
-def broadcast_if_small(df: DataFrame, rows: int = 500_000) -> DataFrame:
-    """Mark for broadcast after counting, else leave the join to shuffle (runs a job)."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
-
-
 def missing_from(df: DataFrame, other: DataFrame, key: str) -> DataFrame:
     """Rows of ``df`` whose key does not occur in ``other`` (left anti join)."""
     return df.join(distinct_keys(other, key), key, "left_anti")

@@ -72,6 +72,24 @@ def mark_existing(work: DataFrame, existing: DataFrame, key: str, size: str) ->
     return work.select(*kept).join(sizes, key).withColumn("status", F.lit("skipped"))
 
 
+def one_per_output(parsed: DataFrame) -> DataFrame:
+    """Of several completed files of one ``out_path`` the first by path is kept.
+
+    The files after it become ``skipped``, with the length of the text that is kept.
+    Files before it, which gave no text, stay as they are.
+    """
+    done = parsed.where(F.col("parsing_status") == "completed")
+    first = done.groupBy("out_path").agg(
+        F.min(F.struct(F.col("path").alias("path"), F.col("markdown_length").alias("size"))).alias("_first"))
+    after = F.coalesce(F.col("path") > F.col("_first.path"), F.lit(False))
+    changed = {
+        "parsing_status": F.lit("skipped"), "markdown_length": F.col("_first.size"),
+        "page_count": F.lit(None), "error_message": F.lit(None),
+    }
+    return parsed.join(first, "out_path", "left").select(
+        *[F.when(after, changed[c]).otherwise(F.col(c)).alias(c) if c in changed else c for c in parsed.columns])
+
+
 def upsert_results(old: DataFrame, new: DataFrame, order: Column) -> DataFrame:
     """Replace or add parse results by ``pdf_path``; the last copy in ``new`` by ``order`` wins.
 

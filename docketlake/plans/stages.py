@@ -5,15 +5,16 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from docketlake.functions import urls
 from docketlake.operators import extraction as E, load as L, manifest as M, parsing as P, reports as R
-from docketlake.operators.keys import broadcast_if_small
 from docketlake.schemas import MANIFEST, PARSING
 from docketlake.session import configure, drop_scratch, scratch_path
 from docketlake.sources import files, tables as T
 
+TEXTS = "pdf_path STRING, out_path STRING, digest_date DATE, text STRING, text_length INT, year INT"
+
 
 def plan_downloads(spark: SparkSession, base: str, url_root: str, first: int, last: int,
                    output: str = "raw", retry_non_404: bool = False) -> DataFrame:
@@ -54,30 +55,39 @@ def record_downloads(spark: SparkSession, base: str, attempts: DataFrame) -> Non
 
 def parse_year(spark: SparkSession, base: str, raw_root: str, year: int,
                pdf_text: DataFrame | None = None) -> DataFrame:
-    """Parse the new raw files of a year, store texts and results, return run counts."""
+    """Parse the new raw files of a year, store texts and results, return run counts.
+
+    A digest is known by its output path. Of several files with one output path the
+    first that gives a text is kept, the files after it are ``skipped``, in this run
+    and in later ones. Only files that are parsed are opened.
+    """
     configure(spark)
     text_path, result_path = f"{base}/digest_text", f"{base}/parsing_results"
-    schema = "pdf_path STRING, digest_date DATE, text STRING, year INT"
-    raw = files.raw_files(spark, raw_root, year)
-    done = T.read_or_empty(spark, text_path, schema).where(F.col("year") == year).select(
-        F.col("pdf_path").alias("path"), F.length("text").alias("markdown_length"))
-    # The file contents must not be shuffled for the sake of a list of names.
-    known = broadcast_if_small(done.select("path").distinct())
-    parsed = P.parse_files(raw.join(known, "path", "left_anti"), pdf_text=pdf_text)
+    raw = files.raw_files(spark, raw_root, year).withColumn(
+        "out_path", urls.text_path(F.col("path"), "markdown"))
+    done = T.read_or_empty(spark, text_path, TEXTS).where(F.col("year") == year).select(
+        "out_path", F.col("text_length").alias("markdown_length"))
+    names = raw.select("path", "out_path", "file")
+    new_names = P.skip_existing(names, done, "out_path")
+    is_pdf = urls.source_kind(F.col("path")) == "pdf"
+    opened = files.only_files(raw, new_names.where(~is_pdf)).select("path", "content").unionByName(
+        new_names.where(is_pdf).select("path", F.lit(None).cast("binary").alias("content")))
     staged = scratch_path(spark, "parsed")
-    parsed.write.parquet(staged)
+    P.parse_files(opened, pdf_text=pdf_text).write.parquet(staged)
     parsed = spark.read.parquet(staged)
-    skipped = P.mark_existing(
-        raw.select("path", urls.text_path(F.col("path"), "markdown").alias("out_path")), done,
-        "path", "markdown_length"
-    ).select("path", "out_path", F.col("status").alias("parsing_status"),
-             F.lit(None).cast("int").alias("page_count"), "markdown_length",
-             F.lit(None).cast("string").alias("error_message"))
-    new = P.to_results(parsed.select(*skipped.columns).unionByName(skipped),
-                       F.current_timestamp().cast("timestamp_ntz"))
-    texts = parsed.where(F.col("parsing_status") == "completed").select(
-        F.col("path").alias("pdf_path"), urls.digest_date_from_name(F.col("path")).alias("digest_date"),
-        "text", F.lit(year).alias("year"))
+    columns = ["path", "out_path", "parsing_status", "page_count", "markdown_length", "error_message"]
+    judged = P.one_per_output(parsed.select(*columns))
+    skipped = P.mark_existing(names.select("path", "out_path"), done, "out_path", "markdown_length").select(
+        "path", "out_path", F.col("status").alias("parsing_status"), F.lit(None).cast("int").alias("page_count"),
+        "markdown_length", F.lit(None).cast("string").alias("error_message"))
+    # Read twice below, and the texts it looks at are about to change.
+    result_stage = scratch_path(spark, "results")
+    P.to_results(judged.unionByName(skipped), F.current_timestamp().cast("timestamp_ntz")).write.parquet(result_stage)
+    new = spark.read.parquet(result_stage)
+    kept = judged.where(F.col("parsing_status") == "completed").select("path")
+    texts = parsed.join(kept, "path", "left_semi").select(
+        F.col("path").alias("pdf_path"), "out_path", urls.digest_date_from_name(F.col("path")).alias("digest_date"),
+        "text", F.col("markdown_length").alias("text_length"), F.lit(year).alias("year"))
     old = T.read_or_empty(spark, result_path, f"{PARSING}, year INT").where(
         F.col("year") == year).drop("year")
     merged = P.upsert_results(old, new, F.struct(
@@ -86,7 +96,7 @@ def parse_year(spark: SparkSession, base: str, raw_root: str, year: int,
     row = spark.createDataFrame([counts.first()], counts.schema)
     files.write_texts(texts, text_path, mode="append")
     T.replace_partitions(merged, result_path, "year")
-    drop_scratch(spark, staged)
+    drop_scratch(spark, staged, result_stage)
     return row
 
 
@@ -95,41 +105,72 @@ def extract_texts(spark: SparkSession, base: str, make_client: Callable[[], Call
                   concurrency: int | None = None) -> DataFrame:
     """Extract the pending digests, store their records, return the outcomes.
 
-    Digests whose extraction failed have a record and are left alone, unless
-    ``retry_failed``. Those in error have none and are tried again.
+    Digests, calls and records are known by the output path of the text. Digests whose
+    extraction failed have a record and are left alone, unless ``retry_failed``. Those
+    in error have none and are tried again; those whose file name holds no date are in
+    error without a call. Answers that an earlier run paid for and died before storing
+    are taken from its log, whatever their year.
     """
     configure(spark)
     texts = files.read_texts(spark, f"{base}/digest_text", year)
-    record_path = f"{base}/extractions"
+    record_path, open_path = f"{base}/extractions", f"{base}/call_log_open"
     if files.path_exists(spark, record_path):
         done = files.read_extractions(spark, record_path)
-        if year is not None:
-            done = done.where(F.col("year") == year)
         if retry_failed:
             done = done.where(L.has_actions() | ~F.col("has_enforcement_actions"))
-        done = done.select("digest_date")
+        done = done.select("out_path")
     else:
-        done = spark.createDataFrame([], "digest_date DATE")
-    work = E.prompts(E.pending_digests(texts, done, limit=limit)).select("digest_date", "prompt")
+        done = spark.createDataFrame([], "out_path STRING")
+    dated = F.col("digest_date").isNotNull()
+
     # The calls are costly: their log is stored once, for good, and read from there on.
-    log_path = f"{base}/call_log/run={uuid.uuid4().hex}"
-    E.call_extractor(work, make_client, concurrency=concurrency).write.parquet(log_path)
-    log = spark.read.parquet(log_path)
-    day = F.col("prompt_key").cast("date")
+    # A run's mark goes when its records are stored.
+    calls = f"{base}/call_log"
+    left = files.marks(spark, open_path)
+    paid = P.skip_existing(
+        T.read_or_empty(spark, calls, f"{E.CALL_LOG}, run STRING").where(F.col("run").isin(left)).drop("run"),
+        done.withColumnRenamed("out_path", "prompt_key"), "prompt_key")
+    pending = texts.where(dated)
+    if left:
+        pending = P.skip_existing(pending, paid.select(F.col("prompt_key").alias("out_path")), "out_path")
+    work = E.prompts(E.pending_digests(pending, done, "out_path", limit)).select("out_path", "prompt")
+    run = f"r{uuid.uuid4().hex}"
+    files.set_mark(spark, f"{open_path}/{run}")
+    E.call_extractor(work, make_client, "out_path", concurrency=concurrency).write.parquet(f"{calls}/run={run}")
+    log = spark.read.parquet(f"{calls}/run={run}")
+    if left:
+        # Staged, since the records that it is compared with are about to grow.
+        paid_path = scratch_path(spark, "paid")
+        paid.write.parquet(paid_path)
+        log = log.unionByName(spark.read.parquet(paid_path))
+
+    digest = [F.col("prompt_key").alias("out_path"), urls.digest_date_from_name(F.col("prompt_key")).alias("digest_date")]
     answered = log.where(F.col("http_status") == 200).select(
-        day.alias("digest_date"), "response", (F.col("attempt") + 1).alias("attempts"))
-    outcomes = E.extraction_outcomes(answered)
+        *digest, "response", (F.col("attempt") + 1).alias("attempts"))
+    outcomes = E.extraction_outcomes(answered, "out_path", "digest_date", "attempts")
+
+    def without_answer(rows: DataFrame, note: Column, outcome: Column, error: str) -> DataFrame:
+        return rows.select(
+            "out_path", "digest_date", "attempts", F.lit(True).alias("has_enforcement_actions"),
+            F.lit([]).cast(outcomes.schema["actions"].dataType).alias("actions"),
+            F.concat(F.lit("Extraction failed: "), note).alias("extraction_notes"),
+            outcome.alias("outcome"), F.lit(error).alias("error_class"),
+            F.lit(None).cast("string").alias("error_path"))
+
     dead = E.resolve_calls(log, "prompt_key", F.lit(True)).where("status <> 'ok'").select(
-        F.col("prompt_key").cast("date").alias("digest_date"),
-        F.lit(True).alias("has_enforcement_actions"),
-        F.lit([]).cast(outcomes.schema["actions"].dataType).alias("actions"),
-        F.concat(F.lit("Extraction failed: "), F.col("message")).alias("extraction_notes"),
-        F.col("status").alias("outcome"), F.lit("ResponseError").alias("error_class"),
-        F.lit(None).cast("string").alias("error_path"))
-    result = outcomes.unionByName(dead).withColumn("year", F.year("digest_date"))
+        *digest, "attempts", "message", "status")
+    undated = E.prefilter(texts.where(~dated)).where("has_actions").select(
+        "out_path", "digest_date", F.lit(0).alias("attempts"))
+    result = outcomes.unionByName(
+        without_answer(dead, F.col("message"), F.col("status"), "ResponseError")
+    ).unionByName(
+        without_answer(undated, F.lit("no digest date in the file name"), F.lit("error"), "ValueError")
+    ).withColumn("year", F.coalesce(F.year("digest_date"), urls.year_folder(F.col("out_path")).try_cast("int")))
     stored = result.where(F.col("outcome").isin("ok", "failed")).select(
-        "digest_date", "has_enforcement_actions", "actions", "extraction_notes", "year")
+        "digest_date", "has_enforcement_actions", "actions", "extraction_notes", "out_path", "year")
     files.write_extractions(stored, record_path)
+    for name in [run, *left]:
+        files.clear_mark(spark, f"{open_path}/{name}")
     return result
 
 
@@ -168,12 +209,15 @@ def load_records(spark: SparkSession, base: str, digests: DataFrame, order: list
     chosen = classified.where(F.col("load_outcome") == "loaded")
     offsets_path = scratch_path(spark, "offsets")
     L.running_offsets(chosen, [*order, "_row"]).drop(*order).write.parquet(offsets_path)
-    offsets = spark.read.parquet(offsets_path)
-    chosen = chosen.select("_row", "digest_date", F.year("digest_date").alias("year"), "actions",
-                           "extraction_notes")
+    # The nested rows move once; the four tables are cut from what is stored here.
+    placed_path = scratch_path(spark, "placed")
+    chosen.select("_row", "digest_date", F.year("digest_date").alias("year"), "actions", "extraction_notes").join(
+        spark.read.parquet(offsets_path), "_row").write.parquet(placed_path)
+    stored = spark.read.parquet(placed_path)
 
     def placed(*kinds: str) -> DataFrame:
-        return chosen.join(offsets.select("_row", *[f"{k}_offset" for k in kinds]), "_row")
+        return stored.select("_row", "digest_date", "year", "actions", "extraction_notes",
+                             *[f"{k}_offset" for k in kinds])
 
     start = ids["enforcement_actions"] + 1
     actions = L.flatten_actions(placed("actions"), start).withColumn(
@@ -185,7 +229,7 @@ def load_records(spark: SparkSession, base: str, digests: DataFrame, order: list
         out[kind] = L.flatten_children(placed("actions", kind), kind, start, ids[kind] + 1).select(
             "id", "action_id", *fields, "year")
     T.publish_load(spark, base, out, counts, {t: ids[t] + totals[t] for t in ids}, replace_years)
-    drop_scratch(spark, staged, offsets_path)
+    drop_scratch(spark, staged, offsets_path, placed_path)
     return counts
 
 

@@ -17,18 +17,53 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(jvm_path))
 
 
+def _fs_path(spark: SparkSession, path: str):
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()), jvm_path
+
+
+def set_mark(spark: SparkSession, path: str) -> None:
+    """Create an empty folder that stands for a state."""
+    fs, p = _fs_path(spark, path)
+    fs.mkdirs(p)
+
+
+def clear_mark(spark: SparkSession, path: str) -> None:
+    fs, p = _fs_path(spark, path)
+    fs.delete(p, False)
+
+
+def marks(spark: SparkSession, path: str) -> list[str]:
+    """Names of the marks set below a path."""
+    fs, p = _fs_path(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
+
+
 def raw_files(spark: SparkSession, root: str, year: int | None = None) -> DataFrame:
-    """Digest files below ``root/YYYY``: path (from ``root`` on), size, year folder, content.
+    """Digest files below ``root/YYYY``: path (from ``root`` on), size, year folder, content, full name.
 
-    One level of folders, case-sensitive suffixes; a missing folder is empty.
+    One level of folders, case-sensitive suffixes; a missing folder is empty. The
+    content of a file is only read by a plan that uses the column.
     """
     folder = root if year is None else f"{root}/{year}"
     pattern = f"{root}/*/{RAW_GLOB}" if year is None else f"{root}/{year}/{RAW_GLOB}"
     if not path_exists(spark, folder):
-        return spark.createDataFrame([], "path STRING, length BIGINT, year_dir STRING, content BINARY")
+        return spark.createDataFrame(
+            [], "path STRING, length BIGINT, year_dir STRING, content BINARY, file STRING")
     files = spark.read.format("binaryFile").option("ignoreMissingFiles", True).load(pattern)
     path = F.concat(F.lit(f"{root}/"), F.regexp_extract("path", r"([^/]*/[^/]*)$", 1))
-    return files.select(path.alias("path"), "length", urls.year_folder(F.col("path")).alias("year_dir"), "content")
+    return files.select(path.alias("path"), "length", urls.year_folder(F.col("path")).alias("year_dir"),
+                        "content", F.col("_metadata.file_path").alias("file"))
+
+
+def only_files(raw: DataFrame, chosen: DataFrame) -> DataFrame:
+    """The rows of :func:`raw_files` named by ``chosen`` (``file``); no other file is opened.
+
+    The names go into the scan's own filter, which drops files before they are
+    split over tasks. They pass the driver, where the scan's listing, which is
+    longer, is held anyway; so call it with the new files of one year.
+    """
+    return raw.where(F.col("file").isin([r.file for r in chosen.select("file").collect()]))
 
 
 def spread(df: DataFrame) -> DataFrame:
@@ -82,14 +117,15 @@ def read_extractions(spark: SparkSession, path: str, year: int | None = None,
 
     ``parquet`` and ``json`` (one record per line) read what
     :func:`write_extractions` wrote; ``files`` reads one JSON object per file from
-    plain year folders (``1999/x.json``). A JSON record that cannot be read keeps
+    plain year folders (``1999/x.json``). ``out_path`` names the text that a parquet
+    record was made from. A JSON record that cannot be read keeps
     its text in ``_corrupt``; ``_path`` names the file a record came from.
     """
     if fmt == "files":
         source = f"{path}/{'*' if year is None else year}"
     else:
         source = path if year is None else f"{path}/year={year}"
-    reader = spark.read.schema(DIGEST if fmt == "parquet" else f"{DIGEST}, _corrupt STRING")
+    reader = spark.read.schema(f"{DIGEST}, " + ("out_path STRING" if fmt == "parquet" else "_corrupt STRING"))
     if fmt != "files":
         reader = reader.option("basePath", path)
     if fmt == "parquet":

@@ -1,5 +1,6 @@
 """The plans have the shape that large data needs."""
 
+import os
 import re
 from contextlib import contextmanager
 
@@ -152,13 +153,29 @@ def test_offsets_survive_recomputation(spark):
         total += i % 3
 
 
-def test_broadcast_only_after_counting(spark):
-    from docketlake.operators.keys import broadcast_if_small, known_keys
+def test_broadcast_of_dates_only(spark):
+    from docketlake.operators.keys import known_keys
 
     def hinted(df):
         return "broadcast" in df._jdf.queryExecution().analyzed().toString().lower()
 
     names = spark.range(10).select(F.col("id").cast("string").alias("k"))
-    assert hinted(broadcast_if_small(names, rows=10)) and not hinted(broadcast_if_small(names, rows=9))
     days = spark.range(10).select(F.date_add(F.current_date(), F.col("id").cast("int")).alias("k"))
     assert hinted(known_keys(days, "k")) and not hinted(known_keys(names, "k"))
+
+
+def test_only_chosen_raw_files_are_opened(spark):
+    root = scratch_path(spark, "raw")
+    folder = root.removeprefix("file:") + "/1990"
+    os.makedirs(folder)
+    for i in range(5):
+        with open(f"{folder}/digest_{i} a.txt", "wb") as f:
+            f.write(b"x" * (i + 1))
+    raw = files.raw_files(spark, root, 1990)
+    names = raw.select("path", "file")
+    assert "content" not in plan(names.where("path > ''"))
+    some = files.only_files(raw, names.where("path LIKE '%1 a%' OR path LIKE '%3 a%'"))
+    assert sorted((r.path.split("/")[-1], len(r.content)) for r in some.collect()) == [
+        ("digest_1 a.txt", 2), ("digest_3 a.txt", 4)]
+    leaves = some._jdf.queryExecution().executedPlan().collectLeaves()
+    assert sum(leaves.apply(i).metrics().apply("numFiles").value() for i in range(leaves.size())) == 2

@@ -94,6 +94,91 @@ def test_pipeline(spark, monkeypatch):
     assert quality == {(2006, "skipped"): 4}  # the .htm file is no address the manifest expects
 
 
+class Counted(Exception):
+    pass
+
+
+def test_output_path_names_a_digest(spark):
+    """Second files of a stem, files without a date, several digests of a date."""
+    base = scratch_path(spark, "identity")
+    raw, head = f"{base}/raw", "ADMINISTRATIVE PROCEEDINGS\n"
+    for name, text in {"digest_1985-01-07.htm": f"<p>{head}first</p>", "digest_1985-01-07.txt": head + "second",
+                       "digest_1985-1-7.txt": head + "odd", "digest_1985-02-01.txt": head + "pdf failed",
+                       "digest_undated.txt": head, "digest_none.txt": "HOLDINGS", "digest_1985-03-01.html": "<p>x</p>"}.items():
+        write(f"{local(raw)}/1985/{name}", text.encode())
+    write(f"{local(raw)}/1985/digest_1985-02-01.pdf", b"%PDF")
+    stats = S.parse_year(spark, base, raw, 1985).first()
+    assert (stats.completed, stats.skipped, stats.needs_converter, stats.total) == (6, 1, 1, 8)
+    write(f"{local(raw)}/1985/digest_1985-03-01.txt", b"later")
+    stats = S.parse_year(spark, base, raw, 1985).first()
+    assert (stats.completed, stats.skipped, stats.needs_converter, stats.total) == (0, 9, 0, 9)
+    texts = {r.out_path.split("/")[-1]: r.pdf_path.split("/")[-1] for r in spark.read.parquet(f"{base}/digest_text").collect()}
+    assert texts == {"digest_1985-01-07.md": "digest_1985-01-07.htm", "digest_1985-1-7.md": "digest_1985-1-7.txt",
+                     "digest_1985-02-01.md": "digest_1985-02-01.txt", "digest_undated.md": "digest_undated.txt",
+                     "digest_none.md": "digest_none.txt", "digest_1985-03-01.md": "digest_1985-03-01.html"}
+
+    def client():
+        def ask(prompt):
+            assert "odd" in prompt or "first" in prompt or "pdf failed" in prompt
+            return '{"actions": null}' if "odd" in prompt else '{"actions": []}'
+        return ask
+
+    def names(rows):
+        return {r.out_path.split("/")[-1]: (r.outcome, r.error_class, r.attempts) for r in rows.collect()}
+
+    first = names(S.extract_texts(spark, base, client, 1985))
+    error = {"digest_undated.md": ("error", "ValueError", 0)}
+    assert {k: v[0] for k, v in first.items()} == {
+        "digest_1985-01-07.md": "ok", "digest_1985-02-01.md": "ok", "digest_1985-1-7.md": "error", "digest_undated.md": "error"}
+    assert first["digest_1985-01-07.md"][2] == 1 and first["digest_undated.md"] == error["digest_undated.md"]
+    stored = files.read_extractions(spark, f"{base}/extractions")
+    assert stored.count() == 2 and {str(r.digest_date) for r in stored.collect()} == {"1985-01-07", "1985-02-01"}
+
+    def sane():
+        return lambda prompt: '{"actions": []}'
+
+    assert {k: v[0] for k, v in names(S.extract_texts(spark, base, sane)).items()} == {
+        "digest_1985-1-7.md": "ok", "digest_undated.md": "error"}
+
+    def none():
+        def ask(prompt):
+            raise Counted("a call for a digest that has a record")
+        return ask
+
+    assert names(S.extract_texts(spark, base, none)) == error
+    assert files.read_extractions(spark, f"{base}/extractions").count() == 3
+    assert files.marks(spark, f"{base}/call_log_open") == []
+
+
+def test_paid_answers_survive_a_run_that_dies(spark, monkeypatch):
+    base = scratch_path(spark, "paid")
+    for day in ("01", "02"):
+        write(f"{local(base)}/raw/1990/digest_1990-01-{day}.txt", b"CIVIL PROCEEDINGS\n")
+    S.parse_year(spark, base, f"{base}/raw", 1990)
+
+    def client():
+        return lambda prompt: '{"actions": []}'
+
+    with monkeypatch.context() as m:
+        m.setattr(files, "write_extractions", lambda *a: (_ for _ in ()).throw(RuntimeError("died")))
+        try:
+            S.extract_texts(spark, base, client)
+        except RuntimeError as e:
+            assert str(e) == "died"
+    write(f"{local(base)}/raw/1990/digest_1990-01-03.txt", b"CIVIL PROCEEDINGS\nnew")
+    S.parse_year(spark, base, f"{base}/raw", 1990)
+
+    def only_new():
+        def ask(prompt):
+            assert "new" in prompt
+            return '{"actions": []}'
+        return ask
+
+    assert [r.outcome for r in S.extract_texts(spark, base, only_new).collect()] == ["ok"] * 3
+    assert files.read_extractions(spark, f"{base}/extractions").count() == 3
+    assert S.extract_texts(spark, base, only_new).count() == 0
+
+
 def test_reports_without_tables(spark):
     base = scratch_path(spark, "nothing")
     assert not T.tables_present(spark, base, ["enforcement_actions"])
