@@ -191,7 +191,7 @@ def extraction_sink(spark, sf):
     path = scratch_path(spark, "extractions")
     nested = nested_digests(spark, sf)
     files.write_extractions(nested.withColumn("year", F.col("year_dir")).drop("k", "year_dir", "file_name"), path)
-    return files.read_extractions(spark, path).withColumn("year", F.year("digest_date")).groupBy("year").agg(
+    return files.read_extractions(spark, path).groupBy("year").agg(
         F.count("*").alias("n"), F.sum(F.size("actions")).alias("n_actions"))
 
 

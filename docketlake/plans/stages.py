@@ -178,13 +178,17 @@ def load_records(spark: SparkSession, base: str, digests: DataFrame, order: list
                  replace_years: list[int] | None = None) -> DataFrame:
     """Load nested records into the four tables; return the run's counts.
 
-    ``order`` names the columns that fix the order of the ids. With ``replace_years`` those years are loaded anew in place of what is
-    stored; an empty input is then refused.
+    ``order`` names the columns that fix the order of the ids. With ``replace_years`` those
+    years are loaded anew in place of what is stored; an empty input is then refused.
+    Digests in error go to ``load_rejects`` with the reason. If another load was committed
+    since this one began, this one is refused.
     """
     configure(spark)
+    before = T.last_load(spark, base)
     existing = T.enforcement_tables(spark, base)
     if replace_years:
-        digests = digests.where(F.year("digest_date").isin(replace_years))
+        # Records without a date belong to no year, but are still errors to report.
+        digests = digests.where(F.year("digest_date").isin(replace_years) | F.col("digest_date").isNull())
         dates = existing["enforcement_actions"].where(~F.col("year").isin(replace_years))
     else:
         dates = existing["enforcement_actions"]
@@ -197,6 +201,8 @@ def load_records(spark: SparkSession, base: str, digests: DataFrame, order: list
     stats = L.load_stats(classified)
     counts = spark.createDataFrame([stats.first()], stats.schema)
     loaded = counts.first().loaded
+    if counts.first().errors:
+        T.store_rejects(classified.where(F.col("load_outcome") == "error"), base)
     if replace_years and loaded == 0:
         raise ValueError("nothing to load in place of the stored years")
     if loaded == 0:
@@ -228,7 +234,7 @@ def load_records(spark: SparkSession, base: str, digests: DataFrame, order: list
     for kind, fields in L.CHILDREN.items():
         out[kind] = L.flatten_children(placed("actions", kind), kind, start, ids[kind] + 1).select(
             "id", "action_id", *fields, "year")
-    T.publish_load(spark, base, out, counts, {t: ids[t] + totals[t] for t in ids}, replace_years)
+    T.publish_load(spark, base, out, counts, {t: ids[t] + totals[t] for t in ids}, replace_years, before)
     drop_scratch(spark, staged, offsets_path, placed_path)
     return counts
 

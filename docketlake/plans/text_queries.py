@@ -11,7 +11,7 @@ from docketlake.operators import extraction as E, parsing as P
 from docketlake.operators.keys import top_per_group
 from docketlake.plans.inputs import table, view
 from docketlake.plans.registry import query
-from docketlake.session import scratch_path
+from docketlake.session import drop_scratch, scratch_path
 from docketlake.sources import files
 
 _SPACES = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || chr(28) || chr(29) || chr(30) || chr(31) || chr(133) || chr(160) || chr(8195) || chr(12288)"
@@ -219,12 +219,13 @@ def digest_text_sink(spark, sf):
     FROM <s_digests> GROUP BY 1""")
 def raw_files(spark, sf):
     """Texts written as plain files below year folders, listed and read back as bytes."""
-    root = scratch_path(spark, "raw")
+    root, staged = scratch_path(spark, "raw"), scratch_path(spark, "raw-staged")
     texts = view(spark, sf, "s_digests").select("year", "text")
-    files.balanced(texts, "year").write.partitionBy("year").option("maxRecordsPerFile", 1000).text(root)
-    raw = spark.read.format("binaryFile").option("pathGlobFilter", files.RAW_GLOB).load(root)
-    year_dir = F.regexp_extract("path", r"year=(\d+)/[^/]*$", 1)
-    decoded = raw.select(year_dir.alias("year_dir"), X.decode_bytes(F.col("content")).alias("t"))
+    files.balanced(texts, "year").write.partitionBy("year").option("maxRecordsPerFile", 1000).text(staged)
+    files.plain_folders(spark, staged, root, "year")
+    drop_scratch(spark, staged)
+    raw = files.raw_files(spark, root)
+    decoded = raw.select("year_dir", X.decode_bytes(F.col("content")).alias("t"))
     return decoded.groupBy("year_dir").agg(
         F.sum(F.length("t")).alias("n_chars"), F.sum(X.line_count(F.col("t")) - 1).alias("n_line_ends"))
 

@@ -39,6 +39,15 @@ def marks(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
 
 
+def plain_folders(spark: SparkSession, source: str, target: str, name: str) -> None:
+    """Give partition folders (``year=1999``) plain names (``1999``) below ``target``."""
+    fs, p = _fs_path(spark, target)
+    fs.mkdirs(p)
+    for folder in marks(spark, source):
+        if folder.startswith(f"{name}="):
+            fs.rename(_fs_path(spark, f"{source}/{folder}")[1], _fs_path(spark, f"{target}/{folder[len(name) + 1:]}")[1])
+
+
 def raw_files(spark: SparkSession, root: str, year: int | None = None) -> DataFrame:
     """Digest files below ``root/YYYY``: path (from ``root`` on), size, year folder, content, full name.
 

@@ -23,6 +23,9 @@ LOADS = (
 )
 
 
+REJECTS = "file STRING, digest_date DATE, reason STRING, rejected_at TIMESTAMP_NTZ"
+
+
 def read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """A table, or an empty one with its schema where nothing is stored."""
     if not path_exists(spark, path):
@@ -38,6 +41,23 @@ def loads(spark: SparkSession, base: str) -> DataFrame:
     return read_or_empty(spark, f"{base}/loads", LOADS)
 
 
+def last_load(spark: SparkSession, base: str) -> int:
+    """Number of the last committed load, 0 if there is none."""
+    return loads(spark, base).agg(F.max("load_id")).first()[0] or 0
+
+
+def store_rejects(rejected: DataFrame, base: str) -> None:
+    """Keep which digests a load could not take, and why; every run adds its own.
+
+    ``file``: the file of the record, else the text it was made from, where known.
+    """
+    named = [F.col(c) for c in ("_path", "out_path") if c in rejected.columns]
+    rejected.select(
+        F.coalesce(*named, F.lit(None).cast("string")).alias("file"), "digest_date", F.col("fault").alias("reason"),
+        F.current_timestamp().cast("timestamp_ntz").alias("rejected_at"),
+    ).write.mode("append").parquet(f"{base}/load_rejects")
+
+
 def last_ids(spark: SparkSession, base: str) -> dict[str, int]:
     """Highest id given out in each table: from the ``loads`` rows, not from the tables."""
     ids = {name: 0 for name in ENFORCEMENT_TABLES}
@@ -71,12 +91,15 @@ def enforcement_tables(spark: SparkSession, base: str) -> dict[str, DataFrame]:
 
 
 def publish_load(spark: SparkSession, base: str, tables: dict[str, DataFrame], stats: DataFrame,
-                 ids: dict[str, int], replaced_years: list[int] | None = None) -> int:
+                 ids: dict[str, int], replaced_years: list[int] | None = None,
+                 after: int | None = None) -> int:
     """Store one load (tables with a ``year`` column) and commit it.
 
-    ``ids``: the highest id of each table after this load.
+    ``ids``: the highest id of each table after this load. ``after``: the last committed
+    load when this one began; should there be another by now, whose ids and dates this
+    one did not see, nothing is committed.
     """
-    load_id = (loads(spark, base).agg(F.max("load_id")).first()[0] or 0) + 1
+    load_id = last_load(spark, base) + 1
     # A run that died may have left partitions: its number is never used again.
     while any(path_exists(spark, f"{base}/{t}/load_id={load_id}") for t in ENFORCEMENT_TABLES):
         load_id += 1
@@ -92,6 +115,8 @@ def publish_load(spark: SparkSession, base: str, tables: dict[str, DataFrame], s
         .alias("last_ids"),
         F.current_timestamp().cast("timestamp_ntz").alias("loaded_at"),
     )
+    if after is not None and last_load(spark, base) != after:
+        raise RuntimeError("another load was committed meanwhile; run this one again")
     row.coalesce(1).write.mode("append").parquet(f"{base}/loads")
     return load_id
 

@@ -14,16 +14,20 @@ from docketlake.schemas import DIGEST
 from docketlake.session import configure
 
 
-def load_new_files(spark: SparkSession, source: str, base: str, checkpoint: str):
-    """Load every file of JSON-lines records below ``source`` not seen before, then stop.
+def load_new_files(spark: SparkSession, source: str, base: str, checkpoint: str, fmt: str = "json"):
+    """Load every file of records below ``source`` not seen before, then stop.
 
-    Returns the streaming query. ``checkpoint`` must be a folder the cluster shares.
+    ``fmt``: ``json`` (one record per line) or ``parquet``, as the extraction stage
+    stores them. Returns the streaming query. ``checkpoint`` must be a folder the
+    cluster shares.
     """
     configure(spark)
-    arriving = (
-        spark.readStream.schema(f"{DIGEST}, _corrupt STRING")
-        .option("columnNameOfCorruptRecord", "_corrupt").option("recursiveFileLookup", True).json(source)
-    )
+    reader = spark.readStream.option("recursiveFileLookup", True)
+    if fmt == "parquet":
+        arriving = reader.schema(f"{DIGEST}, out_path STRING").parquet(source)
+    else:
+        arriving = reader.schema(f"{DIGEST}, _corrupt STRING").option(
+            "columnNameOfCorruptRecord", "_corrupt").json(source)
 
     def load(batch: DataFrame, _: int) -> None:
         keyed = batch.withColumn("record_hash", F.xxhash64("actions", "extraction_notes"))

@@ -4,6 +4,9 @@ import datetime as dt
 import json
 import os
 
+import pytest
+from pyspark.sql import functions as F
+
 from docketlake.plans import stages as S
 from docketlake.session import scratch_path
 from docketlake.sources import files, tables as T
@@ -204,6 +207,27 @@ def test_pretty_printed_files(spark):
     assert (stats.loaded, stats.no_actions, stats.errors) == (3, 1, 1)
     actions = T.enforcement_tables(spark, base)["enforcement_actions"].orderBy("id").collect()
     assert [a.full_text for a in actions] == ["z", "a", "b"]
+    rejects = spark.read.schema(T.REJECTS).parquet(f"{base}/load_rejects").collect()
+    assert [(r.file.split("/")[-1], r.reason) for r in rejects] == [("digest_1998-07-07.json", "unreadable file")]
+    stats = S.load_extractions(spark, base, whole_files=True, full_reload=True).first()
+    assert (stats.loaded, stats.errors) == (3, 1)
+
+
+def test_a_load_that_was_overtaken_is_refused(spark, monkeypatch):
+    base = scratch_path(spark, "overtaken")
+    day = json.dumps(record("1999-01-01", "a"))
+    write(f"{local(base)}/extractions/1999/digest_1999-01-01.json", day.encode())
+    publish = T.publish_load
+
+    def overtaken(*args):
+        monkeypatch.setattr(T, "publish_load", publish)
+        assert S.load_extractions(spark, base, whole_files=True).first().loaded == 1
+        return publish(*args)
+
+    monkeypatch.setattr(T, "publish_load", overtaken)
+    with pytest.raises(RuntimeError, match="another load"):
+        S.load_extractions(spark, base, whole_files=True)
+    assert T.enforcement_tables(spark, base)["enforcement_actions"].select("id").collect() == [(1,)]
 
 
 def test_stream_of_new_files(spark):
@@ -215,3 +239,9 @@ def test_stream_of_new_files(spark):
     load_new_files(spark, f"{base}/extractions", base, check).awaitTermination()
     actions = T.enforcement_tables(spark, base)["enforcement_actions"]
     assert sorted((a.id, str(a.digest_date)) for a in actions.collect()) == [(1, "1999-01-01"), (2, "1999-01-02")]
+    stored = files.read_extractions(spark, f"{base}/extractions", fmt="json").select(
+        "digest_date", "has_enforcement_actions", "actions", "extraction_notes", F.lit("x.md").alias("out_path"), "year")
+    files.write_extractions(stored, f"{base}/records")
+    again = scratch_path(spark, "again")
+    load_new_files(spark, f"{base}/records", again, f"{check}-parquet", fmt="parquet").awaitTermination()
+    assert T.enforcement_tables(spark, again)["enforcement_actions"].count() == 3
