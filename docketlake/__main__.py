@@ -9,6 +9,8 @@ from pyspark.sql import SparkSession
 
 from docketlake.plans import stages
 from docketlake.schemas import FIRST_YEAR, LAST_YEAR
+from docketlake.session import configure
+from docketlake.sources import tables
 
 
 def arguments() -> argparse.Namespace:
@@ -35,11 +37,15 @@ def arguments() -> argparse.Namespace:
     extract.add_argument("--year", type=int)
     extract.add_argument("--limit", type=int, help="digests per year")
     extract.add_argument("--concurrency", type=int)
+    extract.add_argument("--store-negative", action="store_true", help="also record digests without a section")
 
     load = sub.add_parser("load", help="load records into the relational tables")
     load.add_argument("--year", type=int)
     load.add_argument("--full-reload", action="store_true")
 
+    compact = sub.add_parser("compact", help="rewrite all loads as one")
+    compact.add_argument("--remove", action="store_true", help="delete the old ones; no reader may be left")
+
     report = sub.add_parser("report", help="write every report, whole, as parquet")
     report.add_argument("--out", required=True, help="folder; each report goes below it by its name")
     return parser.parse_args()
@@ -52,18 +58,23 @@ def main() -> None:
         work = stages.plan_downloads(spark, a.base, a.url_root, a.first, a.last, a.raw)
         work.write.mode("overwrite").parquet(a.out)
     elif a.stage == "record":
-        stages.record_downloads(spark, a.base, spark.read.parquet(a.log))
+        stages.record_downloads(spark, a.base, spark.read.parquet(a.log)).show()
     elif a.stage == "parse":
         stages.parse_year(spark, a.base, a.raw, a.year).show()
     elif a.stage == "extract":
         module, function = a.client.split(":")
         make_client = getattr(importlib.import_module(module), function)
         outcomes = stages.extract_texts(spark, a.base, make_client, a.year, a.limit,
-                                        concurrency=a.concurrency)
+                                        concurrency=a.concurrency, store_negative=a.store_negative)
         for row in outcomes.groupBy("year", "outcome").count().orderBy("year", "outcome").toLocalIterator():
             print(row["year"], row["outcome"], row["count"])
     elif a.stage == "load":
         stages.load_extractions(spark, a.base, a.year, a.full_reload).show()
+    elif a.stage == "compact":
+        configure(spark)
+        tables.compact(spark, a.base)
+        if a.remove:
+            tables.remove_replaced(spark, a.base)
     else:
         for name, report in stages.dashboard(spark, a.base).items():
             report.write.mode("overwrite").parquet(f"{a.out}/{name}")

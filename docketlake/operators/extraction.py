@@ -176,10 +176,10 @@ def extraction_outcomes(responses: DataFrame, *keep: str) -> DataFrame:
     )
 
 
-def without_sections(texts: DataFrame) -> DataFrame:
-    """Empty nested records for digests that the pre-filter rejects."""
+def without_sections(texts: DataFrame, *keep: str) -> DataFrame:
+    """Empty nested records for digests that the pre-filter rejects; ``keep``: more columns to carry."""
     return texts.where(~X.has_section(F.col("text"))).select(
-        "digest_date", F.lit(False).alias("has_enforcement_actions"),
+        *keep, "digest_date", F.lit(False).alias("has_enforcement_actions"),
         F.array().cast(f"array<{ACTION_ELEMENT}>").alias("actions"),
         F.lit(NO_SECTIONS).alias("extraction_notes"),
     )

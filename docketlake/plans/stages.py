@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from docketlake.functions import urls
 from docketlake.operators import extraction as E, load as L, manifest as M, parsing as P, reports as R
+from docketlake.operators.keys import distinct_keys
 from docketlake.schemas import MANIFEST, PARSING
 from docketlake.session import configure, drop_scratch, scratch_path
 from docketlake.sources import files, tables as T
@@ -27,30 +28,45 @@ def plan_downloads(spark: SparkSession, base: str, url_root: str, first: int, la
                        first, last)
     batch = M.build_manifest(M.calendar(years), url_root, output)
     path = f"{base}/download_manifest"
-    known = M.in_years(T.read_or_empty(spark, path, MANIFEST), first, last)
-    merged = M.insert_missing(known, batch, F.col("date"))
-    T.replace_partitions(merged, path, "year")
-    stored = M.in_years(spark.read.schema(MANIFEST).parquet(path), first, last)
+    after = T.last_commit(spark, f"{path}_commits")
+    known = M.in_years(T.read_state(spark, path, MANIFEST), first, last)
+    T.replace_years(spark, M.insert_missing(known, batch, F.col("date")), path, after)
+    stored = M.in_years(T.read_state(spark, path, MANIFEST), first, last)
     return M.candidates(M.without_failed(batch, stored, retry_non_404), url_root)
 
 
-def record_downloads(spark: SparkSession, base: str, attempts: DataFrame) -> None:
-    """Resolve a log of fetch attempts into the manifest, rewriting only its years."""
+def record_downloads(spark: SparkSession, base: str, attempts: DataFrame) -> DataFrame:
+    """Resolve a log of fetch attempts into the manifest, rewriting only its years.
+
+    Returns the counts of the run over the manifest rows of those years: what the log
+    resolved, rows downloaded before (``skipped``), rows left out as they failed before
+    (``skipped_failed``), and all rows (``total``).
+    """
     configure(spark)
     path, resolved = f"{base}/download_manifest", scratch_path(spark, "resolved")
     M.resolve_fetches(attempts).select(
         "url", F.col("status").alias("download_status"), "file_size_bytes", "downloaded_at",
         F.col("message").alias("error_message")).write.parquet(resolved)
     results = spark.read.parquet(resolved)
-    target = spark.read.schema(MANIFEST).parquet(path)
+    after = T.last_commit(spark, f"{path}_commits")
+    target = T.read_state(spark, path, MANIFEST)
     # At most one value per year of the archive.
     touched = target.select("url", "year").join(results.select("url"), "url", "left_semi")
     years = [r.year for r in touched.select("year").distinct().collect()]
+    target = target.where(F.col("year").isin(years))
+    rest = P.skip_existing(target, results, "url")
+    stats = M.download_stats(
+        target,
+        target.join(results.select("url", F.col("download_status").alias("_s")), "url").select(
+            F.col("_s").alias("download_status")).unionByName(
+            rest.where("download_status IN ('completed', 'skipped')").select(F.lit("skipped").alias("download_status"))),
+        rest.where("download_status = 'failed'"))
+    counts = spark.createDataFrame([stats.first()], stats.schema)
     if years:
-        target = target.where(F.col("year").isin(years))
-        T.replace_partitions(M.update_manifest(
-            target, results, F.struct("downloaded_at", "download_status", "file_size_bytes", "error_message")), path, "year")
+        T.replace_years(spark, M.update_manifest(
+            target, results, F.struct("downloaded_at", "download_status", "file_size_bytes", "error_message")), path, after)
     drop_scratch(spark, resolved)
+    return counts
 
 
 def parse_year(spark: SparkSession, base: str, raw_root: str, year: int,
@@ -88,23 +104,28 @@ def parse_year(spark: SparkSession, base: str, raw_root: str, year: int,
     texts = parsed.join(kept, "path", "left_semi").select(
         F.col("path").alias("pdf_path"), "out_path", urls.digest_date_from_name(F.col("path")).alias("digest_date"),
         "text", F.col("markdown_length").alias("text_length"), F.lit(year).alias("year"))
-    old = T.read_or_empty(spark, result_path, f"{PARSING}, year INT").where(
+    after = T.last_commit(spark, f"{result_path}_commits")
+    old = T.read_state(spark, result_path, f"{PARSING}, year INT").where(
         F.col("year") == year).drop("year")
     merged = P.upsert_results(old, new, F.struct(
         "parsed_at", "parsing_status", "markdown_length", "markdown_path", "error_message")).withColumn("year", F.lit(year))
     counts = P.parse_stats(new)
     row = spark.createDataFrame([counts.first()], counts.schema)
     files.write_texts(texts, text_path, mode="append")
-    T.replace_partitions(merged, result_path, "year")
+    T.replace_years(spark, merged, result_path, after)
     drop_scratch(spark, staged, result_stage)
     return row
 
 
 def extract_texts(spark: SparkSession, base: str, make_client: Callable[[], Callable[[str], str]],
                   year: int | None = None, limit: int | None = None, retry_failed: bool = False,
-                  concurrency: int | None = None) -> DataFrame:
+                  concurrency: int | None = None, store_negative: bool = False) -> DataFrame:
     """Extract the pending digests, store their records, return the outcomes.
 
+    The outcomes go to ``extraction_outcomes`` (with attempts and the path of what was
+    invalid), the run's counts by year to ``extraction_stats``. ``store_negative`` also
+    stores an empty record for every digest in which the pre-filter finds no section.
+
     Digests, calls and records are known by the output path of the text. Digests whose
     extraction failed have a record and are left alone, unless ``retry_failed``. Those
     in error have none and are tried again; those whose file name holds no date are in
@@ -168,6 +189,14 @@ def extract_texts(spark: SparkSession, base: str, make_client: Callable[[], Call
     ).withColumn("year", F.coalesce(F.year("digest_date"), urls.year_folder(F.col("out_path")).try_cast("int")))
     stored = result.where(F.col("outcome").isin("ok", "failed")).select(
         "digest_date", "has_enforcement_actions", "actions", "extraction_notes", "out_path", "year")
+    if store_negative:
+        empty = E.without_sections(P.skip_existing(texts.where(dated), done, "out_path"), "out_path")
+        stored = stored.unionByName(empty.withColumn("year", F.year("digest_date")))
+    outcome_path, stats_path = f"{base}/extraction_outcomes/run={run}", f"{base}/extraction_stats/run={run}"
+    result.write.parquet(outcome_path)
+    result = spark.read.parquet(outcome_path)
+    had_record = texts.select("out_path", "year").join(distinct_keys(done, "out_path"), "out_path", "left_semi").select("year")
+    E.extraction_stats(result, had_record).write.parquet(stats_path)
     files.write_extractions(stored, record_path)
     for name in [run, *left]:
         files.clear_mark(spark, f"{open_path}/{name}")
@@ -274,8 +303,8 @@ def dashboard(spark: SparkSession, base: str) -> dict[str, DataFrame]:
     configure(spark)
     t = T.enforcement_tables(spark, base)
     actions, respondents = t["enforcement_actions"], t["respondents"]
-    manifest = T.read_or_empty(spark, f"{base}/download_manifest", MANIFEST)
-    parsing = T.read_or_empty(spark, f"{base}/parsing_results", PARSING)
+    manifest = T.read_state(spark, f"{base}/download_manifest", MANIFEST)
+    parsing = T.read_state(spark, f"{base}/parsing_results", PARSING)
     return {
         "total_actions": R.total(actions),
         "digests_parsed": R.digests_parsed(parsing),

@@ -39,6 +39,28 @@ def marks(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
 
 
+def create_file(spark: SparkSession, path: str, text: str) -> bool:
+    """Write a small file unless one is there; tells whether this call wrote it."""
+    fs, p = _fs_path(spark, path)
+    try:
+        out = fs.create(p, False)
+    except Exception:
+        if fs.exists(p):
+            return False
+        raise
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    return True
+
+
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder of a stored table and all below it."""
+    fs, p = _fs_path(spark, path)
+    fs.delete(p, True)
+
+
 def plain_folders(spark: SparkSession, source: str, target: str, name: str) -> None:
     """Give partition folders (``year=1999``) plain names (``1999``) below ``target``."""
     fs, p = _fs_path(spark, target)

@@ -1,27 +1,39 @@
 """The stored tables.
 
 The four enforcement tables are plain parquet, partitioned by load and year. A
-load writes the children, then the actions, and last one row into ``loads``: that
-row is what makes the load visible, so a job that dies on the way leaves nothing
-a reader can see, then or later. The ``loads`` rows are also the record of each
-run's counts and of the ids it gave out.
+load writes the children, then the actions, and last one file into ``loads``: that
+file is what makes the load visible, so a job that dies on the way leaves nothing
+a reader can see, then or later. The files are also the record of each run's counts
+and of the ids it gave out.
+
+Manifest and parse results are keyed tables. A change writes the years it covers
+below a new version, then one file that names the version of every year.
+
+Commit files are numbered and created exclusively: of two runs that began at the same
+state one commits, the other is refused. An empty one, left by a run that died while
+creating it, counts for nothing.
 """
 
 from __future__ import annotations
 
+import datetime as dt
+import json
+import uuid
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from docketlake.schemas import ENFORCEMENT_TABLES
-from docketlake.sources.files import balanced, path_exists
+from docketlake.sources.files import balanced, create_file, drop_folder, marks, path_exists
 
 LOADS = (
     "load_id INT, replaced_years ARRAY<INT>, loaded BIGINT, skipped_existing BIGINT, "
     "no_actions BIGINT, errors BIGINT, total_actions BIGINT, last_ids MAP<STRING, BIGINT>, "
-    "loaded_at TIMESTAMP_NTZ"
+    "loaded_at TIMESTAMP_NTZ, compacted BOOLEAN"
 )
+COUNTS = ["loaded", "skipped_existing", "no_actions", "errors", "total_actions"]
 
+OVERTAKEN = "another load or stage was committed meanwhile; run this one again"
 
 REJECTS = "file STRING, digest_date DATE, reason STRING, rejected_at TIMESTAMP_NTZ"
 
@@ -37,13 +49,28 @@ def tables_present(spark: SparkSession, base: str, required: list[str]) -> bool:
     return all(path_exists(spark, f"{base}/{t}") for t in required)
 
 
+def last_commit(spark: SparkSession, path: str) -> int:
+    """Number of the last commit file of a folder, 0 if there is none."""
+    return max((int(n.split(".")[0]) for n in marks(spark, path)), default=0)
+
+
+def commit(spark: SparkSession, path: str, after: int, content: dict) -> None:
+    """Create the commit file that follows ``after``; refused if it is there already."""
+    if last_commit(spark, path) != after or not create_file(
+            spark, f"{path}/{after + 1:09d}.json", json.dumps(content)):
+        raise RuntimeError(OVERTAKEN)
+
+
 def loads(spark: SparkSession, base: str) -> DataFrame:
-    return read_or_empty(spark, f"{base}/loads", LOADS)
+    """One row per committed load or compaction."""
+    if not path_exists(spark, f"{base}/loads"):
+        return spark.createDataFrame([], LOADS)
+    return spark.read.schema(LOADS).json(f"{base}/loads")
 
 
 def last_load(spark: SparkSession, base: str) -> int:
-    """Number of the last committed load, 0 if there is none."""
-    return loads(spark, base).agg(F.max("load_id")).first()[0] or 0
+    """Number of the last commit of a load, 0 if there is none."""
+    return last_commit(spark, f"{base}/loads")
 
 
 def store_rejects(rejected: DataFrame, base: str) -> None:
@@ -59,22 +86,26 @@ def store_rejects(rejected: DataFrame, base: str) -> None:
 
 
 def last_ids(spark: SparkSession, base: str) -> dict[str, int]:
-    """Highest id given out in each table: from the ``loads`` rows, not from the tables."""
-    ids = {name: 0 for name in ENFORCEMENT_TABLES}
-    for row in loads(spark, base).select("last_ids").collect():
-        for name, value in row.last_ids.items():
-            ids[name] = max(ids[name], value)
-    return ids
+    """Highest id given out in each table: from the rows of ``loads``, not from the tables."""
+    highest = loads(spark, base).agg(*[F.max(F.col("last_ids")[t]).alias(t) for t in ENFORCEMENT_TABLES]).first()
+    return {t: highest[t] or 0 for t in ENFORCEMENT_TABLES}
+
+
+def _since_compaction(spark: SparkSession, base: str) -> DataFrame:
+    """The loads that readers look at: the last compaction and what came after it."""
+    rows = loads(spark, base)
+    last = rows.agg(F.max(F.when(F.col("compacted"), F.col("load_id")))).first()[0]
+    return rows if last is None else rows.where(F.col("load_id") >= last)
 
 
 def enforcement_tables(spark: SparkSession, base: str) -> dict[str, DataFrame]:
     """The four tables as the committed loads left them.
 
-    There is one ``loads`` row per run, so reading them here is cheap, and the
+    One ``loads`` row per run since the last :func:`compact` is read here, and the
     condition below prunes partition folders.
     """
     committed = [(r.load_id, r.replaced_years or []) for r in
-                 loads(spark, base).select("load_id", "replaced_years").collect()]
+                 _since_compaction(spark, base).select("load_id", "replaced_years").collect()]
     replaced: dict[int, int] = {}
     for load_id, years in committed:
         for y in years:
@@ -90,42 +121,113 @@ def enforcement_tables(spark: SparkSession, base: str) -> dict[str, DataFrame]:
     return tables
 
 
+def _new_load_id(spark: SparkSession, base: str) -> int:
+    """A number of its own for a load, never given out again, whether it is committed or not.
+
+    Later commits have higher numbers: a load is only committed if it began, and so
+    took its number, after the commit before it.
+    """
+    taken = f"{base}/load_numbers"
+    number = last_commit(spark, taken) + 1
+    while not create_file(spark, f"{taken}/{number}", ""):
+        number += 1
+    return number
+
+
+def _write_load(tables: dict[str, DataFrame], base: str, load_id: int) -> None:
+    for name in ["respondents", "violations", "sanctions", "enforcement_actions"]:
+        df = tables[name].withColumn("load_id", F.lit(load_id))
+        balanced(df, "year").write.mode("append").partitionBy("load_id", "year").parquet(
+            f"{base}/{name}")
+
+
 def publish_load(spark: SparkSession, base: str, tables: dict[str, DataFrame], stats: DataFrame,
                  ids: dict[str, int], replaced_years: list[int] | None = None,
                  after: int | None = None) -> int:
     """Store one load (tables with a ``year`` column) and commit it.
 
-    ``ids``: the highest id of each table after this load. ``after``: the last committed
-    load when this one began; should there be another by now, whose ids and dates this
+    ``ids``: the highest id of each table after this load. ``after``: the last commit
+    when this load began; should there be another by now, whose ids and dates this
     one did not see, nothing is committed.
     """
-    load_id = last_load(spark, base) + 1
-    # A run that died may have left partitions: its number is never used again.
-    while any(path_exists(spark, f"{base}/{t}/load_id={load_id}") for t in ENFORCEMENT_TABLES):
-        load_id += 1
-    for name in ["respondents", "violations", "sanctions", "enforcement_actions"]:
-        df = tables[name].withColumn("load_id", F.lit(load_id))
-        balanced(df, "year").write.mode("append").partitionBy("load_id", "year").parquet(
-            f"{base}/{name}")
-    years = F.lit(replaced_years or []).cast("array<int>")
-    row = stats.select(
-        F.lit(load_id).alias("load_id"), years.alias("replaced_years"),
-        "loaded", "skipped_existing", "no_actions", "errors", "total_actions",
-        F.create_map(*[F.lit(x) for item in ids.items() for x in item]).cast("map<string,bigint>")
-        .alias("last_ids"),
-        F.current_timestamp().cast("timestamp_ntz").alias("loaded_at"),
-    )
-    if after is not None and last_load(spark, base) != after:
-        raise RuntimeError("another load was committed meanwhile; run this one again")
-    row.coalesce(1).write.mode("append").parquet(f"{base}/loads")
+    after = last_load(spark, base) if after is None else after
+    load_id = _new_load_id(spark, base)
+    _write_load(tables, base, load_id)
+    commit(spark, f"{base}/loads", after, {
+        "load_id": load_id, "replaced_years": replaced_years or [], **stats.select(*COUNTS).first().asDict(),
+        "last_ids": ids, "loaded_at": _now()})
+    return load_id
+
+
+def _now() -> str:
+    return dt.datetime.now(dt.timezone.utc).replace(tzinfo=None).isoformat(timespec="milliseconds")
+
+
+def compact(spark: SparkSession, base: str) -> int:
+    """Write what is visible of the four tables as one load, in place of all before it.
+
+    Readers that began earlier still find what they read; :func:`remove_replaced`
+    deletes it. The rows of ``loads`` stay as the record of the runs.
+    """
+    after = last_load(spark, base)
+    tables = {name: df.drop("load_id") for name, df in enforcement_tables(spark, base).items()}
+    load_id = _new_load_id(spark, base)
+    _write_load(tables, base, load_id)
+    commit(spark, f"{base}/loads", after, {
+        "load_id": load_id, "replaced_years": [], **dict.fromkeys(COUNTS, 0),
+        "last_ids": last_ids(spark, base), "loaded_at": _now(), "compacted": True})
     return load_id
 
 
-def replace_partitions(df: DataFrame, path: str, *partition_by: str) -> None:
-    """Write a keyed table (manifest, parse results) over the partitions it covers.
+def remove_replaced(spark: SparkSession, base: str) -> None:
+    """Delete loads from before the last compaction, dead ones too; call it when no reader is left."""
+    first = _since_compaction(spark, base).agg(F.min("load_id")).first()[0] or 0
+    for name in ENFORCEMENT_TABLES:
+        for folder in marks(spark, f"{base}/{name}"):
+            if folder.startswith("load_id=") and int(folder[len("load_id="):]) < first:
+                drop_folder(spark, f"{base}/{name}/{folder}")
+
+
+def _versions(spark: SparkSession, path: str, upto: int) -> dict[str, str]:
+    """Version of every year as of a commit of a keyed table, one entry per year of the archive."""
+    numbers = sorted((int(n.split(".")[0]) for n in marks(spark, f"{path}_commits")), reverse=True)
+    for number in (n for n in numbers if n <= upto):
+        row = spark.read.option("wholetext", True).text(f"{path}_commits/{number:09d}.json").first()
+        if row and row.value.strip():
+            return json.loads(row.value)
+    return {}
+
+
+def read_state(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """A keyed table (manifest, parse results) as last committed; empty if it never was."""
+    versions = _versions(spark, path, last_commit(spark, f"{path}_commits"))
+    if not versions:
+        return spark.createDataFrame([], schema)
+    df = spark.read.schema(schema).option("basePath", path).parquet(
+        *[f"{path}/version={v}/year={y}" for y, v in sorted(versions.items())])
+    return df.select(*spark.createDataFrame([], schema).columns)
+
+
+def replace_years(spark: SparkSession, df: DataFrame, path: str, after: int) -> None:
+    """Commit new rows of a keyed table for the years that ``df`` covers; the others stay.
 
-    Dynamic overwrite stages the new files and moves them at the end, so ``df`` may
-    be computed from the table it replaces.
+    ``df`` may be computed from the table itself: what it reads is not touched.
+    ``after``: the last commit of ``path`` when ``df`` was made; a later one refuses
+    this. Only what the last two commits name is kept.
     """
-    balanced(df, *partition_by).write.mode("overwrite").option(
-        "partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
+    commits, version = f"{path}_commits", uuid.uuid4().hex
+    balanced(df, "year").write.partitionBy("year").parquet(f"{path}/version={version}")
+    written = [f[len("year="):] for f in marks(spark, f"{path}/version={version}") if f.startswith("year=")]
+    if not written:
+        drop_folder(spark, f"{path}/version={version}")
+        return
+    before = _versions(spark, path, after)
+    now = {**before, **dict.fromkeys(written, version)}
+    earlier = _versions(spark, path, after - 1) if after else {}
+    commit(spark, commits, after, now)
+    for year, old in earlier.items():
+        if old not in (before.get(year), now.get(year)):
+            drop_folder(spark, f"{path}/version={old}/year={year}")
+    for name in marks(spark, commits):
+        if int(name.split(".")[0]) < after:
+            drop_folder(spark, f"{commits}/{name}")

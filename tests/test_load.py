@@ -1,7 +1,10 @@
 import datetime as dt
+import os
 import random
 
 import pytest
+from pyspark.sql import functions as F
+
 from docketlake.operators import load as L
 from docketlake.plans.stages import load_records
 from docketlake.schemas import DIGEST
@@ -144,6 +147,39 @@ def test_reload_replaces_only_its_years(spark):
     assert L.orphans({k: t[k] for k in L.CHILDREN}, t["enforcement_actions"]).count() == 0
 
 
+def test_loads_are_compacted(spark):
+    base = scratch_path(spark, "test")
+    for n in range(1, 4):
+        load_records(spark, base, frame(spark, [digest(f"200{n % 3}-01-0{n}", [action(2, tag=f"t{n}")])]), ORDER)
+    load_records(spark, base, frame(spark, [digest("2001-05-05", [action(1, tag="new")])]), ORDER, replace_years=[2001])
+    before = {t: sorted(map(str, df.drop("load_id").collect())) for t, df in T.enforcement_tables(spark, base).items()}
+    ids = T.last_ids(spark, base)
+    for remove in (False, True):
+        T.compact(spark, base)
+        if remove:
+            T.remove_replaced(spark, base)
+        tables = T.enforcement_tables(spark, base)
+        assert {t: sorted(map(str, df.drop("load_id").collect())) for t, df in tables.items()} == before
+        assert tables["respondents"].select("load_id").distinct().count() == 1
+        assert T.last_ids(spark, base) == ids
+    folders = os.listdir(f"{base.removeprefix('file:')}/respondents")
+    assert len([f for f in folders if f.startswith("load_id=")]) == 1
+    load_records(spark, base, frame(spark, [digest("2002-09-09", [action(1)])]), ORDER)
+    last = T.enforcement_tables(spark, base)["enforcement_actions"].orderBy(F.desc("id")).first()
+    assert last.id == ids["enforcement_actions"] + 1 and T.loads(spark, base).count() == 7
+
+
+def test_of_two_loads_at_once_one_is_refused(spark, monkeypatch):
+    """Both see the same last commit up to the moment they commit."""
+    base = scratch_path(spark, "test")
+    monkeypatch.setattr(T, "last_commit", lambda spark, path: 0)
+    load_records(spark, base, frame(spark, [digest("2001-01-01", [action(1, tag="first")])]), ORDER)
+    with pytest.raises(RuntimeError, match="another load"):
+        load_records(spark, base, frame(spark, [digest("2001-01-02", [action(1, tag="second")])]), ORDER)
+    monkeypatch.undo()
+    assert rows_of(T.enforcement_tables(spark, base)["respondents"], "id", "name") == [(1, "firstr0")]
+
+
 def test_faulty_digests_are_set_aside(spark):
     bad_name = ("civil", None, [(None, None, None)], [], [], None, None, None, None, "x")
     rows = frame(spark, [

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from docketlake.plans import stages as S
+from docketlake.schemas import MANIFEST, PARSING
 from docketlake.session import scratch_path
 from docketlake.sources import files, tables as T
 from docketlake.streaming.incremental import load_new_files
@@ -57,7 +58,8 @@ def test_pipeline(spark, monkeypatch):
          (urls[2], urls[2], urls[2], 0, 1, 503, None, None, t)],
         "url STRING, primary_url STRING, request_url STRING, attempt INT, cand_rank INT, http_status INT, "
         "error STRING, bytes BIGINT, fetched_at TIMESTAMP_NTZ")
-    S.record_downloads(spark, base, log)
+    stats = S.record_downloads(spark, base, log).first()
+    assert (stats.completed, stats.failed, stats.skipped, stats.skipped_failed, stats.total) == (1, 2, 0, 0, 365)
     again = S.plan_downloads(spark, base, "http://x", 2006, 2007, raw)
     assert again.select("url").distinct().count() == 728
     assert S.plan_downloads(spark, base, "http://x", 2006, 2007, raw, retry_non_404=True).select(
@@ -74,12 +76,17 @@ def test_pipeline(spark, monkeypatch):
     assert (stats.completed, stats.skipped, stats.needs_converter, stats.total) == (5, 0, 1, 6)
     stats = S.parse_year(spark, base, raw, 2006).first()
     assert (stats.completed, stats.skipped, stats.needs_converter) == (0, 5, 1)
-    stored = spark.read.parquet(f"{base}/parsing_results")
+    stored = T.read_state(spark, f"{base}/parsing_results", PARSING)
     assert stored.where("parsing_status = 'skipped' AND parsed_at IS NOT NULL").count() == 5
     assert S.parse_year(spark, base, raw, 1999).first().total == 0
 
     outcome = {str(r.digest_date)[-1]: r.outcome for r in S.extract_texts(spark, base, make_client, 2006).collect()}
     assert outcome == {"1": "ok", "2": "failed", "3": "error", "5": "ok"}
+    year, total = sorted(spark.read.parquet(f"{base}/extraction_stats").collect(), key=lambda r: r.year or 0)[::-1]
+    assert (year.total, year.skipped, year.processed, year.with_actions, year.errors, year.failed) == (4, 0, 3, 3, 1, 1)
+    assert (total.year, total.total) == (None, 4)
+    kept = {r.outcome: r.error_path for r in spark.read.parquet(f"{base}/extraction_outcomes").collect()}
+    assert kept["ok"] is None and kept["error"]
     # Only the one in error is still pending.
     assert [r.outcome for r in S.extract_texts(spark, base, make_client).collect()] == ["error"]
     assert sorted(r.outcome for r in S.extract_texts(spark, base, make_client, retry_failed=True).collect()) == [
@@ -245,3 +252,57 @@ def test_stream_of_new_files(spark):
     again = scratch_path(spark, "again")
     load_new_files(spark, f"{base}/records", again, f"{check}-parquet", fmt="parquet").awaitTermination()
     assert T.enforcement_tables(spark, again)["enforcement_actions"].count() == 3
+
+
+def test_digests_without_sections_get_a_record(spark):
+    base = scratch_path(spark, "negative")
+    write(f"{local(base)}/raw/1990/digest_1990-01-01.txt", b"CIVIL PROCEEDINGS\n")
+    write(f"{local(base)}/raw/1990/digest_1990-01-02.txt", b"HOLDINGS")
+    S.parse_year(spark, base, f"{base}/raw", 1990)
+
+    def client():
+        return lambda prompt: '{"actions": []}'
+
+    for _ in range(2):
+        S.extract_texts(spark, base, client, store_negative=True)
+    stored = {str(r.digest_date): (r.has_enforcement_actions, r.extraction_notes)
+              for r in files.read_extractions(spark, f"{base}/extractions").collect()}
+    assert files.read_extractions(spark, f"{base}/extractions").count() == 2
+    assert stored["1990-01-02"] == (False, "No enforcement action sections detected by pre-filter")
+    assert sorted((r.total, r.skipped) for r in spark.read.parquet(f"{base}/extraction_stats").where(
+        "year IS NULL").collect()) == [(0, 2), (1, 0)]
+
+
+def keyed(spark, year, *names):
+    return spark.createDataFrame([(n, year) for n in names], "url STRING, year INT").selectExpr(
+        *[f"CAST({'url' if c == 'url' else 'year' if c == 'year' else 'NULL'} AS {t}) AS {c}"
+          for c, t in (x.split() for x in MANIFEST.split(", "))])
+
+
+def urls_of(spark, path):
+    return {r.url for r in T.read_state(spark, path, MANIFEST).collect()}
+
+
+def test_keyed_table_changes_at_its_commit_only(spark, monkeypatch):
+    base = scratch_path(spark, "state")
+    path = f"{base}/download_manifest"
+    T.replace_years(spark, keyed(spark, 2000, "a").unionByName(keyed(spark, 2001, "b")), path, 0)
+    reader = T.read_state(spark, path, MANIFEST)
+    with monkeypatch.context() as m:
+        m.setattr(T, "commit", lambda *a: (_ for _ in ()).throw(RuntimeError("died")))
+        with pytest.raises(RuntimeError, match="died"):
+            T.replace_years(spark, keyed(spark, 2000, "x"), path, 1)
+    assert urls_of(spark, path) == {"a", "b"}
+    # Two changes of one state: the first is committed, the second refused.
+    T.replace_years(spark, keyed(spark, 2000, "c"), path, 1)
+    with pytest.raises(RuntimeError, match="another load"):
+        T.replace_years(spark, keyed(spark, 2001, "d"), path, 1)
+    assert urls_of(spark, path) == {"b", "c"} and {r.url for r in reader.collect()} == {"a", "b"}
+    # A commit file that was created but never written counts for nothing.
+    assert files.create_file(spark, f"{path}_commits/{3:09d}.json", "")
+    assert urls_of(spark, path) == {"b", "c"}
+    T.replace_years(spark, keyed(spark, 2002, "e"), path, T.last_commit(spark, f"{path}_commits"))
+    for name in "fg":
+        T.replace_years(spark, keyed(spark, 2000, name), path, T.last_commit(spark, f"{path}_commits"))
+    assert urls_of(spark, path) == {"b", "e", "g"}
+    assert len(files.marks(spark, f"{path}_commits")) == 2
