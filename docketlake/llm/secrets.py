@@ -33,7 +33,7 @@ KINDS = ("assign", "access", "hex", "novel")
 SENSITIVE = re.compile(r"passw|passphrase|pwd|secret|token|credential|private[ _-]?key|access[ _-]?key"
                        r"|api[ _-]?key|client[ _-]?key|bearer|authorization|auth[ _-]", re.IGNORECASE | re.ASCII)
 HINTS = ("passw", "passphrase", "pwd", "secret", "token", "credential", "key", "bearer", "auth")
-CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{16,}={0,2}(?![A-Za-z0-9+/_-])")
+CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}={0,2}(?![A-Za-z0-9+/_-])")
 #: Characters after a sensitive word in which a candidate may start.
 REACH = 64
 #: Characters of surrounding text on either side that prime the compressor.

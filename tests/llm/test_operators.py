@@ -244,6 +244,15 @@ def test_secrets(spark):
     assert [r.k for r in rows] == [0, 0, 4]
 
 
+def test_secrets_after_an_equals_sign():
+    key = "wJalrXUtnFEMI7K7MDENGbPxRfiCYzKp83Qd4Rt0"
+    for before, after in (("AWS_SECRET_ACCESS_KEY=", "\n"), ("export DB_PWD=", ""), ("https://h.example/?access_key=", "&b=1"),
+                          ("pwd==", "=="), ("client_key = ", ""), ('"bearer" "', '"')):
+        text = before + key + after
+        assert [(s["kind"], text[s["start"]: s["end"]].rstrip("=")) for s in find_secrets(text)] == [("novel", key)], before
+        assert key not in redact(text) and redact(text).startswith(before)
+
+
 def test_licenses(spark):
     rnd = random.Random(0)
     mit = TEMPLATES["mit"][0]
