@@ -1,7 +1,7 @@
 """Secret scan: fixed patterns, and strings that a primed compressor finds novel.
 
 Patterns find assignments, access keys and long hexadecimal runs. Beyond them, every long
-string that follows a sensitive word is measured: a zstandard compressor is primed with a
+string that follows a sensitive word, or a secret found so, is measured: a zstandard compressor is primed with a
 dictionary of identifiers and the text around the candidate, and the bytes that the
 candidate adds are its novelty. Names and repeated strings add few bytes; a random key
 adds about one per character. Candidates above :data:`NOVEL` per character are reported.
@@ -34,7 +34,9 @@ SENSITIVE = re.compile(r"passw|passphrase|pwd|secret|token|credential|private[ _
                        r"|api[ _-]?key|client[ _-]?key|bearer|authorization|auth[ _-]", re.IGNORECASE | re.ASCII)
 HINTS = ("passw", "passphrase", "pwd", "secret", "token", "credential", "key", "bearer", "auth")
 CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}={0,2}(?![A-Za-z0-9+/_-])")
-#: Characters after a sensitive word in which a candidate may start.
+#: The end of an armoured key that is too short for a candidate.
+LAST_LINE = re.compile(r"\s{1,16}[A-Za-z0-9+/]{1,15}={0,2}(?=\s{0,16}-----END)")
+#: Characters after a sensitive word, or after a secret found, in which a candidate may start.
 REACH = 64
 #: Characters of surrounding text on either side that prime the compressor.
 AROUND = 1500
@@ -91,17 +93,25 @@ def find_secrets(text: str) -> list[dict]:
         add("hex", m.start(), m.end(), m.start())
     if any(h in lower for h in HINTS):
         taken = sorted((s["start"], s["end"]) for s in found)
-        at, seen = 0, -1
-        for word in SENSITIVE.finditer(text):
-            for m in CANDIDATE.finditer(text, max(word.end(), seen), word.end() + REACH + 4096):
-                if m.start() > word.end() + REACH:
+        words = SENSITIVE.finditer(text)
+        word, at, reach = next(words, None), 0, -1
+        for m in CANDIDATE.finditer(text, word.end()) if word else ():
+            while word and word.end() <= m.start():
+                reach, word = max(reach, word.end() + REACH), next(words, None)
+            if m.start() > reach:
+                if not word:
                     break
-                seen = m.end()
-                while at < len(taken) and taken[at][1] <= m.start():
-                    at += 1
-                covered = any(s < m.end() and e > m.start() for s, e in taken[at: at + 4])
-                if not covered and _is_mixed(m[0]) and (n := _novelty(text, m.start(), m.end())) >= NOVEL:
-                    add("novel", m.start(), m.end(), m.start(), n)
+                continue
+            while at < len(taken) and taken[at][1] <= m.start():
+                at += 1
+            covered = any(s < m.end() and e > m.start() for s, e in taken[at: at + 4])
+            if covered:
+                reach = max(reach, m.end() + REACH)
+            elif _is_mixed(m[0]) and (n := _novelty(text, m.start(), m.end())) >= NOVEL:
+                tail = LAST_LINE.match(text, m.end())
+                end = tail.end() if tail else m.end()
+                add("novel", m.start(), end, m.start(), n)
+                reach = max(reach, end + REACH)
     return sorted(found, key=lambda s: (s["start"], KINDS.index(s["kind"])))
 
 
