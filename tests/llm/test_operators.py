@@ -164,6 +164,31 @@ def test_repeated_passages(spark):
     assert repeated_spans(docs.unionAll(docs)).count() == len(spans) and repeated_spans(table(spark, [])).count() == 0
 
 
+def test_repeated_passages_to_their_ends(spark):
+    rnd = random.Random(31)
+    wide = "é日" * 3
+    texts, want = [prose(rnd, 60) for _ in range(120)], set()
+    for i in range(60):
+        passage, a, b = prose(rnd, 19) + wide, texts[i], texts[60 + i]
+        texts[i] = f"{a[:100]}è{passage}è{a[100:]}"
+        texts[60 + i] = f"{b[:90]}é{passage}é{b[90:]}"
+        want.add((60 + i, 92, 92 + len(passage.encode()), i, 102))
+    got = {tuple(r) for r in repeated_spans(table(spark, texts)).collect()}
+    assert len(want & got) >= 58 and got <= want
+    # An edit of a single byte parts a passage into two spans that leave just that byte.
+    long = prose(rnd, 200)
+    spans = sorted(tuple(r)[:3] for r in repeated_spans(table(spark, [long, long[:700] + "#" + long[701:]])).collect())
+    assert spans == [(1, 0, 700), (1, 701, len(long))]
+    # More of the same than is looked at first, and a text that repeats itself: the first place stays whole.
+    same = prose(rnd, 40) + "a" * 20_000
+    spans = repeated_spans(table(spark, ["#" + same[:-1], same])).collect()
+    assert max(r.end_byte for r in spans if r.doc_id == 1) == len(same)
+    assert min(r.start_byte for r in spans if r.doc_id == 1) == 0
+    twice = prose(rnd, 50)
+    r, = repeated_spans(table(spark, [twice + twice])).collect()
+    assert (r.start_byte, r.end_byte, r.first_start_byte) == (len(twice), 2 * len(twice), 0)
+
+
 def test_fingerprints(spark, texts):
     docs = table(spark, texts)
     rows = {r.doc_id: r for r in fingerprints(docs, together=7).collect()}
