@@ -14,7 +14,8 @@ of their word trigrams with the passage.
 Training texts are handled row by row without a shuffle. Items are indexed in blocks of a
 bounded number of words, each block against all texts, so no index outgrows a task.
 Passages overlap so that every run of words as long as an item lies whole in one. Items
-with fewer than :data:`FEWEST` words can't be told from chance and are not searched. Null
+with fewer than :data:`FEWEST` words share too few trigrams to be judged by a share: they
+are found where all their words stand together in a text, by a look-up of runs of words. Null
 and empty texts, items without text and repeated rows are allowed; a repeated row is
 searched again and its result repeated, a repeated item is indexed once.
 """
@@ -37,7 +38,7 @@ K1, B = 1.2, 0.75
 THRESHOLD = 0.5
 #: Share of the trigrams of question and of answer that a passage must have.
 QUESTION, ANSWER = 0.6, 0.5
-#: Words of the shortest item that is searched.
+#: Words of the shortest item that is searched by its share; shorter ones must occur as a whole.
 FEWEST = 8
 #: Postings in a block.
 BLOCK = 32
@@ -82,6 +83,10 @@ class Index:
                  total: int | None = None):
         kept = sorted({(i, t) for i, t in items if t})
         self.texts = [(i, w, _split(w, t)) for i, t in kept if len(w := words_of(t)) >= FEWEST]
+        self.short: dict[int, dict[tuple[bytes, ...], list[int]]] = {}
+        for i, t in kept:
+            if 0 < len(w := words_of(t)) < FEWEST:
+                self.short.setdefault(len(w), {}).setdefault(tuple(w), []).append(i)
         self.ids = [i for i, _, _ in self.texts]
         self.grams = [(_trigrams(w[:q]), _trigrams(w[max(0, q - 2):])) for _, w, q in self.texts]
         self.longest = max((len(w) for _, w, _ in self.texts), default=0)
@@ -184,6 +189,18 @@ class Index:
     def search(self, text: str, threshold: float = THRESHOLD) -> list[dict]:
         """Verified items of one text, each with its best passage."""
         words = words_of(text)
+        return sorted(self._whole(words) + self._shares(words, threshold), key=lambda h: h["item_id"])
+
+    def _whole(self, words: list[bytes]) -> list[dict]:
+        """Short items that occur word by word, each with its first place."""
+        best: dict[int, dict] = {}
+        for n, items in self.short.items():
+            for at, run in enumerate(zip(*(words[i:] for i in range(n)))):
+                for i in items.get(run, ()):
+                    best.setdefault(i, {"item_id": i, "start_word": at, "score": 1.0, "question": 1.0, "answer": 1.0})
+        return list(best.values())
+
+    def _shares(self, words: list[bytes], threshold: float) -> list[dict]:
         unknown, step = len(self.postings), max(self.longest, 1)
         if len(words) < FEWEST or not unknown:
             return []

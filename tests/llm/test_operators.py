@@ -242,6 +242,19 @@ def test_decontamination(spark):
     assert contaminated(table(spark, texts), bench.limit(0)).count() == 0
 
 
+def test_decontamination_of_short_items(spark):
+    rnd = random.Random(18)
+    items = ["What is the capital of France? Paris", "Who wrote it?", "", None, prose(rnd, 30)]
+    texts = [prose(rnd, 50) + " what IS the capital of France?  Paris " + prose(rnd, 40), "What is the capital of France? Rome",
+             "capital of France Paris what is the", "Who wrote it?", prose(rnd, 80), None]
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id bigint, text string")
+    for words in (2_000_000, 2):
+        got = contaminated(table(spark, texts), bench.unionAll(bench), index_words=words).collect()
+        assert sorted((r.doc_id, r.item_id, r.start_word) for r in got) == [(0, 0, 50), (3, 1, 0)]
+    only = contaminated(table(spark, texts), bench.where("item_id < 2")).collect()
+    assert len(only) == 2
+
+
 def test_wand_finds_all_above_the_threshold():
     rnd = random.Random(6)
     index = Index([(i, " ".join(rnd.choice(WORDS[:9]) for _ in range(rnd.randrange(8, 30)))) for i in range(150)])
