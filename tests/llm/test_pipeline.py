@@ -2,24 +2,37 @@
 
 import os
 
+import duckdb
+import pytest
+
 import __spark_entry__ as entry
 import corpus_pipeline
-from docketlake.llm.queries import QUERIES
+from docketlake.llm.queries import ORACLES, QUERIES
 
 SF = "/root/testdata/sf0.001"
 
 
 def test_every_operator_is_registered():
     numbers = {int(k[2:].split("_")[0]) for k in QUERIES}
-    assert numbers == set(range(1, 11)) and set(QUERIES) < set(entry.queries()) and "pipeline" in entry.queries()
+    assert numbers == set(range(1, 14)) and set(QUERIES) < set(entry.queries()) and "pipeline" in entry.queries()
 
 
 def test_queries_give_a_row_per_document(spark):
     n = spark.read.parquet(f"{SF}/documents.parquet").count()
     for key, run in QUERIES.items():
         rows = run(spark, SF).collect()
-        assert len(rows) == n or key.startswith(("op1_", "op6_")), key
-        assert "doc_id" in rows[0].asDict()
+        assert len(rows) == n or key.startswith(("op1_", "op6_", "op11_")), key
+        assert {"doc_id", "conv_id"} & set(rows[0].asDict())
+
+
+@pytest.mark.parametrize("key", sorted(ORACLES))
+def test_queries_with_sql(spark, key):
+    con = duckdb.connect()
+    for name in os.listdir(SF):
+        con.execute(f"CREATE VIEW {name.removesuffix('.parquet')} AS SELECT * FROM '{SF}/{name}'")
+    df, want = QUERIES[key](spark, SF), con.sql(ORACLES[key])
+    assert sorted(df.columns) == sorted(want.columns)
+    assert sorted(map(repr, map(tuple, df.select(want.columns).collect()))) == sorted(map(repr, want.fetchall()))
 
 
 def test_pipeline_against_its_stages_decisions(spark):
