@@ -49,10 +49,11 @@ class Staging:
     def __exit__(self, *_) -> None:
         drop_scratch(self.spark, *self.paths)
 
-    def save(self, df: DataFrame) -> DataFrame:
+    def save(self, df: DataFrame, *folders: str) -> DataFrame:
+        """``folders``: columns whose values get folders of their own."""
         path = scratch_path(self.spark, self.name)
         self.paths.append(path)
-        return self._write(df, path)
+        return self._write(df, path, *folders)
 
     def keep(self, df: DataFrame) -> DataFrame:
         return self._write(df, scratch_path(self.spark, f"{self.name}-result"))
@@ -62,8 +63,8 @@ class Staging:
         drop_scratch(self.spark, *self.paths)
         self.paths = []
 
-    def _write(self, df: DataFrame, path: str) -> DataFrame:
-        df.write.parquet(path)
+    def _write(self, df: DataFrame, path: str, *folders: str) -> DataFrame:
+        (df.write.partitionBy(*folders) if folders else df.write).parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
 
