@@ -5,6 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from docketlake.llm.alignment import aligned
 from docketlake.llm.common import query, read, whole
 from docketlake.llm.token_counts import token_count
 from docketlake.llm.transducer import round_trip
@@ -33,3 +34,9 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join(F.col("r.ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
         F.sha2("r.back", 256).alias("decoded_sha256"),
     )
+
+
+@query("op12_token_alignment")
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return aligned(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                   public_tokenizers.path("piece_bpe_32k.model"))
