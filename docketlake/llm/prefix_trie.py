@@ -63,12 +63,13 @@ def with_family_start(turns: DataFrame, family: int, most: int, staging: Staging
     blocks = staging.save(turns.groupBy("conv_id", "block").agg(F.sum((F.col("pos") > h).cast("bigint")).alias("own")))
     heads = (turns.where((F.col("conv_id") == base) & (F.col("pos") < most)).groupBy(F.col("conv_id").alias("base"))
              .agg(F.sort_array(F.collect_list(F.struct("pos", "t1", "t2", "words"))).alias("head")))   # below ``most``
-    head = F.when(F.col("head").isNull() | (h == 0), F.array().cast("array<struct<pos:bigint,t1:bigint,t2:bigint,words:bigint>>")
-                  ).otherwise(F.slice("head", F.lit(1), F.greatest(h, F.lit(1)).cast("int")))
+    nothing = F.array().cast("array<struct<pos:bigint,t1:bigint,t2:bigint,words:bigint>>")
+    head = F.when(F.col("head").isNull(), nothing).otherwise(F.slice("head", F.lit(1), h.cast("int")))
     starts = staging.save(
         blocks.groupBy("conv_id").agg(F.sum("own").alias("own")).withColumn("base", base).join(heads, "base", "left")
         .select("conv_id", "own", head.alias("head"))
-        .select("conv_id", "head", F.size("head").cast("bigint").alias("lead"), (F.size("head") + F.col("own")).alias("length")))
+        .select("conv_id", "head", "own", F.size("head").cast("bigint").alias("lead"))
+        .withColumn("length", F.col("lead") + F.col("own")))
     leads = blocks.join(starts.select("conv_id", "lead"), "conv_id").select("conv_id", "block", "lead")
     own = (turns.where(F.col("pos") > h).join(leads, ["conv_id", "block"])
            .select("conv_id", "block", (F.col("pos") - h + F.col("lead")).alias("pos"), "t1", "t2", "words"))
@@ -80,7 +81,7 @@ def with_family_start(turns: DataFrame, family: int, most: int, staging: Staging
 def _prefixes(turns: DataFrame, conversations: DataFrame) -> DataFrame:
     """Per turn the name of the prefix that it ends, of that before it, and whether all ends there."""
     block = ["conv_id", "block"]
-    numbered = turns.withColumns({"x1": F.xxhash64(F.lit(3), "pos", "t1", "t2"), "x2": F.xxhash64(F.lit(4), "pos", "t1", "t2")})
+    numbered = turns.withColumns({f"x{i}": F.xxhash64(F.lit(i), "pos", "t1", "t2") for i in (1, 2)})
     before = Window.partitionBy("conv_id").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     begins = (
         numbered.groupBy(*block).agg(F.bit_xor("x1").alias("b1"), F.bit_xor("x2").alias("b2"))
@@ -150,7 +151,8 @@ def prefix_trie(turns: DataFrame, conversations: DataFrame, staging: Staging) ->
     none = {"parent": F.lit(None).cast("bigint"), "parent_conv_id": F.lit(None).cast("bigint")}
     linked = staging.save(deeper.unionByName(first).unionByName(nodes.where("depth = 0").withColumns(none)))
     children = (linked.where("depth > 0").groupBy(F.col("parent").alias("id")).agg(F.count("*").alias("n_children")))
-    linked = staging.save(linked.join(children, "id", "left").withColumn("n_children", F.coalesce("n_children", _none())))
+    linked = staging.save(
+        linked.join(children, "id", "left").withColumn("n_children", F.coalesce("n_children", _none())))
     tree = linked.select("id", "parent", "depth", (F.col("n_children") == 0).cast("bigint").alias("n_leaves"),
                          ((F.col("n_convs") - 1) * F.col("words")).alias("saved_tokens"))
     totals = subtree_totals(tree, ["n_leaves", "saved_tokens"], staging)
