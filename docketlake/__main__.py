@@ -9,8 +9,6 @@ from pyspark.sql import SparkSession
 
 from docketlake.plans import stages
 from docketlake.schemas import FIRST_YEAR, LAST_YEAR
-from docketlake.session import configure
-from docketlake.sources import tables
 
 
 def arguments() -> argparse.Namespace:
@@ -43,9 +41,6 @@ def arguments() -> argparse.Namespace:
     load.add_argument("--year", type=int)
     load.add_argument("--full-reload", action="store_true")
 
-    compact = sub.add_parser("compact", help="rewrite all loads as one")
-    compact.add_argument("--remove", action="store_true", help="delete the old ones; no reader may be left")
-
     report = sub.add_parser("report", help="write every report, whole, as parquet")
     report.add_argument("--out", required=True, help="folder; each report goes below it by its name")
     return parser.parse_args()
@@ -70,11 +65,6 @@ def main() -> None:
             print(row["year"], row["outcome"], row["count"])
     elif a.stage == "load":
         stages.load_extractions(spark, a.base, a.year, a.full_reload).show()
-    elif a.stage == "compact":
-        configure(spark)
-        tables.compact(spark, a.base)
-        if a.remove:
-            tables.remove_replaced(spark, a.base)
     else:
         for name, report in stages.dashboard(spark, a.base).items():
             report.write.mode("overwrite").parquet(f"{a.out}/{name}")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from docketlake.functions.text import let, py_strip
+from docketlake.functions.text import in_head, let, py_strip
 from docketlake.schemas import ACTION_ELEMENT
 
 # A string literal (the last one may be cut off), a brace, or a run of anything else.
@@ -14,7 +14,7 @@ _STRING_OR_REST = r'(?s)"[^"\\]*+(?:\\.[^"\\]*+)*+"?|[^"]++'
 
 def clean_answer(c: Column) -> Column:
     """Drop closed think blocks and a code fence, keep the first top-level object."""
-    c = py_strip(F.regexp_replace(py_strip(c), r"(?s)<think>.*?</think>", ""))
+    c = py_strip(in_head(py_strip(c), "(?-i:</think>)", lambda x: F.regexp_replace(x, r"(?s)<think>.*?</think>", "")))
     return let(py_strip(_drop_fence(c)), _first_object)
 
 

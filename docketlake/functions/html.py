@@ -9,7 +9,7 @@ from html.entities import html5
 
 from pyspark.sql import Column, functions as F
 
-from docketlake.functions.text import let, nonempty_lines, py_strip
+from docketlake.functions.text import in_head, let, nonempty_lines, py_strip
 
 # A character reference as HTML5 tokenises it.
 _REFERENCE = r"&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[^\t\n\x0c <&#;]{1,32};?)"
@@ -87,6 +87,7 @@ def decode_entities(c: Column) -> Column:
     return F.when(F.contains(c, F.lit("&")), F.array_join(pieces, "")).otherwise(c)
 
 
+_TAG = r"<[^>]+>"
 _SCRIPT = r"(?is)<script.*?</script>"
 _STYLE = r"(?is)<style.*?</style>"
 
@@ -99,41 +100,51 @@ def html_to_text(c: Column, keep_script_text: bool = False) -> Column:
     and the lines are stripped and the empty ones dropped.
     """
     if not keep_script_text:
-        c = F.regexp_replace(F.regexp_replace(c, _SCRIPT, ""), _STYLE, "")
-    c = F.regexp_replace(c, r"(?iu)</?(?:p|div|br|li|tr|h[1-6])[^>]*>", "\n")
-    c = F.regexp_replace(c, r"<[^>]+>", "")
+        c = in_head(c, "</script>", lambda x: F.regexp_replace(x, _SCRIPT, ""))
+        c = in_head(c, "</style>", lambda x: F.regexp_replace(x, _STYLE, ""))
+
+    c = in_head(c, ">", lambda x: F.regexp_replace(x, r"(?iu)</?(?:p|div|br|li|tr|h[1-6])[^>]*>", "\n"))
+    c = in_head(c, ">", lambda x: F.regexp_replace(x, _TAG, ""))
     return nonempty_lines(decode_entities(c))
 
 
 # --- anchors -----------------------------------------------------------------
 
-_HIDDEN = r"(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<!--.*?-->"
-_ATTRIBUTES = r"""((?:[^"'>]++|"[^"]*+"|'[^']*+')*+)"""
+# What is opened and never closed reaches to the end of the page, so every pattern here is
+# tried to the end once at most.
+_HIDDEN = r"(?is)<script\b.*?(?:</script\s*>|\z)|<style\b.*?(?:</style\s*>|\z)|<!--.*?(?:-->|\z)"
+_ATTRIBUTES = r"""((?:[^"'>]++|"[^"]*+(?:"|\z)|'[^']*+(?:'|\z))*+)"""
 # The text of an anchor ends at its end tag or where the next anchor starts.
-_ANCHOR = rf"(?is)<a(?=[\s>/]){_ATTRIBUTES}>((?:[^<]++|<(?!a[\s>/]|/a\b))*+)"
+_ANCHOR = rf"(?is)<a(?=[\s>/]){_ATTRIBUTES}(>|\z)((?:[^<]++|<(?!a[\s>/]|/a\b))*+)"
 _HREF = r"""(?is)(?:^|[\s"'/])href\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
 
 
 def anchors(html: Column) -> Column:
     """All anchors of a page as ``array<struct<href, text>>`` in page order.
 
-    Works on the tag level with regular expressions, not on a DOM.
+    Works on the tag level with regular expressions, not on a DOM. A script, style or
+    comment that is never closed hides the rest of the page; a tag cut off is none.
     """
     visible = F.regexp_replace(html, _HIDDEN, "")
 
     def parse(x: Column) -> Column:
         href = F.concat(*[F.regexp_extract(x["attrs"], _HREF, g) for g in (1, 2, 3)])
-        strings = F.transform(F.split(x["inner"], r"<[^>]+>", -1),
-                              lambda s: py_strip(decode_entities(s)))
+        # Between the tags; what follows the last ">" belongs to the last piece.
+        head = F.regexp_extract(x["inner"], r"(?s)\A.*>", 0)
+        rest = F.substring(x["inner"], F.length(head) + 1, F.lit(1 << 30))
+        pieces = let(F.split(head, _TAG, -1), lambda p: F.concat(
+            F.slice(p, F.lit(1), F.size(p) - 1), F.array(F.concat(F.get(p, F.size(p) - 1), rest))))
+        strings = F.transform(pieces, lambda s: py_strip(decode_entities(s)))
         return F.struct(decode_entities(href).alias("href"),
                         F.array_join(strings, "").alias("text"))
 
     def parse_all(text: Column) -> Column:
         found = F.arrays_zip(
             F.regexp_extract_all(text, F.lit(_ANCHOR), F.lit(1)).alias("attrs"),
-            F.regexp_extract_all(text, F.lit(_ANCHOR), F.lit(2)).alias("inner"),
+            F.regexp_extract_all(text, F.lit(_ANCHOR), F.lit(2)).alias("close"),
+            F.regexp_extract_all(text, F.lit(_ANCHOR), F.lit(3)).alias("inner"),
         )
-        return F.transform(found, parse)
+        return F.transform(F.filter(found, lambda x: x["close"] != ""), parse)
 
     return let(visible, parse_all)
 

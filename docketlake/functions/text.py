@@ -29,6 +29,19 @@ CONTEXT_CHARS = 50
 _SHORTEST_MATCH = 11
 
 
+def in_head(c: Column, closer: str, change) -> Column:
+    """Apply ``change`` up to the last match of ``closer``, the rest stays.
+
+    There every opener has a closer after it. A lazy pattern from opener to closer is so
+    linear in the text, where it would otherwise try every unclosed opener to the end.
+    """
+    def run(text: Column) -> Column:
+        head = F.regexp_extract(text, rf"(?is)\A.*(?:{closer})", 0)
+        return F.concat(change(head), F.substring(text, F.length(head) + 1, F.lit(1 << 30)))
+
+    return let(c, run)
+
+
 def let(value: Column, body) -> Column:
     """Evaluate ``value`` once and use it many times inside ``body``."""
     return F.transform(F.array(value), body)[0]

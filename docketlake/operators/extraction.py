@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import time
-import zlib
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -11,18 +9,13 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from docketlake.functions import answers as A, text as X
 from docketlake.functions.prompts import DEFAULT_TEMPLATE, build_prompt
+from docketlake.operators.calls import CALL_LOG, INITIAL_DELAY, MAX_JITTER, RETRYABLE, ask_once
 from docketlake.operators.keys import known_keys, top_per_group
 from docketlake.schemas import ACTION_ELEMENT
 
-# Fixed values.
-RETRYABLE = [503, 429, 500, 502, 504]
-MAX_TRIES = 5
-INITIAL_DELAY = 2.0
-MAX_JITTER = 0.25
+# Fixed value.
 NO_SECTIONS = "No enforcement action sections detected by pre-filter"
 
-CALL_LOG = "prompt_key STRING, attempt INT, http_status INT, response STRING, error STRING"
-
 
 def pending_digests(texts: DataFrame, done: DataFrame, key: str = "digest_date",
                     limit: int | None = None, order: str | None = None) -> DataFrame:
@@ -59,32 +52,18 @@ def prompts(texts: DataFrame, template: str = DEFAULT_TEMPLATE) -> DataFrame:
 
 
 def call_extractor(work: DataFrame, make_client: Callable[[], Callable[[str], str]],
-                   key: str = "digest_date", max_tries: int = MAX_TRIES,
-                   initial_delay: float = INITIAL_DELAY, concurrency: int | None = None) -> DataFrame:
-    """Call a caller-supplied function for every prompt and log each try.
-
-    ``make_client`` runs once per task and returns ``prompt -> answer``. An
-    exception with a ``status_code`` in the retryable set is tried again after a
-    growing delay; any other ends the tries for that prompt. ``concurrency`` spreads
-    the prompts over that many tasks, which bounds how many run at once. The only
-    place of the package where Python code runs in the tasks.
+                   key: str = "digest_date", concurrency: int | None = None) -> DataFrame:
+    """Call a caller-supplied function once for every prompt and log the try.
+
+    ``make_client`` runs once per task and returns ``prompt -> answer``. ``concurrency``
+    spreads the prompts over that many tasks, which bounds how many run at once. For
+    calls that are tried again and whose log survives the job, see
+    :func:`docketlake.operators.calls.call_in_batches`.
     """
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         ask = make_client()
         for batch in batches:
-            rows = []
-            for k, prompt in zip(batch["prompt_key"], batch["prompt"]):
-                for attempt in range(max_tries):
-                    try:
-                        rows.append((k, attempt, 200, ask(prompt), None))
-                        break
-                    except Exception as e:  # the log records whatever the client raised
-                        status = getattr(e, "status_code", None)
-                        rows.append((k, attempt, status, None, str(e)))
-                        if status not in RETRYABLE or attempt == max_tries - 1:
-                            break
-                        delay = initial_delay * 2 ** attempt
-                        time.sleep(delay * (1 + MAX_JITTER * (zlib.crc32(f"{k}/{attempt}".encode()) % 1000) / 1000))
+            rows = [(k, 0, *ask_once(ask, prompt)) for k, prompt in zip(batch["prompt_key"], batch["prompt"])]
             out = pd.DataFrame(rows, columns=["prompt_key", "attempt", "http_status", "response", "error"])
             out["http_status"] = out["http_status"].astype("Int32")
             yield out

@@ -4,9 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from docketlake.operators.keys import known_keys
 from docketlake.schemas import ENFORCEMENT_TABLES, PRIMARY_KEYS, REQUIRED_COLUMNS
-from docketlake.session import shared_dir
 
 CHILDREN = {
     "respondents": ["name", "entity_type", "location"],
@@ -39,13 +37,40 @@ def has_actions() -> Column:
     )
 
 
-def classify(digests: DataFrame, loaded_dates: DataFrame) -> DataFrame:
+def day_bitmaps(dates: DataFrame) -> DataFrame:
+    """(year, days): the days of ``digest_date`` as one bitmap per year."""
+    day = F.bitmap_bit_position(F.dayofyear("digest_date"))
+    return (dates.where(F.col("digest_date").isNotNull()).groupBy(F.year("digest_date").alias("year"))
+            .agg(F.bitmap_construct_agg(day).alias("days")))
+
+
+def joined_days(bitmaps: DataFrame) -> DataFrame:
+    """(year, days) of several bitmaps a year."""
+    return bitmaps.groupBy("year").agg(F.bitmap_or_agg("days").alias("days"))
+
+
+def _with_known(digests: DataFrame, days: DataFrame) -> DataFrame:
+    """Adds ``_known``: whether the digest's day is set in the bitmap of its year.
+
+    The bitmaps are broadcast, so nested rows are not shuffled: 4 KB a year, and a DATE
+    has at most 10,000 years.
+    """
+    day = F.dayofyear("digest_date") - 1
+    byte = F.conv(F.hex(F.substring(F.col("_days"), F.floor(day / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    known = F.broadcast(days.select(F.col("year").alias("_year"), F.col("days").alias("_days")))
+    return (
+        digests.join(known, F.year("digest_date") == F.col("_year"), "left")
+        .withColumn("_known", F.coalesce(F.getbit(byte, day % 8) == 1, F.lit(False)))
+        .drop("_year", "_days")
+    )
+
+
+def classify(digests: DataFrame, loaded: DataFrame) -> DataFrame:
     """Adds ``load_outcome``: error, skipped_existing, no_actions or loaded; and ``fault``.
 
-    The skip set is read once, so two new digests of the same date both load. Its
-    dates are broadcast, so the nested rows are not shuffled.
+    ``loaded`` has the bitmaps of :func:`day_bitmaps`. The skip set is read once, so two
+    new digests of the same date both load.
     """
-    known = known_keys(loaded_dates, "digest_date").withColumn("_known", F.lit(True))
     reason = fault(digests)
     unreadable = reason.isin("unreadable file", "no digest date")
     outcome = (
@@ -56,35 +81,48 @@ def classify(digests: DataFrame, loaded_dates: DataFrame) -> DataFrame:
         .otherwise("loaded")
     )
     return (
-        digests.join(known, "digest_date", "left")
+        _with_known(digests, loaded)
         .withColumn("fault", reason)
         .withColumn("load_outcome", outcome)
         .drop("_known")
     )
 
 
-def not_loaded(digests: DataFrame, loaded_dates: DataFrame) -> DataFrame:
-    """Digests whose date is not among the loaded ones."""
-    return digests.join(known_keys(loaded_dates, "digest_date"), "digest_date", "left_anti")
+def not_loaded(digests: DataFrame, loaded: DataFrame) -> DataFrame:
+    """Digests whose date is not set in the bitmaps of the loaded days."""
+    return _with_known(digests, loaded).where(~F.col("_known")).drop("_known")
 
 
-def load_stats(classified: DataFrame) -> DataFrame:
-    """One row of counts of a load run."""
+def load_metrics(columns: list[str]) -> list[Column]:
+    """The counts of a load run, as aggregates over its classified digests.
+
+    ``failed`` are those of ``no_actions`` whose extraction failed: a record that says it
+    has actions and holds none.
+    """
     o = F.col("load_outcome")
-    n_actions = F.col("n_actions") if "n_actions" in classified.columns else F.size("actions")
-    return classified.agg(
+    n_actions = F.col("n_actions") if "n_actions" in columns else F.size("actions")
+    claims = F.coalesce(F.col("has_enforcement_actions"), F.lit(False))
+    return [
         F.count_if(o == "loaded").alias("loaded"),
         F.count_if(o == "skipped_existing").alias("skipped_existing"),
         F.count_if(o == "no_actions").alias("no_actions"),
         F.count_if(o == "error").alias("errors"),
         F.coalesce(F.sum(F.when(o == "loaded", n_actions)), F.lit(0)).alias("total_actions"),
-    )
+        F.count_if((o == "no_actions") & claims).alias("failed"),
+    ]
 
 
-def load_totals(classified: DataFrame) -> DataFrame:
-    """One row: how many rows a run adds to each table, from the stored sizes."""
-    loaded = classified.where(F.col("load_outcome") == "loaded")
-    return loaded.agg(*[F.coalesce(F.sum(f"n_{k}"), F.lit(0)).alias(k) for k in KINDS])
+def load_stats(classified: DataFrame) -> DataFrame:
+    """One row of counts of a load run, with the digests that share a new date with an earlier one."""
+    dates = F.count_distinct(F.when(F.col("load_outcome") == "loaded", F.col("digest_date")))
+    return classified.agg(*load_metrics(classified.columns), dates.alias("_dates")).withColumn(
+        "repeated_dates", F.col("loaded") - F.col("_dates")).drop("_dates")
+
+
+def total_metrics() -> list[Column]:
+    """How many rows a run adds to each table, from the stored sizes."""
+    loaded = F.col("load_outcome") == "loaded"
+    return [F.coalesce(F.sum(F.when(loaded, F.col(f"n_{k}"))), F.lit(0)).alias(f"rows_{k}") for k in KINDS]
 
 
 def repeated_dates(classified: DataFrame) -> DataFrame:
@@ -107,37 +145,28 @@ def with_sizes(digests: DataFrame) -> DataFrame:
     return digests.withColumns(sizes)
 
 
-def running_offsets(sizes: DataFrame, order: list[str]) -> DataFrame:
-    """For each digest, the number of rows that all digests before it add.
-
-    ``sizes`` has the columns of :func:`with_sizes`; ``order`` must be unique.
+def with_offsets(digests: DataFrame, order: list[str]) -> DataFrame:
+    """Adds to each digest, per table, the number of rows that all digests before it bring.
 
-    A prefix sum without a global window: the small rows are range-partitioned by
-    the load order and checkpointed, which fixes which partition holds what; the
-    totals of the partitions (one row each) are summed up in order and broadcast;
-    the rest is a running sum inside each partition.
+    ``order`` must be unique. A prefix sum without a global window or a join back: sizes
+    and order alone are dealt over ranges, of which each keeps its lowest key and its
+    totals (one row a range). By those keys the digests are dealt to the same ranges, the
+    one exchange that moves nested rows, and summed up inside each.
     """
-    shared_dir(sizes.sparkSession)  # makes sure that there is a checkpoint folder
+    sized = digests if f"n_{KINDS[-1]}" in digests.columns else with_sizes(digests)
     counts = [f"n_{k}" for k in KINDS]
-    parts = (
-        sizes.select(*order, *counts).repartitionByRange(*order).withColumn("_part", F.spark_partition_id())
-        .checkpoint()
-    )
-    by_part = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = parts.groupBy("_part").agg(*[F.sum(c).alias(c) for c in counts]).select(
-        "_part", *[F.coalesce(F.sum(c).over(by_part), F.lit(0)).alias(f"_{c}") for c in counts]
-    )
-    inside = Window.partitionBy("_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    return parts.join(F.broadcast(starts), "_part").select(
-        *order,
-        *[(F.coalesce(F.sum(f"n_{k}").over(inside), F.lit(0)) + F.col(f"_n_{k}")).alias(f"{k}_offset")
-          for k in KINDS],
-    )
-
-
-def with_offsets(digests: DataFrame, order: list[str]) -> DataFrame:
-    """Digests with their offsets in the load order, whose columns identify a digest."""
-    return digests.join(running_offsets(with_sizes(digests), order), order)
+    key = F.struct(*order)
+    dealt = sized.select(*order, *counts).repartitionByRange(*order).withColumn("_part", F.spark_partition_id())
+    ranges = dealt.groupBy("_part").agg(F.min(key).alias("_low"), *[F.sum(c).alias(c) for c in counts])
+    earlier = Window.orderBy("_low").rowsBetween(Window.unboundedPreceding, -1)
+    starts = ranges.select("_low", *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"_{c}") for c in counts])
+    bounds = starts.agg(F.sort_array(F.collect_list(F.struct("_low", *[f"_{c}" for c in counts]))).alias("_ranges"))
+    at = F.size(F.filter("_ranges", lambda r: r["_low"] <= key)) - 1
+    placed = sized.withColumn("_ranges", bounds.scalar()).withColumn("_start", F.get("_ranges", at)).drop("_ranges")
+    inside = Window.partitionBy("_start").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    return placed.withColumns({
+        f"{k}_offset": F.coalesce(F.sum(f"n_{k}").over(inside), F.lit(0)) + F.col(f"_start._n_{k}") for k in KINDS
+    }).drop("_start")
 
 
 def next_ids(tables: dict[str, DataFrame]) -> DataFrame:
@@ -238,6 +267,81 @@ def key_violations(tables: dict[str, DataFrame]) -> DataFrame:
     return result
 
 
+def integrity_metrics(table: str, columns: list[str], first: int, action_ids: tuple[int, int]) -> list[Column]:
+    """Metrics over one table of a load: how its ids fill an interval, nulls, children of no action.
+
+    Ids are taken from ``first`` on, as whole numbers that sums of squares don't overflow.
+    """
+    place = (F.col("id") - first).cast("decimal(19,0)")
+    nulls = F.lit(False)
+    for c in [PRIMARY_KEYS[table], *REQUIRED_COLUMNS[table]]:
+        if c in columns:
+            nulls = nulls | F.col(c).isNull()
+    none = F.lit(0)
+    astray = ~F.col("action_id").between(*action_ids) if "action_id" in columns else F.lit(False)
+    return [
+        F.count("*").alias("n"), F.min(place).alias("low"), F.max(place).alias("high"),
+        F.coalesce(F.sum(place), none).alias("places"), F.coalesce(F.sum(place * place), none).alias("squares"),
+        F.count_if(nulls).alias("nulls"), F.count_if(astray).alias("orphans"),
+    ]
+
+
+def integrity_faults(table: str, seen: dict, rows: int) -> list[str]:
+    """What the metrics of a table have against it.
+
+    Ids that repeat would change the range, the sum or the sum of squares of the places.
+    """
+    last = rows - 1
+    dense = seen["n"] == 0 or (
+        seen["low"] == 0 and seen["high"] == last and seen["places"] == last * rows // 2
+        and seen["squares"] == last * rows * (2 * last + 1) // 6)
+    found = {f"{seen['n']} rows in place of {rows}": seen["n"] != rows, "ids that repeat or leave gaps": not dense,
+             f"{seen['nulls']} rows with nulls": seen["nulls"] > 0, f"{seen['orphans']} rows of no action": seen["orphans"] > 0}
+    return [f"{table}: {what}" for what, holds in found.items() if holds]
+
+
+# --- assembly ----------------------------------------------------------------
+
+#: Children of one kind that a page holds at most.
+PAGE = 100
+
+
+def child_pages(children: DataFrame, kind: str, page: int = PAGE, block: int = 1 << 14) -> DataFrame:
+    """(id, page, kind): the children of every action by id, at most ``page`` to a row.
+
+    Children are ranked within (action, range of ``block`` ids) and the ranges counted
+    first, so an action that has a third of all children is many small groups.
+    """
+    keys = ["action_id", "_block"]
+    blocked = children.select("action_id", "id", *CHILDREN[kind]).withColumn("_block", F.floor(F.col("id") / block))
+    before = Window.partitionBy("action_id").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    starts = blocked.groupBy(*keys).agg(F.count("*").alias("_n")).select(
+        *keys, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    rank = F.row_number().over(Window.partitionBy(*keys).orderBy("id")) - 1
+    ranked = blocked.withColumn("_rank", rank).join(starts, keys)
+    number = F.floor((F.col("_before") + F.col("_rank")) / page)
+    return ranked.groupBy(F.col("action_id").alias("id"), number.alias("page")).agg(
+        F.sort_array(F.collect_list(F.struct("id", *CHILDREN[kind]))).alias(kind))   # ``page`` at most
+
+
+def assemble_actions(actions: DataFrame, children: dict[str, DataFrame], page: int = PAGE) -> DataFrame:
+    """Every action with all its fields and children, in pages: the nested form again.
+
+    One row per action and page, from page 0 on; the lists of a page hold at most ``page``
+    children each, by id, as structs of id and fields. Actions without children have an
+    empty page 0; children of no action are left out.
+    """
+    pages = None
+    for kind in CHILDREN:
+        one = child_pages(children[kind], kind, page)
+        pages = one if pages is None else pages.join(one, ["id", "page"], "full")
+    pages = pages.withColumnRenamed("id", "_id").withColumnRenamed("page", "_page")
+    joined = actions.join(pages, F.col("id") == F.col("_id"), "left")
+    return joined.select(
+        *actions.columns, F.coalesce("_page", F.lit(0)).cast("bigint").alias("page"),
+        *[F.coalesce(k, F.array().cast(pages.schema[k].dataType)).alias(k) for k in CHILDREN])
+
+
 def action_overview(actions: DataFrame, respondents: DataFrame, violations: DataFrame,
                     sanctions: DataFrame) -> DataFrame:
     """Every action with the number of its children and its first respondent.

@@ -239,21 +239,14 @@ _ORDER = ["year_dir", "file_name"]
 _SKIP = "digest_date < DATE '1998-01-01'"
 
 
-def _loaded_dates(spark, sf):
-    return view(spark, sf, "s_nested_base").where(_SKIP).select("digest_date")
+def _loaded_days(spark, sf):
+    return L.day_bitmaps(view(spark, sf, "s_nested_base").where(_SKIP))
 
 
 def _placed(spark, sf):
-    """New digests with actions and their offsets; the dates before 1998 count as loaded.
-
-    Staged once with their sizes, as a load does.
-    """
+    """New digests with actions and their offsets; the dates before 1998 count as loaded."""
     nested = nested_digests(spark, sf)
-    new = L.classify(nested, _loaded_dates(spark, sf)).where("load_outcome = 'loaded'")
-    staged = scratch_path(spark, "load")
-    L.with_sizes(new).write.parquet(staged)
-    new = spark.read.parquet(staged)
-    return new.join(L.running_offsets(new, _ORDER), _ORDER)
+    return L.with_offsets(L.classify(nested, _loaded_days(spark, sf)).where("load_outcome = 'loaded'"), _ORDER)
 
 
 @query("surrogate_ids", f"""
@@ -290,8 +283,8 @@ def next_ids(spark, sf):
     WHERE digest_date NOT IN (SELECT digest_date FROM <s_nested_base> WHERE {_SKIP} OR day(digest_date) = 1)""")
 def incremental_load(spark, sf):
     digests = view(spark, sf, "s_nested_base").select("k", "digest_date")
-    loaded = digests.where(f"{_SKIP} OR day(digest_date) = 1")
-    return L.not_loaded(digests, loaded)
+    days = L.day_bitmaps(digests.where(f"{_SKIP} OR day(digest_date) = 1"))
+    return L.not_loaded(digests, days)
 
 
 @query("load_no_actions", f"""
@@ -299,7 +292,7 @@ def incremental_load(spark, sf):
     WHERE NOT ({_SKIP}) AND NOT (has_enforcement_actions AND k % 4 > 0) GROUP BY 1""")
 def load_no_actions(spark, sf):
     nested = nested_digests(spark, sf)
-    out = L.classify(nested, _loaded_dates(spark, sf))
+    out = L.classify(nested, _loaded_days(spark, sf))
     return out.where("load_outcome = 'no_actions'").groupBy("digest_date").agg(F.count("*").alias("n"))
 
 
@@ -308,20 +301,23 @@ def load_no_actions(spark, sf):
     WHERE NOT ({_SKIP}) AND has_enforcement_actions AND k % 4 > 0 GROUP BY 1 HAVING count(*) > 1""")
 def load_repeated_dates(spark, sf):
     nested = nested_digests(spark, sf)
-    return L.repeated_dates(L.classify(nested, _loaded_dates(spark, sf)))
+    return L.repeated_dates(L.classify(nested, _loaded_days(spark, sf)))
 
 
 _STATS_SQL = f"""
     SELECT count(*) FILTER (NOT old AND good) AS loaded, count(*) FILTER (old) AS skipped_existing,
       count(*) FILTER (NOT old AND NOT good) AS no_actions, CAST(0 AS BIGINT) AS errors,
-      CAST(sum(k % 4) FILTER (NOT old AND good) AS BIGINT) AS total_actions
-    FROM (SELECT k, {_SKIP} AS old, has_enforcement_actions AND k % 4 > 0 AS good FROM <s_nested_base>) b"""
+      CAST(sum(k % 4) FILTER (NOT old AND good) AS BIGINT) AS total_actions,
+      count(*) FILTER (NOT old AND NOT good AND has_enforcement_actions) AS failed,
+      count(*) FILTER (NOT old AND good) - count(DISTINCT digest_date) FILTER (NOT old AND good) AS repeated_dates
+    FROM (SELECT k, digest_date, {_SKIP} AS old, has_enforcement_actions, has_enforcement_actions AND k % 4 > 0 AS good
+          FROM <s_nested_base>) b"""
 
 
 @query("stage_stats", _STATS_SQL)
 def stage_stats(spark, sf):
     nested = nested_digests(spark, sf)
-    return L.load_stats(L.classify(nested, _loaded_dates(spark, sf)))
+    return L.load_stats(L.classify(nested, _loaded_days(spark, sf)))
 
 
 @query("table_sink", f"""
@@ -387,14 +383,47 @@ def pk_violations(spark, sf):
         "violations": view(spark, sf, "s_violations"), "sanctions": view(spark, sf, "s_sanctions")})
 
 
-@query("renest_actions", """
+def _list_sql(kind: str, *fields: str) -> str:
+    texts = " || '|' || ".join(f"coalesce({f}, '')" for f in fields)
+    return f"""(SELECT action_id, (rank - 1) // {_PAGE} AS page,
+        string_agg(concat(CAST(id AS VARCHAR), '|') || {texts}, ';' ORDER BY id) AS {kind}
+      FROM (SELECT *, row_number() OVER (PARTITION BY action_id ORDER BY id) AS rank FROM <s_{kind}>) c
+      GROUP BY ALL)"""
+
+
+_PAGE = 3
+
+
+@query("renest_actions", f"""
+    WITH r AS {_list_sql('respondents', 'name', 'entity_type', 'location')},
+    v AS {_list_sql('violations', 'statute', 'description')},
+    s AS {_list_sql('sanctions', 'sanction_type', 'description', 'duration', 'amount')},
+    p AS (SELECT action_id, page FROM r UNION SELECT action_id, page FROM v UNION SELECT action_id, page FROM s)
+    SELECT a.*, coalesce(p.page, 0) AS page, coalesce(respondents, '') AS respondents,
+      coalesce(violations, '') AS violations, coalesce(sanctions, '') AS sanctions
+    FROM <s_actions> a LEFT JOIN p ON p.action_id = a.id
+    LEFT JOIN r ON r.action_id = a.id AND r.page = p.page LEFT JOIN v ON v.action_id = a.id AND v.page = p.page
+    LEFT JOIN s ON s.action_id = a.id AND s.page = p.page""")
+def renest_actions(spark, sf):
+    """Actions with all their children in pages; the lists are written out to compare them."""
+    children = {n: view(spark, sf, f"s_{n}") for n in L.CHILDREN}
+    pages = L.assemble_actions(view(spark, sf, "s_actions"), children, _PAGE)
+
+    def written(kind):
+        return F.array_join(F.transform(kind, lambda c: F.concat_ws(
+            "|", c["id"].cast("string"), *[F.coalesce(c[f], F.lit("")) for f in L.CHILDREN[kind]])), ";")
+
+    return pages.withColumns({kind: written(kind) for kind in L.CHILDREN})
+
+
+@query("action_overview", """
     SELECT a.id, coalesce(r.n, 0) AS n_resp, coalesce(v.n, 0) AS n_viol, coalesce(s.n, 0) AS n_sanc, r.first_name
     FROM <s_actions> a
     LEFT JOIN (SELECT action_id, count(*) AS n, arg_min(name, id) AS first_name FROM <s_respondents> GROUP BY 1) r
       ON a.id = r.action_id
     LEFT JOIN (SELECT action_id, count(*) AS n FROM <s_violations> GROUP BY 1) v ON a.id = v.action_id
     LEFT JOIN (SELECT action_id, count(*) AS n FROM <s_sanctions> GROUP BY 1) s ON a.id = s.action_id""")
-def renest_actions(spark, sf):
+def action_overview(spark, sf):
     return L.action_overview(view(spark, sf, "s_actions"), view(spark, sf, "s_respondents"),
                              view(spark, sf, "s_violations"), view(spark, sf, "s_sanctions"))
 

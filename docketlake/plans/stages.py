@@ -4,15 +4,17 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from docketlake.functions import urls
-from docketlake.operators import extraction as E, load as L, manifest as M, parsing as P, reports as R
+from docketlake.operators import calls as C, extraction as E, load as L, manifest as M, parsing as P, reports as R
 from docketlake.operators.keys import distinct_keys
 from docketlake.schemas import MANIFEST, PARSING
 from docketlake.session import configure, drop_scratch, scratch_path
 from docketlake.sources import files, tables as T
+from docketlake.sources.pending import read_pending
 
 TEXTS = "pdf_path STRING, out_path STRING, digest_date DATE, text STRING, text_length INT, year INT"
 
@@ -24,14 +26,14 @@ def plan_downloads(spark: SparkSession, base: str, url_root: str, first: int, la
     The result has one row per day and candidate address, best first.
     """
     configure(spark)
+    T.finish_published(spark, base)
     years = M.in_years(spark.range(first, last + 1).select(F.col("id").cast("int").alias("year")),
                        first, last)
     batch = M.build_manifest(M.calendar(years), url_root, output)
     path = f"{base}/download_manifest"
-    after = T.last_commit(spark, f"{path}_commits")
-    known = M.in_years(T.read_state(spark, path, MANIFEST), first, last)
-    T.replace_years(spark, M.insert_missing(known, batch, F.col("date")), path, after)
-    stored = M.in_years(T.read_state(spark, path, MANIFEST), first, last)
+    known = M.in_years(T.read_or_empty(spark, path, MANIFEST), first, last)
+    T.publish(spark, base, {"download_manifest": (M.insert_missing(known, batch, F.col("date")), ["year"])})
+    stored = M.in_years(T.read_or_empty(spark, path, MANIFEST), first, last)
     return M.candidates(M.without_failed(batch, stored, retry_non_404), url_root)
 
 
@@ -43,13 +45,13 @@ def record_downloads(spark: SparkSession, base: str, attempts: DataFrame) -> Dat
     (``skipped_failed``), and all rows (``total``).
     """
     configure(spark)
-    path, resolved = f"{base}/download_manifest", scratch_path(spark, "resolved")
+    T.finish_published(spark, base)
+    resolved = scratch_path(spark, "resolved")
     M.resolve_fetches(attempts).select(
         "url", F.col("status").alias("download_status"), "file_size_bytes", "downloaded_at",
         F.col("message").alias("error_message")).write.parquet(resolved)
     results = spark.read.parquet(resolved)
-    after = T.last_commit(spark, f"{path}_commits")
-    target = T.read_state(spark, path, MANIFEST)
+    target = T.read_or_empty(spark, f"{base}/download_manifest", MANIFEST)
     # At most one value per year of the archive.
     touched = target.select("url", "year").join(results.select("url"), "url", "left_semi")
     years = [r.year for r in touched.select("year").distinct().collect()]
@@ -63,8 +65,8 @@ def record_downloads(spark: SparkSession, base: str, attempts: DataFrame) -> Dat
         rest.where("download_status = 'failed'"))
     counts = spark.createDataFrame([stats.first()], stats.schema)
     if years:
-        T.replace_years(spark, M.update_manifest(
-            target, results, F.struct("downloaded_at", "download_status", "file_size_bytes", "error_message")), path, after)
+        order = F.struct("downloaded_at", "download_status", "file_size_bytes", "error_message")
+        T.publish(spark, base, {"download_manifest": (M.update_manifest(target, results, order), ["year"])})
     drop_scratch(spark, resolved)
     return counts
 
@@ -75,20 +77,22 @@ def parse_year(spark: SparkSession, base: str, raw_root: str, year: int,
 
     A digest is known by its output path. Of several files with one output path the
     first that gives a text is kept, the files after it are ``skipped``, in this run
-    and in later ones. Only files that are parsed are opened.
+    and in later ones. Only files that are parsed are opened. Texts and results are put in
+    place together: what a run that died had staged, this one stores first.
     """
     configure(spark)
+    T.finish_published(spark, base)
     text_path, result_path = f"{base}/digest_text", f"{base}/parsing_results"
-    raw = files.raw_files(spark, raw_root, year).withColumn(
+    raw = files.raw_files(spark, raw_root, year).drop("content").withColumn(
         "out_path", urls.text_path(F.col("path"), "markdown"))
     done = T.read_or_empty(spark, text_path, TEXTS).where(F.col("year") == year).select(
         "out_path", F.col("text_length").alias("markdown_length"))
     names = raw.select("path", "out_path", "file")
     new_names = P.skip_existing(names, done, "out_path")
     is_pdf = urls.source_kind(F.col("path")) == "pdf"
-    opened = files.only_files(raw, new_names.where(~is_pdf)).select("path", "content").unionByName(
+    pending, staged = scratch_path(spark, "pending"), scratch_path(spark, "parsed")
+    opened = read_pending(spark, new_names.where(~is_pdf), pending).unionByName(
         new_names.where(is_pdf).select("path", F.lit(None).cast("binary").alias("content")))
-    staged = scratch_path(spark, "parsed")
     P.parse_files(opened, pdf_text=pdf_text).write.parquet(staged)
     parsed = spark.read.parquet(staged)
     columns = ["path", "out_path", "parsing_status", "page_count", "markdown_length", "error_message"]
@@ -103,23 +107,23 @@ def parse_year(spark: SparkSession, base: str, raw_root: str, year: int,
     kept = judged.where(F.col("parsing_status") == "completed").select("path")
     texts = parsed.join(kept, "path", "left_semi").select(
         F.col("path").alias("pdf_path"), "out_path", urls.digest_date_from_name(F.col("path")).alias("digest_date"),
-        "text", F.col("markdown_length").alias("text_length"), F.lit(year).alias("year"))
-    after = T.last_commit(spark, f"{result_path}_commits")
-    old = T.read_state(spark, result_path, f"{PARSING}, year INT").where(
+        "text", F.col("markdown_length").alias("text_length"), F.lit(year).alias("year"),
+        F.lit(f"b{uuid.uuid4().hex}").alias("batch"))
+    old = T.read_or_empty(spark, result_path, f"{PARSING}, year INT").where(
         F.col("year") == year).drop("year")
     merged = P.upsert_results(old, new, F.struct(
         "parsed_at", "parsing_status", "markdown_length", "markdown_path", "error_message")).withColumn("year", F.lit(year))
     counts = P.parse_stats(new)
     row = spark.createDataFrame([counts.first()], counts.schema)
-    files.write_texts(texts, text_path, mode="append")
-    T.replace_years(spark, merged, result_path, after)
-    drop_scratch(spark, staged, result_stage)
+    T.publish(spark, base, {"digest_text": (texts, ["year", "batch"]), "parsing_results": (merged, ["year"])})
+    drop_scratch(spark, pending, staged, result_stage)
     return row
 
 
 def extract_texts(spark: SparkSession, base: str, make_client: Callable[[], Callable[[str], str]],
                   year: int | None = None, limit: int | None = None, retry_failed: bool = False,
-                  concurrency: int | None = None, store_negative: bool = False) -> DataFrame:
+                  concurrency: int | None = None, store_negative: bool = False,
+                  batch: int = C.BATCH) -> DataFrame:
     """Extract the pending digests, store their records, return the outcomes.
 
     The outcomes go to ``extraction_outcomes`` (with attempts and the path of what was
@@ -129,10 +133,11 @@ def extract_texts(spark: SparkSession, base: str, make_client: Callable[[], Call
     Digests, calls and records are known by the output path of the text. Digests whose
     extraction failed have a record and are left alone, unless ``retry_failed``. Those
     in error have none and are tried again; those whose file name holds no date are in
-    error without a call. Answers that an earlier run paid for and died before storing
-    are taken from its log, whatever their year.
+    error without a call. The calls of a run are logged batch by batch: a run that died is
+    finished first, whatever the year of its prompts, and asks again for one batch at most.
     """
     configure(spark)
+    T.finish_published(spark, base)
     texts = files.read_texts(spark, f"{base}/digest_text", year)
     record_path, open_path = f"{base}/extractions", f"{base}/call_log_open"
     if files.path_exists(spark, record_path):
@@ -144,26 +149,33 @@ def extract_texts(spark: SparkSession, base: str, make_client: Callable[[], Call
         done = spark.createDataFrame([], "out_path STRING")
     dated = F.col("digest_date").isNotNull()
 
-    # The calls are costly: their log is stored once, for good, and read from there on.
-    # A run's mark goes when its records are stored.
-    calls = f"{base}/call_log"
-    left = files.marks(spark, open_path)
-    paid = P.skip_existing(
-        T.read_or_empty(spark, calls, f"{E.CALL_LOG}, run STRING").where(F.col("run").isin(left)).drop("run"),
-        done.withColumnRenamed("out_path", "prompt_key"), "prompt_key")
-    pending = texts.where(dated)
+    # A run's mark holds its prompts, and goes when its records are stored.
+    calls, left = f"{base}/call_log", []
+    for name in files.marks(spark, open_path):
+        if files.path_exists(spark, f"{open_path}/{name}/prompts/_SUCCESS"):
+            left.append(name)
+        else:
+            files.drop_folder(spark, f"{open_path}/{name}")
+
+    def ask(name: str) -> DataFrame:
+        mark = f"{open_path}/{name}"
+        C.call_in_batches(spark, f"{mark}/prompts", f"{calls}/run={name}", f"{mark}/checkpoint", make_client,
+                          concurrency=concurrency)
+        return C.read_log(spark, f"{calls}/run={name}").drop("last", "batch")
+
+    pending, paid_path = texts.where(dated), scratch_path(spark, "paid")
     if left:
+        paid = reduce(DataFrame.unionByName, [ask(name) for name in left])
+        # Staged, since the records that it is compared with are about to grow.
+        P.skip_existing(paid, done.withColumnRenamed("out_path", "prompt_key"), "prompt_key").write.parquet(paid_path)
+        paid = spark.read.parquet(paid_path)
         pending = P.skip_existing(pending, paid.select(F.col("prompt_key").alias("out_path")), "out_path")
-    work = E.prompts(E.pending_digests(pending, done, "out_path", limit)).select("out_path", "prompt")
     run = f"r{uuid.uuid4().hex}"
-    files.set_mark(spark, f"{open_path}/{run}")
-    E.call_extractor(work, make_client, "out_path", concurrency=concurrency).write.parquet(f"{calls}/run={run}")
-    log = spark.read.parquet(f"{calls}/run={run}")
+    work = E.prompts(E.pending_digests(pending, done, "out_path", limit))
+    C.store_prompts(work.select(F.col("out_path").alias("prompt_key"), "prompt"), f"{open_path}/{run}/prompts", batch)
+    log = ask(run)
     if left:
-        # Staged, since the records that it is compared with are about to grow.
-        paid_path = scratch_path(spark, "paid")
-        paid.write.parquet(paid_path)
-        log = log.unionByName(spark.read.parquet(paid_path))
+        log = log.unionByName(paid)
 
     digest = [F.col("prompt_key").alias("out_path"), urls.digest_date_from_name(F.col("prompt_key")).alias("digest_date")]
     answered = log.where(F.col("http_status") == 200).select(
@@ -199,73 +211,68 @@ def extract_texts(spark: SparkSession, base: str, make_client: Callable[[], Call
     E.extraction_stats(result, had_record).write.parquet(stats_path)
     files.write_extractions(stored, record_path)
     for name in [run, *left]:
-        files.clear_mark(spark, f"{open_path}/{name}")
+        files.drop_folder(spark, f"{open_path}/{name}")
     return result
 
 
 def load_records(spark: SparkSession, base: str, digests: DataFrame, order: list[str],
-                 replace_years: list[int] | None = None) -> DataFrame:
+                 replace_years: list[int] | None = None, run: str | None = None) -> DataFrame:
     """Load nested records into the four tables; return the run's counts.
 
     ``order`` names the columns that fix the order of the ids. With ``replace_years`` those
     years are loaded anew in place of what is stored; an empty input is then refused.
-    Digests in error go to ``load_rejects`` with the reason. If another load was committed
-    since this one began, this one is refused.
+    Digests in error go to ``load_rejects`` with the reason. ``run`` names the load: under a
+    name that is committed nothing is loaded again, and its counts are returned. If another
+    load was committed since this one began, this one is refused; so is one whose rows break
+    the keys of the tables.
     """
     configure(spark)
-    before = T.last_load(spark, base)
-    existing = T.enforcement_tables(spark, base)
+    run = run or f"r{uuid.uuid4().hex}"
+    earlier = T.loads(spark, base).where(F.col("load") == run).select(*T.COUNTS).first()
+    if earlier:
+        return spark.createDataFrame([earlier])
+    before, ids = T.last_load(spark, base), T.last_ids(spark, base)
+    days = T.loaded_days(spark, base)
     if replace_years:
         # Records without a date belong to no year, but are still errors to report.
         digests = digests.where(F.year("digest_date").isin(replace_years) | F.col("digest_date").isNull())
-        dates = existing["enforcement_actions"].where(~F.col("year").isin(replace_years))
-    else:
-        dates = existing["enforcement_actions"]
-    # Written once: the row number stays with its record from here on, and the
-    # sizes can be read without the nested columns.
-    staged = scratch_path(spark, "load")
-    L.with_sizes(L.classify(digests, dates)).withColumn(
-        "_row", F.monotonically_increasing_id()).write.parquet(staged)
-    classified = spark.read.parquet(staged)
-    stats = L.load_stats(classified)
-    counts = spark.createDataFrame([stats.first()], stats.schema)
-    loaded = counts.first().loaded
-    if counts.first().errors:
-        T.store_rejects(classified.where(F.col("load_outcome") == "error"), base)
-    if replace_years and loaded == 0:
+        days = days.where(~F.col("year").isin(replace_years))
+    # Written once: the row number stays with its record from here on, and sizes are read
+    # without the nested columns. The counts come from this write.
+    staged, seen = scratch_path(spark, "load"), Observation()
+    sized = L.with_sizes(L.classify(digests, days)).withColumn("_row", F.monotonically_increasing_id())
+    sized.observe(seen, *L.load_metrics(sized.columns), *L.total_metrics()).write.parquet(staged)
+    classified, counts = spark.read.parquet(staged), seen.get
+    if replace_years and counts["loaded"] == 0:
         raise ValueError("nothing to load in place of the stored years")
-    if loaded == 0:
-        drop_scratch(spark, staged)
-        return counts
-
-    ids = T.last_ids(spark, base)
-    totals = L.load_totals(classified).first().asDict()
-    totals["enforcement_actions"] = totals.pop("actions")
     chosen = classified.where(F.col("load_outcome") == "loaded")
-    offsets_path = scratch_path(spark, "offsets")
-    L.running_offsets(chosen, [*order, "_row"]).drop(*order).write.parquet(offsets_path)
     # The nested rows move once; the four tables are cut from what is stored here.
     placed_path = scratch_path(spark, "placed")
-    chosen.select("_row", "digest_date", F.year("digest_date").alias("year"), "actions", "extraction_notes").join(
-        spark.read.parquet(offsets_path), "_row").write.parquet(placed_path)
+    L.with_offsets(chosen, [*order, "_row"]).withColumn("year", F.year("digest_date")).select(
+        "digest_date", "year", "actions", "extraction_notes", *[f"{k}_offset" for k in L.KINDS]).write.parquet(placed_path)
     stored = spark.read.parquet(placed_path)
 
     def placed(*kinds: str) -> DataFrame:
-        return stored.select("_row", "digest_date", "year", "actions", "extraction_notes",
-                             *[f"{k}_offset" for k in kinds])
+        return stored.select("digest_date", "year", "actions", "extraction_notes", *[f"{k}_offset" for k in kinds])
 
-    start = ids["enforcement_actions"] + 1
+    first = {t: n + 1 for t, n in ids.items()}
+    rows = {t: counts["rows_" + ("actions" if t == "enforcement_actions" else t)] for t in ids}
+    start = first["enforcement_actions"]
     actions = L.flatten_actions(placed("actions"), start).withColumn(
         "created_at", F.current_timestamp().cast("timestamp_ntz"))
     out = {"enforcement_actions": actions.select(
         "id", "digest_date", "action_type", "title", "settlement", "court", "case_number",
         "release_number", "full_text", "extraction_notes", "created_at", "year")}
     for kind, fields in L.CHILDREN.items():
-        out[kind] = L.flatten_children(placed("actions", kind), kind, start, ids[kind] + 1).select(
+        out[kind] = L.flatten_children(placed("actions", kind), kind, start, first[kind]).select(
             "id", "action_id", *fields, "year")
-    T.publish_load(spark, base, out, counts, {t: ids[t] + totals[t] for t in ids}, replace_years, before)
-    drop_scratch(spark, staged, offsets_path, placed_path)
-    return counts
+    n_days = T.write_load(spark, base, run, out, L.day_bitmaps(chosen),
+                          classified.where(F.col("load_outcome") == "error"), first, rows)
+    row = {c: counts.get(c) for c in T.COUNTS} | {"repeated_dates": counts["loaded"] - n_days}
+    T.commit_load(spark, base, before, {**row, "load": run, "replaced_years": replace_years or [],
+                                        "last_ids": {t: ids[t] + rows[t] for t in ids}})
+    drop_scratch(spark, staged, placed_path)
+    return spark.createDataFrame([tuple(row[c] for c in T.COUNTS)], ", ".join(f"{c} BIGINT" for c in T.COUNTS))
 
 
 def load_extractions(spark: SparkSession, base: str, year: int | None = None,
@@ -276,6 +283,7 @@ def load_extractions(spark: SparkSession, base: str, year: int | None = None,
     A full reload of a year leaves the others as they are; without a year it replaces all.
     """
     configure(spark)
+    T.finish_published(spark, base)
     fmt = "files" if whole_files else "parquet"
     records = files.read_extractions(spark, f"{base}/extractions", year, fmt)
     years = None
@@ -283,7 +291,7 @@ def load_extractions(spark: SparkSession, base: str, year: int | None = None,
         # Without a year all that is stored goes, also years that the records no longer have.
         years = [year] if year else _years(records, "digest_date")
         if years and not year:
-            years = sorted({*years, *_years(T.enforcement_tables(spark, base)["enforcement_actions"], "digest_date")})
+            years = sorted({*years, *(r.year for r in T.loaded_days(spark, base).select("year").collect())})
     if whole_files:
         records = records.select("*", *files.load_order())
         return load_records(spark, base, records, ["year_dir", "file_name"], years)
@@ -303,8 +311,8 @@ def dashboard(spark: SparkSession, base: str) -> dict[str, DataFrame]:
     configure(spark)
     t = T.enforcement_tables(spark, base)
     actions, respondents = t["enforcement_actions"], t["respondents"]
-    manifest = T.read_state(spark, f"{base}/download_manifest", MANIFEST)
-    parsing = T.read_state(spark, f"{base}/parsing_results", PARSING)
+    manifest = T.read_or_empty(spark, f"{base}/download_manifest", MANIFEST)
+    parsing = T.read_or_empty(spark, f"{base}/parsing_results", PARSING)
     return {
         "total_actions": R.total(actions),
         "digests_parsed": R.digests_parsed(parsing),

@@ -13,6 +13,7 @@ from docketlake.plans.inputs import table, view
 from docketlake.plans.registry import query
 from docketlake.session import drop_scratch, scratch_path
 from docketlake.sources import files
+from docketlake.sources.pending import read_pending
 
 _SPACES = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || chr(28) || chr(29) || chr(30) || chr(31) || chr(133) || chr(160) || chr(8195) || chr(12288)"
 _BREAKS = r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x{85}\x{2028}\x{2029}]"
@@ -213,20 +214,27 @@ def digest_text_sink(spark, sf):
     return files.read_texts(spark, path).select("year", "doc_id", "digest_date", "text")
 
 
+_SUFFIXES = [".txt", ".htm", ".pdf", ".html"]
+
+
 @query("raw_files", """
-    SELECT CAST(year AS VARCHAR) AS year_dir, CAST(sum(length(text) + 1) AS BIGINT) AS n_chars,
-      CAST(sum(length(text) - length(replace(text, chr(10), '')) + 1) AS BIGINT) AS n_line_ends
-    FROM <s_digests> GROUP BY 1""")
+    SELECT CAST(year AS VARCHAR) AS year_dir,
+      CASE rank % 4 WHEN 0 THEN '.txt' WHEN 1 THEN '.htm' WHEN 2 THEN '.pdf' ELSE '.html' END AS suffix,
+      n_chars, n_line_ends
+    FROM (SELECT year, row_number() OVER (ORDER BY year) - 1 AS rank, CAST(sum(length(text) + 1) AS BIGINT) AS n_chars,
+            CAST(sum(length(text) - length(replace(text, chr(10), '')) + 1) AS BIGINT) AS n_line_ends
+          FROM <s_digests> GROUP BY 1) y""")
 def raw_files(spark, sf):
-    """Texts written as plain files below year folders, listed and read back as bytes."""
-    root, staged = scratch_path(spark, "raw"), scratch_path(spark, "raw-staged")
+    """Texts written as files of all four suffixes below year folders, listed, and their bytes read in the tasks."""
+    root, staged, names = scratch_path(spark, "raw"), scratch_path(spark, "raw-staged"), scratch_path(spark, "names")
     texts = view(spark, sf, "s_digests").select("year", "text")
     files.balanced(texts, "year").write.partitionBy("year").option("maxRecordsPerFile", 1000).text(staged)
-    files.plain_folders(spark, staged, root, "year")
+    files.plain_folders(spark, staged, root, "year", _SUFFIXES)
     drop_scratch(spark, staged)
-    raw = files.raw_files(spark, root)
-    decoded = raw.select("year_dir", X.decode_bytes(F.col("content")).alias("t"))
-    return decoded.groupBy("year_dir").agg(
+    read = read_pending(spark, files.raw_files(spark, root), names)
+    decoded = read.select(urls.year_folder(F.col("path")).alias("year_dir"), urls.file_suffix(F.col("path")).alias("suffix"),
+                          X.decode_bytes(F.col("content")).alias("t"))
+    return decoded.groupBy("year_dir", "suffix").agg(
         F.sum(F.length("t")).alias("n_chars"), F.sum(X.line_count(F.col("t")) - 1).alias("n_line_ends"))
 
 

@@ -22,17 +22,6 @@ def _fs_path(spark: SparkSession, path: str):
     return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()), jvm_path
 
 
-def set_mark(spark: SparkSession, path: str) -> None:
-    """Create an empty folder that stands for a state."""
-    fs, p = _fs_path(spark, path)
-    fs.mkdirs(p)
-
-
-def clear_mark(spark: SparkSession, path: str) -> None:
-    fs, p = _fs_path(spark, path)
-    fs.delete(p, False)
-
-
 def marks(spark: SparkSession, path: str) -> list[str]:
     """Names of the marks set below a path."""
     fs, p = _fs_path(spark, path)
@@ -61,13 +50,20 @@ def drop_folder(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
-def plain_folders(spark: SparkSession, source: str, target: str, name: str) -> None:
-    """Give partition folders (``year=1999``) plain names (``1999``) below ``target``."""
+def plain_folders(spark: SparkSession, source: str, target: str, name: str, suffixes: list[str] | None = None) -> None:
+    """Give partition folders (``year=1999``) plain names (``1999``) below ``target``.
+
+    With ``suffixes`` the files of the n-th folder get the n-th of them, over and over.
+    """
     fs, p = _fs_path(spark, target)
     fs.mkdirs(p)
-    for folder in marks(spark, source):
-        if folder.startswith(f"{name}="):
-            fs.rename(_fs_path(spark, f"{source}/{folder}")[1], _fs_path(spark, f"{target}/{folder[len(name) + 1:]}")[1])
+    folders = [f for f in marks(spark, source) if f.startswith(f"{name}=")]
+    for n, folder in enumerate(folders):
+        plain = f"{target}/{folder[len(name) + 1:]}"
+        fs.rename(_fs_path(spark, f"{source}/{folder}")[1], _fs_path(spark, plain)[1])
+        for file in marks(spark, plain) if suffixes else []:
+            stem = file.rsplit(".", 1)[0]
+            fs.rename(_fs_path(spark, f"{plain}/{file}")[1], _fs_path(spark, f"{plain}/{stem}{suffixes[n % len(suffixes)]}")[1])
 
 
 def raw_files(spark: SparkSession, root: str, year: int | None = None) -> DataFrame:
@@ -87,16 +83,6 @@ def raw_files(spark: SparkSession, root: str, year: int | None = None) -> DataFr
                         "content", F.col("_metadata.file_path").alias("file"))
 
 
-def only_files(raw: DataFrame, chosen: DataFrame) -> DataFrame:
-    """The rows of :func:`raw_files` named by ``chosen`` (``file``); no other file is opened.
-
-    The names go into the scan's own filter, which drops files before they are
-    split over tasks. They pass the driver, where the scan's listing, which is
-    longer, is held anyway; so call it with the new files of one year.
-    """
-    return raw.where(F.col("file").isin([r.file for r in chosen.select("file").collect()]))
-
-
 def spread(df: DataFrame) -> DataFrame:
     """Use all cores for costly per-row work on a scan that is small for the cluster.
 

@@ -1,17 +1,16 @@
-"""The stored tables.
-
-The four enforcement tables are plain parquet, partitioned by load and year. A
-load writes the children, then the actions, and last one file into ``loads``: that
-file is what makes the load visible, so a job that dies on the way leaves nothing
-a reader can see, then or later. The files are also the record of each run's counts
-and of the ids it gave out.
-
-Manifest and parse results are keyed tables. A change writes the years it covers
-below a new version, then one file that names the version of every year.
-
-Commit files are numbered and created exclusively: of two runs that began at the same
-state one commits, the other is refused. An empty one, left by a run that died while
-creating it, counts for nothing.
+"""The stored tables: plain Parquet that Spark writes, partition by partition.
+
+Manifest and parse results are partitioned by year, and a change writes the years it
+covers anew. What belongs together (texts and results of a parse run) is first staged
+whole, then marked ready, then put in place by Spark's dynamic partition overwrite; a run
+that dies after the mark is finished by the next one, and one that dies before leaves
+nothing. So run one stage that writes a base at a time.
+
+The four enforcement tables have a folder per load, and below it one per year. A load
+writes them, the days it covers and its rejects, and last its row of ``loads``, which
+makes all of it visible: a load that dies is never seen, and one that is run again under
+its name writes the same folders. A load that replaces years hides what earlier loads
+hold of them.
 """
 
 from __future__ import annotations
@@ -19,23 +18,25 @@ from __future__ import annotations
 import datetime as dt
 import json
 import uuid
-from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
+from docketlake.operators import load as L
 from docketlake.schemas import ENFORCEMENT_TABLES
 from docketlake.sources.files import balanced, create_file, drop_folder, marks, path_exists
 
+COUNTS = ["loaded", "skipped_existing", "no_actions", "errors", "total_actions", "failed", "repeated_dates"]
 LOADS = (
-    "load_id INT, replaced_years ARRAY<INT>, loaded BIGINT, skipped_existing BIGINT, "
-    "no_actions BIGINT, errors BIGINT, total_actions BIGINT, last_ids MAP<STRING, BIGINT>, "
-    "loaded_at TIMESTAMP_NTZ, compacted BOOLEAN"
+    "number BIGINT, load STRING, replaced_years ARRAY<INT>, "
+    + ", ".join(f"{c} BIGINT" for c in COUNTS) + ", last_ids MAP<STRING, BIGINT>, loaded_at TIMESTAMP_NTZ"
 )
-COUNTS = ["loaded", "skipped_existing", "no_actions", "errors", "total_actions"]
-
-OVERTAKEN = "another load or stage was committed meanwhile; run this one again"
+DAYS = "year INT, days BINARY, load STRING"
+REJECTS = "file STRING, digest_date DATE, reason STRING, rejected_at TIMESTAMP_NTZ, load STRING"
 
-REJECTS = "file STRING, digest_date DATE, reason STRING, rejected_at TIMESTAMP_NTZ"
+#: The file that marks a staged folder as whole: the columns each table is partitioned by.
+READY = "ready.json"
+OVERTAKEN = "another load was committed meanwhile; run this one again"
 
 
 def read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -49,40 +50,53 @@ def tables_present(spark: SparkSession, base: str, required: list[str]) -> bool:
     return all(path_exists(spark, f"{base}/{t}") for t in required)
 
 
-def last_commit(spark: SparkSession, path: str) -> int:
-    """Number of the last commit file of a folder, 0 if there is none."""
-    return max((int(n.split(".")[0]) for n in marks(spark, path)), default=0)
+# --- tables that change by partition -------------------------------------------
 
+def publish(spark: SparkSession, base: str, tables: dict[str, tuple[DataFrame, list[str]]]) -> None:
+    """Store new partitions of several tables (name: rows and the columns they are partitioned by).
 
-def commit(spark: SparkSession, path: str, after: int, content: dict) -> None:
-    """Create the commit file that follows ``after``; refused if it is there already."""
-    if last_commit(spark, path) != after or not create_file(
-            spark, f"{path}/{after + 1:09d}.json", json.dumps(content)):
-        raise RuntimeError(OVERTAKEN)
+    The partitions that the rows cover are replaced, all others stay. The rows may be
+    computed from the tables themselves. Either all of the tables change or, until
+    :func:`finish_published` has run, a reader may see some of them.
+    """
+    folder = f"{base}/_staged/{uuid.uuid4().hex}"
+    for name, (df, by) in tables.items():
+        balanced(df, *by).write.parquet(f"{folder}/{name}")
+    create_file(spark, f"{folder}/{READY}", json.dumps({name: by for name, (_, by) in tables.items()}))
+    _put_in_place(spark, base, folder)
 
 
-def loads(spark: SparkSession, base: str) -> DataFrame:
-    """One row per committed load or compaction."""
-    if not path_exists(spark, f"{base}/loads"):
-        return spark.createDataFrame([], LOADS)
-    return spark.read.schema(LOADS).json(f"{base}/loads")
+def _put_in_place(spark: SparkSession, base: str, folder: str) -> None:
+    """Replace partitions by what is staged whole, drop the rest; doing it again changes nothing."""
+    ready = f"{folder}/{READY}"
+    # Empty, if the run died while it wrote the mark.
+    mark = spark.read.option("wholetext", True).text(ready).first() if path_exists(spark, ready) else None
+    for name, by in json.loads(mark.value).items() if mark else ():
+        put_partitions(spark.read.parquet(f"{folder}/{name}"), f"{base}/{name}", by)
+    drop_folder(spark, folder)
 
 
-def last_load(spark: SparkSession, base: str) -> int:
-    """Number of the last commit of a load, 0 if there is none."""
-    return last_commit(spark, f"{base}/loads")
+def put_partitions(df: DataFrame, path: str, by: list[str]) -> None:
+    """Write the partitions that ``df`` covers in place of the stored ones."""
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
 
 
-def store_rejects(rejected: DataFrame, base: str) -> None:
-    """Keep which digests a load could not take, and why; every run adds its own.
+def finish_published(spark: SparkSession, base: str) -> None:
+    """Put in place what a run that died had staged whole; drop what it had not."""
+    for name in marks(spark, f"{base}/_staged"):
+        _put_in_place(spark, base, f"{base}/_staged/{name}")
 
-    ``file``: the file of the record, else the text it was made from, where known.
-    """
-    named = [F.col(c) for c in ("_path", "out_path") if c in rejected.columns]
-    rejected.select(
-        F.coalesce(*named, F.lit(None).cast("string")).alias("file"), "digest_date", F.col("fault").alias("reason"),
-        F.current_timestamp().cast("timestamp_ntz").alias("rejected_at"),
-    ).write.mode("append").parquet(f"{base}/load_rejects")
+
+# --- loads -----------------------------------------------------------------------
+
+def loads(spark: SparkSession, base: str) -> DataFrame:
+    """One row per committed load."""
+    return read_or_empty(spark, f"{base}/loads", LOADS)
+
+
+def last_load(spark: SparkSession, base: str) -> int:
+    """Number of the last committed load, 0 if there is none."""
+    return loads(spark, base).agg(F.max("number")).first()[0] or 0
 
 
 def last_ids(spark: SparkSession, base: str) -> dict[str, int]:
@@ -91,143 +105,84 @@ def last_ids(spark: SparkSession, base: str) -> dict[str, int]:
     return {t: highest[t] or 0 for t in ENFORCEMENT_TABLES}
 
 
-def _since_compaction(spark: SparkSession, base: str) -> DataFrame:
-    """The loads that readers look at: the last compaction and what came after it."""
-    rows = loads(spark, base)
-    last = rows.agg(F.max(F.when(F.col("compacted"), F.col("load_id")))).first()[0]
-    return rows if last is None else rows.where(F.col("load_id") >= last)
+def visible(spark: SparkSession, base: str, rows: DataFrame) -> DataFrame:
+    """The rows (``load``, ``year``) of committed loads that no later load has replaced."""
+    log = loads(spark, base)
+    since = (log.select(F.explode("replaced_years").alias("year"), "number")
+             .groupBy("year").agg(F.max("number").alias("_since")))
+    numbers = log.select("load", F.col("number").alias("_number"))
+    return (
+        rows.join(numbers, "load").join(F.broadcast(since), "year", "left")   # one row per year
+        .where(F.col("_since").isNull() | (F.col("_number") >= F.col("_since")))
+        .select(*rows.columns)
+    )
 
 
 def enforcement_tables(spark: SparkSession, base: str) -> dict[str, DataFrame]:
-    """The four tables as the committed loads left them.
-
-    One ``loads`` row per run since the last :func:`compact` is read here, and the
-    condition below prunes partition folders.
-    """
-    committed = [(r.load_id, r.replaced_years or []) for r in
-                 _since_compaction(spark, base).select("load_id", "replaced_years").collect()]
-    replaced: dict[int, int] = {}
-    for load_id, years in committed:
-        for y in years:
-            replaced[y] = max(load_id, replaced.get(y, 0))
-    visible = F.col("load_id").isin([i for i, _ in committed])
-    stale = [(F.col("year") == y) & (F.col("load_id") < i) for y, i in sorted(replaced.items())]
-    if stale:
-        visible = visible & ~reduce(lambda a, b: a | b, stale)
-    tables = {}
-    for name, schema in ENFORCEMENT_TABLES.items():
-        df = read_or_empty(spark, f"{base}/{name}", f"{schema}, load_id INT, year INT")
-        tables[name] = df.where(visible)
-    return tables
-
-
-def _new_load_id(spark: SparkSession, base: str) -> int:
-    """A number of its own for a load, never given out again, whether it is committed or not.
-
-    Later commits have higher numbers: a load is only committed if it began, and so
-    took its number, after the commit before it.
-    """
-    taken = f"{base}/load_numbers"
-    number = last_commit(spark, taken) + 1
-    while not create_file(spark, f"{taken}/{number}", ""):
-        number += 1
-    return number
+    """The four tables as the committed loads left them."""
+    return {
+        name: visible(spark, base, read_or_empty(spark, f"{base}/{name}", f"{schema}, load STRING, year INT"))
+        for name, schema in ENFORCEMENT_TABLES.items()
+    }
 
 
-def _write_load(tables: dict[str, DataFrame], base: str, load_id: int) -> None:
-    for name in ["respondents", "violations", "sanctions", "enforcement_actions"]:
-        df = tables[name].withColumn("load_id", F.lit(load_id))
-        balanced(df, "year").write.mode("append").partitionBy("load_id", "year").parquet(
-            f"{base}/{name}")
-
+def loaded_days(spark: SparkSession, base: str) -> DataFrame:
+    """(year, days): the days that are loaded, one bitmap per year, without a look at the actions."""
+    return L.joined_days(visible(spark, base, read_or_empty(spark, f"{base}/loaded_days", DAYS)))
 
-def publish_load(spark: SparkSession, base: str, tables: dict[str, DataFrame], stats: DataFrame,
-                 ids: dict[str, int], replaced_years: list[int] | None = None,
-                 after: int | None = None) -> int:
-    """Store one load (tables with a ``year`` column) and commit it.
-
-    ``ids``: the highest id of each table after this load. ``after``: the last commit
-    when this load began; should there be another by now, whose ids and dates this
-    one did not see, nothing is committed.
-    """
-    after = last_load(spark, base) if after is None else after
-    load_id = _new_load_id(spark, base)
-    _write_load(tables, base, load_id)
-    commit(spark, f"{base}/loads", after, {
-        "load_id": load_id, "replaced_years": replaced_years or [], **stats.select(*COUNTS).first().asDict(),
-        "last_ids": ids, "loaded_at": _now()})
-    return load_id
 
+def rejects(spark: SparkSession, base: str) -> DataFrame:
+    """Digests that committed loads could not take, and why."""
+    stored = read_or_empty(spark, f"{base}/load_rejects", REJECTS)
+    return stored.join(loads(spark, base).select("load"), "load", "left_semi")
 
-def _now() -> str:
-    return dt.datetime.now(dt.timezone.utc).replace(tzinfo=None).isoformat(timespec="milliseconds")
 
-
-def compact(spark: SparkSession, base: str) -> int:
-    """Write what is visible of the four tables as one load, in place of all before it.
-
-    Readers that began earlier still find what they read; :func:`remove_replaced`
-    deletes it. The rows of ``loads`` stay as the record of the runs.
-    """
-    after = last_load(spark, base)
-    tables = {name: df.drop("load_id") for name, df in enforcement_tables(spark, base).items()}
-    load_id = _new_load_id(spark, base)
-    _write_load(tables, base, load_id)
-    commit(spark, f"{base}/loads", after, {
-        "load_id": load_id, "replaced_years": [], **dict.fromkeys(COUNTS, 0),
-        "last_ids": last_ids(spark, base), "loaded_at": _now(), "compacted": True})
-    return load_id
-
-
-def remove_replaced(spark: SparkSession, base: str) -> None:
-    """Delete loads from before the last compaction, dead ones too; call it when no reader is left."""
-    first = _since_compaction(spark, base).agg(F.min("load_id")).first()[0] or 0
-    for name in ENFORCEMENT_TABLES:
-        for folder in marks(spark, f"{base}/{name}"):
-            if folder.startswith("load_id=") and int(folder[len("load_id="):]) < first:
-                drop_folder(spark, f"{base}/{name}/{folder}")
-
-
-def _versions(spark: SparkSession, path: str, upto: int) -> dict[str, str]:
-    """Version of every year as of a commit of a keyed table, one entry per year of the archive."""
-    numbers = sorted((int(n.split(".")[0]) for n in marks(spark, f"{path}_commits")), reverse=True)
-    for number in (n for n in numbers if n <= upto):
-        row = spark.read.option("wholetext", True).text(f"{path}_commits/{number:09d}.json").first()
-        if row and row.value.strip():
-            return json.loads(row.value)
-    return {}
-
-
-def read_state(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """A keyed table (manifest, parse results) as last committed; empty if it never was."""
-    versions = _versions(spark, path, last_commit(spark, f"{path}_commits"))
-    if not versions:
-        return spark.createDataFrame([], schema)
-    df = spark.read.schema(schema).option("basePath", path).parquet(
-        *[f"{path}/version={v}/year={y}" for y, v in sorted(versions.items())])
-    return df.select(*spark.createDataFrame([], schema).columns)
+def _reject_rows(rejected: DataFrame) -> DataFrame:
+    """``file``: the file of the record, else the text it was made from, where known."""
+    named = [F.col(c) for c in ("_path", "out_path") if c in rejected.columns]
+    return rejected.select(
+        F.coalesce(*named, F.lit(None).cast("string")).alias("file"), "digest_date", F.col("fault").alias("reason"),
+        F.current_timestamp().cast("timestamp_ntz").alias("rejected_at"))
 
 
-def replace_years(spark: SparkSession, df: DataFrame, path: str, after: int) -> None:
-    """Commit new rows of a keyed table for the years that ``df`` covers; the others stay.
+def write_load(spark: SparkSession, base: str, load: str, tables: dict[str, DataFrame], days: DataFrame,
+               rejected: DataFrame, first: dict[str, int], rows: dict[str, int]) -> int:
+    """Write the folders of a load (tables with a ``year`` column); the number of distinct days.
 
-    ``df`` may be computed from the table itself: what it reads is not touched.
-    ``after``: the last commit of ``path`` when ``df`` was made; a later one refuses
-    this. Only what the last two commits name is kept.
+    What the load promises is checked by metrics gathered while its tables are written:
+    ``rows`` of each table with the ids from ``first`` on, no null where none may be, and
+    children of the load's own actions only. A load that breaks one is refused.
     """
-    commits, version = f"{path}_commits", uuid.uuid4().hex
-    balanced(df, "year").write.partitionBy("year").parquet(f"{path}/version={version}")
-    written = [f[len("year="):] for f in marks(spark, f"{path}/version={version}") if f.startswith("year=")]
-    if not written:
-        drop_folder(spark, f"{path}/version={version}")
-        return
-    before = _versions(spark, path, after)
-    now = {**before, **dict.fromkeys(written, version)}
-    earlier = _versions(spark, path, after - 1) if after else {}
-    commit(spark, commits, after, now)
-    for year, old in earlier.items():
-        if old not in (before.get(year), now.get(year)):
-            drop_folder(spark, f"{path}/version={old}/year={year}")
-    for name in marks(spark, commits):
-        if int(name.split(".")[0]) < after:
-            drop_folder(spark, f"{commits}/{name}")
+    action_ids = (first["enforcement_actions"], first["enforcement_actions"] + rows["enforcement_actions"] - 1)
+    faults = []
+    for name in ["respondents", "violations", "sanctions", "enforcement_actions"]:
+        seen = Observation()
+        metrics = L.integrity_metrics(name, tables[name].columns, first[name], action_ids)
+        # Above the exchange: below one that turns out empty the metrics would go with it.
+        balanced(tables[name], "year").observe(seen, *metrics).write.mode("overwrite").option(
+            "partitionOverwriteMode", "static").partitionBy("year").parquet(f"{base}/{name}/load={load}")
+        faults += L.integrity_faults(name, seen.get, rows[name])
+    if faults:
+        raise ValueError("load refused: " + "; ".join(faults))
+    seen = Observation()
+    days.observe(seen, F.coalesce(F.sum(F.bitmap_count("days")), F.lit(0)).alias("days")).write.mode(
+        "overwrite").parquet(f"{base}/loaded_days/load={load}")
+    _reject_rows(rejected).write.mode("overwrite").parquet(f"{base}/load_rejects/load={load}")
+    return seen.get["days"]
+
+
+def commit_load(spark: SparkSession, base: str, after: int, row: dict) -> None:
+    """Store a load's row of ``loads``; refused if another came after number ``after``."""
+    now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    names = [f.split()[0] for f in LOADS.replace("MAP<STRING, BIGINT>", "MAP").split(", ")]
+    number = after + 1
+    values = {**row, "number": number, "loaded_at": now}
+    df = spark.createDataFrame([tuple(values[n] for n in names)], LOADS).drop("number").coalesce(1)
+    try:
+        if last_load(spark, base) != after:
+            raise RuntimeError(OVERTAKEN)
+        df.write.mode("errorifexists").parquet(f"{base}/loads/number={number}")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_ALREADY_EXISTS":
+            raise
+        raise RuntimeError(OVERTAKEN) from e

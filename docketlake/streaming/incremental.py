@@ -1,12 +1,14 @@
 """Load records as their files arrive.
 
-The file source remembers which files it has handed out; the load itself skips
-dates that are stored, so a batch that is replayed after a failure loads nothing
-twice.
+The file source remembers which files it has handed out, and a batch's load has the
+name of its stream and number: one that is replayed after a failure loads nothing, and
+keeps no reject, twice.
 """
 
 from __future__ import annotations
 
+import zlib
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from docketlake.plans.stages import load_records
@@ -29,9 +31,11 @@ def load_new_files(spark: SparkSession, source: str, base: str, checkpoint: str,
         arriving = reader.schema(f"{DIGEST}, _corrupt STRING").option(
             "columnNameOfCorruptRecord", "_corrupt").json(source)
 
-    def load(batch: DataFrame, _: int) -> None:
+    stream = f"s{zlib.crc32(checkpoint.encode()):08x}"
+
+    def load(batch: DataFrame, number: int) -> None:
         keyed = batch.withColumn("record_hash", F.xxhash64("actions", "extraction_notes"))
-        load_records(batch.sparkSession, base, keyed, ["digest_date", "record_hash"])
+        load_records(batch.sparkSession, base, keyed, ["digest_date", "record_hash"], run=f"{stream}-{number}")
 
     return (
         arriving.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)

@@ -1,5 +1,4 @@
 import datetime as dt
-import os
 import random
 
 import pytest
@@ -49,7 +48,7 @@ def test_golden_load(spark):
         digest("2000-01-06", [action(3, tag="t")]),
     ])
     stats = load_records(spark, base, new, ORDER).first()
-    assert tuple(stats) == (2, 1, 1, 0, 3)
+    assert tuple(stats) == (2, 1, 1, 0, 3, 1, 0)
     tables = T.enforcement_tables(spark, base)
     actions = tables["enforcement_actions"].where("digest_date >= '2000-01-05'")
     assert rows_of(actions, "id", "full_text") == [(12, "p"), (13, "q"), (14, "t")]
@@ -57,7 +56,7 @@ def test_golden_load(spark):
     assert rows_of(resp, "id", "action_id", "name") == [
         (8, 12, "pr0"), (9, 14, "tr0"), (10, 14, "tr1"), (11, 14, "tr2")]
     again = load_records(spark, base, new, ORDER).first()
-    assert tuple(again) == (0, 3, 1, 0, 0)
+    assert tuple(again) == (0, 3, 1, 0, 0, 1, 0)
     assert T.enforcement_tables(spark, base)["enforcement_actions"].count() == 14
 
 
@@ -147,32 +146,80 @@ def test_reload_replaces_only_its_years(spark):
     assert L.orphans({k: t[k] for k in L.CHILDREN}, t["enforcement_actions"]).count() == 0
 
 
-def test_loads_are_compacted(spark):
+def test_loaded_days_stand_for_the_dates(spark):
+    """Leap days, ends of years, hot days; a look at them reads no action."""
     base = scratch_path(spark, "test")
-    for n in range(1, 4):
-        load_records(spark, base, frame(spark, [digest(f"200{n % 3}-01-0{n}", [action(2, tag=f"t{n}")])]), ORDER)
-    load_records(spark, base, frame(spark, [digest("2001-05-05", [action(1, tag="new")])]), ORDER, replace_years=[2001])
-    before = {t: sorted(map(str, df.drop("load_id").collect())) for t, df in T.enforcement_tables(spark, base).items()}
-    ids = T.last_ids(spark, base)
-    for remove in (False, True):
-        T.compact(spark, base)
-        if remove:
-            T.remove_replaced(spark, base)
-        tables = T.enforcement_tables(spark, base)
-        assert {t: sorted(map(str, df.drop("load_id").collect())) for t, df in tables.items()} == before
-        assert tables["respondents"].select("load_id").distinct().count() == 1
-        assert T.last_ids(spark, base) == ids
-    folders = os.listdir(f"{base.removeprefix('file:')}/respondents")
-    assert len([f for f in folders if f.startswith("load_id=")]) == 1
-    load_records(spark, base, frame(spark, [digest("2002-09-09", [action(1)])]), ORDER)
-    last = T.enforcement_tables(spark, base)["enforcement_actions"].orderBy(F.desc("id")).first()
-    assert last.id == ids["enforcement_actions"] + 1 and T.loads(spark, base).count() == 7
+    days = ["1956-01-01", "1956-12-31", "2000-02-29", "2000-12-31", "2001-01-01", "2001-12-31", "2014-06-07"]
+    load_records(spark, base, frame(spark, [digest(d, [action(1)]) for d in days]), ORDER)
+    near = ["1956-01-02", "1956-12-30", "2000-03-01", "2001-12-30", "2002-01-01"]
+    stats = load_records(spark, base, frame(spark, [digest(d, [action(1)]) for d in [*days, *near, near[0]]]), ORDER).first()
+    assert (stats.loaded, stats.skipped_existing, stats.repeated_dates) == (6, 7, 1)
+    counts = {r.year: r.n for r in T.loaded_days(spark, base).select("year", F.bitmap_count("days").alias("n")).collect()}
+    assert counts == {1956: 4, 2000: 3, 2001: 3, 2002: 1, 2014: 1}
+    new = frame(spark, [digest("2014-06-07", [action(1)])])
+    read = {f.split("/load=")[0].split("/")[-1] for f in L.classify(new, T.loaded_days(spark, base)).inputFiles() if "/load=" in f}
+    assert read == {"loaded_days"}
+
+
+def test_a_reload_frees_the_days_it_drops(spark):
+    base = scratch_path(spark, "test")
+    load_records(spark, base, frame(spark, [digest(d, [action(1)]) for d in ("2001-01-01", "2001-01-02")]), ORDER)
+    load_records(spark, base, frame(spark, [digest("2001-01-02", [action(2)])]), ORDER, replace_years=[2001])
+    stats = load_records(spark, base, frame(spark, [digest(d, [action(1)]) for d in ("2001-01-01", "2001-01-02")]), ORDER).first()
+    assert (stats.loaded, stats.skipped_existing) == (1, 1)
+    assert T.last_load(spark, base) == 3
+
+
+@pytest.mark.parametrize("broken, message", [
+    (lambda df: df.withColumn("action_id", F.col("action_id") + 100), "rows of no action"),
+    (lambda df: df.withColumn("action_id", F.lit(1).cast("bigint") - 1), "rows of no action"),
+    (lambda df: df.withColumn("id", F.when(F.col("id") == 4, F.lit(3).cast("bigint")).otherwise(F.col("id"))), "repeat"),
+    (lambda df: df.withColumn("id", F.col("id") + 1), "repeat"),
+    (lambda df: df.withColumn("name", F.lit(None).cast("string")), "nulls"),
+    (lambda df: df.where("id <> 4"), "rows in place of"),
+])
+def test_a_load_that_breaks_keys_is_refused(spark, monkeypatch, broken, message):
+    base = scratch_path(spark, "test")
+    real = L.flatten_children
+
+    def flatten(digests, kind, *args):
+        rows = real(digests, kind, *args)
+        return broken(rows) if kind == "respondents" else rows
+
+    monkeypatch.setattr(L, "flatten_children", flatten)
+    with pytest.raises(ValueError, match=message):
+        load_records(spark, base, frame(spark, [digest("2001-01-01", [action(3), action(3)])]), ORDER)
+    monkeypatch.undo()
+    assert T.enforcement_tables(spark, base)["respondents"].count() == 0 and T.loads(spark, base).count() == 0
+    assert load_records(spark, base, frame(spark, [digest("2001-01-01", [action(3), action(3)])]), ORDER).first().loaded == 1
+
+
+def test_a_load_repeated_under_its_name_changes_nothing(spark):
+    base = scratch_path(spark, "test")
+    rows = frame(spark, [digest("2001-01-01", [action(2)]), digest("2001-01-02", [action(kind=None)]), digest("2001-01-03", [])])
+    want = (1, 0, 1, 1, 1, 1, 0)
+    for _ in range(2):
+        assert tuple(load_records(spark, base, rows, ORDER, run="batch-7").first()) == want
+    assert [r.reason for r in T.rejects(spark, base).collect()] == ["action without type"]
+    assert T.loads(spark, base).count() == 1
+
+
+def test_rejects_of_a_load_that_dies_are_not_seen(spark, monkeypatch):
+    base = scratch_path(spark, "test")
+    rows = frame(spark, [digest("2001-01-01", [action(1)]), digest(None, [action()])])
+    with monkeypatch.context() as m:
+        m.setattr(T, "commit_load", lambda *a: (_ for _ in ()).throw(RuntimeError("died")))
+        with pytest.raises(RuntimeError, match="died"):
+            load_records(spark, base, rows, ORDER)
+    assert T.rejects(spark, base).count() == 0
+    load_records(spark, base, rows, ORDER)
+    assert T.rejects(spark, base).count() == 1
 
 
 def test_of_two_loads_at_once_one_is_refused(spark, monkeypatch):
     """Both see the same last commit up to the moment they commit."""
     base = scratch_path(spark, "test")
-    monkeypatch.setattr(T, "last_commit", lambda spark, path: 0)
+    monkeypatch.setattr(T, "last_load", lambda spark, base: 0)
     load_records(spark, base, frame(spark, [digest("2001-01-01", [action(1, tag="first")])]), ORDER)
     with pytest.raises(RuntimeError, match="another load"):
         load_records(spark, base, frame(spark, [digest("2001-01-02", [action(1, tag="second")])]), ORDER)
@@ -189,7 +236,7 @@ def test_faulty_digests_are_set_aside(spark):
         digest("2000-01-06", [action(kind=None)], name="known"),
     ])
     dates = spark.createDataFrame([(dt.date(2000, 1, 6),)], "digest_date DATE")
-    got = {r.file[-10:]: (r.load_outcome, r.fault) for r in L.classify(rows, dates).collect()}
+    got = {r.file[-10:]: (r.load_outcome, r.fault) for r in L.classify(rows, L.day_bitmaps(dates)).collect()}
     assert list(got.values()).count(("loaded", None)) == 1
     assert sorted(v for v in got.values() if v[0] == "error") == [
         ("error", "action without type"), ("error", "no digest date"), ("error", "respondent without name")]
@@ -202,9 +249,38 @@ def test_flatten_and_overview_agree(spark):
     profile = rows_of(L.action_profile(rows), "digest_date", "pos", "n_respondents", "n_violations", "n_sanctions")
     placed = L.with_offsets(rows, ORDER)
     children = {k: L.flatten_children(placed, k, 1, 1) for k in L.CHILDREN}
+    pages = L.assemble_actions(L.flatten_actions(placed, 1), children, 2)
+    assert [(r.id, r.page, len(r.respondents), len(r.violations), len(r.sanctions)) for r in pages.orderBy("id", "page").collect()] == [
+        (1, 0, 2, 1, 0), (2, 0, 0, 0, 2), (2, 1, 0, 0, 1), (3, 0, 1, 1, 1)]
     over = L.action_overview(L.flatten_actions(placed, 1), *children.values())
     assert [p[2:] for p in profile] == [r[1:4] for r in rows_of(over, "id", "n_resp", "n_viol", "n_sanc")]
 
 
+def test_assembly_of_an_action_with_a_third_of_all_children(spark):
+    """All fields, in pages of bounded length, and no more than a block of ids in one group."""
+    n, page = 3000, 7
+    acts = [action(n // 3, 2, 0, tag="hot")] + [action(1, 0, 2, tag=f"t{i}") for i in range(n - n // 3)]
+    placed = L.with_offsets(frame(spark, [digest("2000-01-01", acts, notes="n")]), ORDER)
+    children = {k: L.flatten_children(placed, k, 1, 5).select("id", "action_id", *L.CHILDREN[k]) for k in L.CHILDREN}
+    actions = L.flatten_actions(placed, 1)
+    got = {(r.id, r.page): r for r in L.assemble_actions(actions, children, page).collect()}
+    assert len(got) == n - n // 3 + -(-(n // 3) // page)
+    names = [c.name for p in range(-(-(n // 3) // page)) for c in got[1, p].respondents]
+    assert names == [f"hotr{i}" for i in range(n // 3)] and all(len(r.respondents) <= page for r in got.values())
+    assert all(r.full_text == "hot" and r.extraction_notes == "n" for (i, _), r in got.items() if i == 1)
+    assert [tuple(s)[2] for s in got[2, 0].sanctions] == ["t0s0", "t0s1"] and got[2, 0].violations == []
+    small = L.child_pages(children["respondents"], "respondents", page, block=16)
+    assert small.agg(F.sum(F.size("respondents"))).first()[0] == n // 3 + n - n // 3
+    assert sorted(tuple(r) for r in small.collect()) == sorted(
+        tuple(r) for r in L.child_pages(children["respondents"], "respondents", page).collect())
+
+
+def test_assembly_without_children(spark):
+    placed = L.with_offsets(frame(spark, [digest("2000-01-01", [action()])]), ORDER)
+    children = {k: L.flatten_children(placed, k, 1, 1).select("id", "action_id", *L.CHILDREN[k]) for k in L.CHILDREN}
+    rows = L.assemble_actions(L.flatten_actions(placed, 1), children).collect()
+    assert [(r.page, r.respondents, r.violations, r.sanctions) for r in rows] == [(0, [], [], [])]
+
+
 def test_next_ids_of_empty_tables(spark):
     assert set(L.next_ids(L.empty_tables(spark)).first()) == {1}

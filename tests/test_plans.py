@@ -11,8 +11,11 @@ import __spark_entry__ as entry
 from docketlake.operators import load as L, reports as R
 from docketlake.operators.keys import first_per_key, missing_from, top_per_group
 from docketlake.session import scratch_path
+from docketlake.schemas import ACTION_ELEMENT
 from docketlake.sources import files
+from docketlake.sources.pending import read_pending
 
+ACTIONS = f"ARRAY<{ACTION_ELEMENT}>"
 SF = "/root/testdata/sf0.001"
 QUERIES = entry.QUERIES
 
@@ -139,12 +142,19 @@ def test_orphans_are_counted_by_action_first(spark):
     assert [tuple(r) for r in L.orphans({"c": child}, actions).collect()] == [("c", 3)]
 
 
+def test_nested_rows_move_once_for_their_offsets(spark):
+    rows = spark.range(50).selectExpr("CAST(id AS STRING) AS f", f"CAST(NULL AS {ACTIONS}) AS actions")
+    text = plan(L.with_offsets(rows, ["f"]))
+    moved = [line for line in text.splitlines() if " Exchange " in line and "partitioning" in line]
+    assert sum("hashpartitioning(_start" in line for line in moved) == 1 and "SortMergeJoin" not in text
+
+
 def test_offsets_survive_recomputation(spark):
-    """The range partitions are pinned: the same offsets come out however often they are read."""
+    """However the rows are dealt over ranges, the same offsets come out."""
     df = spark.range(500).select(F.lpad(F.col("id").cast("string"), 4, "0").alias("f"),
                                  *[(F.col("id") % n).alias(f"n_{k}") for n, k in ((3, "actions"), (2, "respondents"),
                                                                                  (5, "violations"), (7, "sanctions"))])
-    out = L.running_offsets(df, ["f"])
+    out = L.with_offsets(df, ["f"]).select("f", *[f"{k}_offset" for k in L.KINDS])
     first = sorted(tuple(r) for r in out.collect())
     assert first == sorted(tuple(r) for r in out.collect())
     total = 0
@@ -168,14 +178,16 @@ def test_only_chosen_raw_files_are_opened(spark):
     root = scratch_path(spark, "raw")
     folder = root.removeprefix("file:") + "/1990"
     os.makedirs(folder)
-    for i in range(5):
-        with open(f"{folder}/digest_{i} a.txt", "wb") as f:
+    for i, suffix in enumerate(["txt", "htm", "html", "pdf", "TXT"] * 4):
+        with open(f"{folder}/digest_{i} a%b.{suffix}", "wb") as f:
             f.write(b"x" * (i + 1))
-    raw = files.raw_files(spark, root, 1990)
-    names = raw.select("path", "file")
-    assert "content" not in plan(names.where("path > ''"))
-    some = files.only_files(raw, names.where("path LIKE '%1 a%' OR path LIKE '%3 a%'"))
-    assert sorted((r.path.split("/")[-1], len(r.content)) for r in some.collect()) == [
-        ("digest_1 a.txt", 2), ("digest_3 a.txt", 4)]
-    leaves = some._jdf.queryExecution().executedPlan().collectLeaves()
-    assert sum(leaves.apply(i).metrics().apply("numFiles").value() for i in range(leaves.size())) == 2
+    names = files.raw_files(spark, root, 1990).select("path", "file")
+    assert "content" not in plan(names.where("path > ''")) and names.count() == 16
+    for i in (0, 1, 2, 3):
+        os.chmod(f"{folder}/digest_{i} a%b.{['txt', 'htm', 'html', 'pdf'][i]}", 0)
+    os.remove(f"{folder}/digest_5 a%b.txt")
+    some = read_pending(spark, names.where("NOT path RLIKE 'digest_[0-3] '"), scratch_path(spark, "names"), at_most=3)
+    assert some.rdd.getNumPartitions() >= 4
+    assert sorted(len(r.content) for r in some.collect()) == sorted(
+        i + 1 for i in range(20) if i > 3 and i != 5 and i % 5 < 4)
+    assert read_pending(spark, names.limit(0), scratch_path(spark, "names")).count() == 0

@@ -3,10 +3,12 @@
 import datetime as dt
 import json
 import os
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
+from docketlake.operators import calls as C
 from docketlake.plans import stages as S
 from docketlake.schemas import MANIFEST, PARSING
 from docketlake.session import scratch_path
@@ -24,12 +26,22 @@ class Busy(Exception):
     status_code = 503
 
 
-def make_client():
-    seen = set()
+def remembering(folder):
+    """Clients that share what they were asked, however many tasks there are: name of a prompt -> times."""
+    os.makedirs(folder, exist_ok=True)
 
+    def asked(name):
+        path = f"{folder}/{name}"
+        with open(path, "a") as f:
+            f.write("x")
+        return os.path.getsize(path)
+
+    return asked
+
+
+def make_client(asked):
     def ask(prompt):
-        if "flaky" in prompt and prompt not in seen:
-            seen.add(prompt)
+        if "flaky" in prompt and asked("flaky") < 3:
             raise Busy("busy")
         if "broken" in prompt:
             return "no json"
@@ -46,8 +58,13 @@ def local(path):
 
 
 def test_pipeline(spark, monkeypatch):
-    monkeypatch.setattr("docketlake.operators.extraction.INITIAL_DELAY", 0.0)
+    monkeypatch.setattr("docketlake.operators.calls.INITIAL_DELAY", 0.0)
     base = scratch_path(spark, "pipeline")
+    asked = remembering(f"{local(base)}-asked")
+
+    def client():
+        return make_client(asked)
+
     raw = f"{base}/raw"
     work = S.plan_downloads(spark, base, "http://x", 2006, 2007, raw)
     assert work.select("url").distinct().count() == 730
@@ -76,11 +93,11 @@ def test_pipeline(spark, monkeypatch):
     assert (stats.completed, stats.skipped, stats.needs_converter, stats.total) == (5, 0, 1, 6)
     stats = S.parse_year(spark, base, raw, 2006).first()
     assert (stats.completed, stats.skipped, stats.needs_converter) == (0, 5, 1)
-    stored = T.read_state(spark, f"{base}/parsing_results", PARSING)
+    stored = T.read_or_empty(spark, f"{base}/parsing_results", PARSING)
     assert stored.where("parsing_status = 'skipped' AND parsed_at IS NOT NULL").count() == 5
     assert S.parse_year(spark, base, raw, 1999).first().total == 0
 
-    outcome = {str(r.digest_date)[-1]: r.outcome for r in S.extract_texts(spark, base, make_client, 2006).collect()}
+    outcome = {str(r.digest_date)[-1]: r.outcome for r in S.extract_texts(spark, base, client, 2006).collect()}
     assert outcome == {"1": "ok", "2": "failed", "3": "error", "5": "ok"}
     year, total = sorted(spark.read.parquet(f"{base}/extraction_stats").collect(), key=lambda r: r.year or 0)[::-1]
     assert (year.total, year.skipped, year.processed, year.with_actions, year.errors, year.failed) == (4, 0, 3, 3, 1, 1)
@@ -88,8 +105,8 @@ def test_pipeline(spark, monkeypatch):
     kept = {r.outcome: r.error_path for r in spark.read.parquet(f"{base}/extraction_outcomes").collect()}
     assert kept["ok"] is None and kept["error"]
     # Only the one in error is still pending.
-    assert [r.outcome for r in S.extract_texts(spark, base, make_client).collect()] == ["error"]
-    assert sorted(r.outcome for r in S.extract_texts(spark, base, make_client, retry_failed=True).collect()) == [
+    assert [r.outcome for r in S.extract_texts(spark, base, client).collect()] == ["error"]
+    assert sorted(r.outcome for r in S.extract_texts(spark, base, client, retry_failed=True).collect()) == [
         "error", "failed"]
 
     stats = S.load_extractions(spark, base).first()
@@ -214,7 +231,7 @@ def test_pretty_printed_files(spark):
     assert (stats.loaded, stats.no_actions, stats.errors) == (3, 1, 1)
     actions = T.enforcement_tables(spark, base)["enforcement_actions"].orderBy("id").collect()
     assert [a.full_text for a in actions] == ["z", "a", "b"]
-    rejects = spark.read.schema(T.REJECTS).parquet(f"{base}/load_rejects").collect()
+    rejects = T.rejects(spark, base).collect()
     assert [(r.file.split("/")[-1], r.reason) for r in rejects] == [("digest_1998-07-07.json", "unreadable file")]
     stats = S.load_extractions(spark, base, whole_files=True, full_reload=True).first()
     assert (stats.loaded, stats.errors) == (3, 1)
@@ -224,14 +241,14 @@ def test_a_load_that_was_overtaken_is_refused(spark, monkeypatch):
     base = scratch_path(spark, "overtaken")
     day = json.dumps(record("1999-01-01", "a"))
     write(f"{local(base)}/extractions/1999/digest_1999-01-01.json", day.encode())
-    publish = T.publish_load
+    write_load = T.write_load
 
     def overtaken(*args):
-        monkeypatch.setattr(T, "publish_load", publish)
+        monkeypatch.setattr(T, "write_load", write_load)
         assert S.load_extractions(spark, base, whole_files=True).first().loaded == 1
-        return publish(*args)
+        return write_load(*args)
 
-    monkeypatch.setattr(T, "publish_load", overtaken)
+    monkeypatch.setattr(T, "write_load", overtaken)
     with pytest.raises(RuntimeError, match="another load"):
         S.load_extractions(spark, base, whole_files=True)
     assert T.enforcement_tables(spark, base)["enforcement_actions"].select("id").collect() == [(1,)]
@@ -279,30 +296,151 @@ def keyed(spark, year, *names):
           for c, t in (x.split() for x in MANIFEST.split(", "))])
 
 
-def urls_of(spark, path):
-    return {r.url for r in T.read_state(spark, path, MANIFEST).collect()}
+def urls_of(spark, base):
+    return {r.url for r in T.read_or_empty(spark, f"{base}/download_manifest", MANIFEST).collect()}
 
 
-def test_keyed_table_changes_at_its_commit_only(spark, monkeypatch):
+def test_published_tables_change_together(spark, monkeypatch):
     base = scratch_path(spark, "state")
-    path = f"{base}/download_manifest"
-    T.replace_years(spark, keyed(spark, 2000, "a").unionByName(keyed(spark, 2001, "b")), path, 0)
-    reader = T.read_state(spark, path, MANIFEST)
+
+    def publish(df, other):
+        T.publish(spark, base, {"download_manifest": (df, ["year"]), "other": (other, ["year"])})
+
+    def others():
+        return {r.url for r in spark.read.parquet(f"{base}/other").collect()}
+
+    publish(keyed(spark, 2000, "a").unionByName(keyed(spark, 2001, "b")), keyed(spark, 2000, "o"))
+    # Before everything is staged: nothing of it is ever seen.
     with monkeypatch.context() as m:
-        m.setattr(T, "commit", lambda *a: (_ for _ in ()).throw(RuntimeError("died")))
+        m.setattr(T, "create_file", lambda *a: (_ for _ in ()).throw(RuntimeError("died")))
         with pytest.raises(RuntimeError, match="died"):
-            T.replace_years(spark, keyed(spark, 2000, "x"), path, 1)
-    assert urls_of(spark, path) == {"a", "b"}
-    # Two changes of one state: the first is committed, the second refused.
-    T.replace_years(spark, keyed(spark, 2000, "c"), path, 1)
-    with pytest.raises(RuntimeError, match="another load"):
-        T.replace_years(spark, keyed(spark, 2001, "d"), path, 1)
-    assert urls_of(spark, path) == {"b", "c"} and {r.url for r in reader.collect()} == {"a", "b"}
-    # A commit file that was created but never written counts for nothing.
-    assert files.create_file(spark, f"{path}_commits/{3:09d}.json", "")
-    assert urls_of(spark, path) == {"b", "c"}
-    T.replace_years(spark, keyed(spark, 2002, "e"), path, T.last_commit(spark, f"{path}_commits"))
-    for name in "fg":
-        T.replace_years(spark, keyed(spark, 2000, name), path, T.last_commit(spark, f"{path}_commits"))
-    assert urls_of(spark, path) == {"b", "e", "g"}
-    assert len(files.marks(spark, f"{path}_commits")) == 2
+            publish(keyed(spark, 2000, "x"), keyed(spark, 2000, "x"))
+    assert urls_of(spark, base) == {"a", "b"}
+    T.finish_published(spark, base)
+    assert urls_of(spark, base) == {"a", "b"} and files.marks(spark, f"{base}/_staged") == []
+    # Between the two tables: the next run finishes it.
+    real, done = T.put_partitions, []
+
+    def once(*args):
+        if done:
+            raise RuntimeError("died")
+        done.append(real(*args))
+
+    with monkeypatch.context() as m:
+        m.setattr(T, "put_partitions", once)
+        with pytest.raises(RuntimeError, match="died"):
+            publish(keyed(spark, 2000, "c"), keyed(spark, 2000, "p").unionByName(keyed(spark, 2003, "q")))
+    assert urls_of(spark, base) == {"b", "c"} and others() == {"o"}
+    T.finish_published(spark, base)
+    assert urls_of(spark, base) == {"b", "c"} and others() == {"p", "q"}
+    assert files.marks(spark, f"{base}/_staged") == []
+
+
+def test_a_parse_that_dies_between_texts_and_results_is_finished(spark, monkeypatch):
+    base = scratch_path(spark, "publish")
+    write(f"{local(base)}/raw/1990/digest_1990-01-01.pdf", b"%PDF")
+    write(f"{local(base)}/raw/1990/digest_1990-01-02.txt", b"two")
+    pages = spark.createDataFrame([(f"{base}/raw/1990/digest_1990-01-01.pdf", "one", 9)], "path STRING, text STRING, page_count INT")
+    real, done = T.put_partitions, []
+
+    def once(*args):
+        if done:
+            raise RuntimeError("died")
+        done.append(real(*args))
+
+    with monkeypatch.context() as m:
+        m.setattr(T, "put_partitions", once)
+        with pytest.raises(RuntimeError, match="died"):
+            S.parse_year(spark, base, f"{base}/raw", 1990, pages)
+    assert spark.read.parquet(f"{base}/digest_text").count() == 2
+    stats = S.parse_year(spark, base, f"{base}/raw", 1990, pages).first()
+    assert (stats.completed, stats.skipped, stats.total) == (0, 2, 2)
+    stored = {r.pdf_path[-14:]: r for r in T.read_or_empty(spark, f"{base}/parsing_results", PARSING).collect()}
+    assert stored["1990-01-01.pdf"].page_count == 9 and stored["1990-01-01.pdf"].parsed_at is not None
+    assert spark.read.parquet(f"{base}/digest_text").count() == 2
+
+
+def prompts_in(spark, base, n, batch):
+    work = spark.range(n).selectExpr("concat('k', id) AS prompt_key", "concat('p', id) AS prompt").coalesce(1)
+    C.store_prompts(work, f"{base}/prompts", batch)
+
+
+def test_waiting_prompts_wait_together(spark):
+    """100 prompts that are to be tried again take about as long as one."""
+    took = {}
+    for n in (1, 100):
+        base = scratch_path(spark, f"wait{n}")
+        asked = remembering(f"{local(base)}-asked")
+
+        def client(asked=asked):
+            def ask(prompt):
+                if asked(prompt) < 3:
+                    raise Busy("busy")
+                return "fine"
+            return ask
+
+        prompts_in(spark, base, n, 1000)
+        start = time.time()
+        C.call_in_batches(spark, f"{base}/prompts", f"{base}/log", f"{base}/checkpoint", client, initial_delay=2.0, pause_s=0.5)
+        took[n] = time.time() - start
+        log = C.read_log(spark, f"{base}/log").groupBy("attempt", "http_status", "last").count().collect()
+        assert {tuple(r) for r in log} == {(0, 503, False, n), (1, 503, False, n), (2, 200, True, n)}
+    assert 6 <= took[100] < took[1] + 15
+
+
+def test_tries_end(spark):
+    base = scratch_path(spark, "tries")
+
+    def client():
+        def ask(prompt):
+            error = Busy("no") if prompt == "p0" else ValueError("bad")
+            raise error
+        return ask
+
+    prompts_in(spark, base, 2, 10)
+    C.call_in_batches(spark, f"{base}/prompts", f"{base}/log", f"{base}/checkpoint", client, max_tries=3, initial_delay=0.0)
+    log = sorted(tuple(r)[:3] + (r.last,) for r in C.read_log(spark, f"{base}/log").collect())
+    assert log == [("k0", 0, 503, False), ("k0", 1, 503, False), ("k0", 2, 503, True), ("k1", 0, None, True)]
+
+
+def test_a_run_that_dies_asks_again_for_one_batch_at_most(spark):
+    base, batch = scratch_path(spark, "killed"), 5
+    asked = remembering(f"{local(base)}-asked")
+    fuse = f"{local(base)}-fuse"
+    write(fuse, b"x")
+
+    def client():
+        def ask(prompt):
+            if prompt == "p12" and os.path.exists(fuse):
+                raise SystemExit("killed")   # no error of the call: the task dies
+            asked(prompt)
+            return f"answer {prompt}"
+        return ask
+
+    prompts_in(spark, base, 20, batch)
+    args = (spark, f"{base}/prompts", f"{base}/log", f"{base}/checkpoint", client)
+    with pytest.raises(Exception):
+        C.call_in_batches(*args)
+    stored = C.read_log(spark, f"{base}/log").count()
+    assert stored % batch == 0 and stored < 20
+    os.remove(fuse)
+    C.call_in_batches(*args)
+    assert sorted((r.prompt_key, r.response) for r in C.read_log(spark, f"{base}/log").collect()) == sorted(
+        (f"k{i}", f"answer p{i}") for i in range(20))
+    again = [n for n in range(20) if os.path.getsize(f"{local(base)}-asked/p{n}") > 1]
+    assert len(again) <= batch
+    C.call_in_batches(*args)   # nothing is left to ask
+    assert sum(os.path.getsize(f"{local(base)}-asked/p{n}") for n in range(20)) <= 20 + 4 * batch
+
+
+def test_a_batch_of_the_stream_that_is_replayed_changes_nothing(spark):
+    base, check = scratch_path(spark, "replay"), scratch_path(spark, "check")
+    lines = [record("1999-01-01", "a"), {**record("1999-01-02", "b"), "digest_date": None}]
+    write(f"{local(base)}/extractions/a.json", "\n".join(map(json.dumps, lines)).encode())
+    load_new_files(spark, f"{base}/extractions", base, check).awaitTermination()
+    commits = f"{local(check)}/commits"
+    for name in os.listdir(commits):   # as if the stream had died before it noted the batch
+        os.remove(f"{commits}/{name}")
+    load_new_files(spark, f"{base}/extractions", base, check).awaitTermination()
+    assert T.loads(spark, base).count() == 1 and T.rejects(spark, base).count() == 1
+    assert T.enforcement_tables(spark, base)["enforcement_actions"].count() == 1

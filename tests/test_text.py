@@ -3,11 +3,13 @@
 import html
 import random
 import re
+import time
 from urllib.parse import urljoin
 
+import pytest
 from pyspark.sql import functions as F
 
-from docketlake.functions import html as H, text as X
+from docketlake.functions import answers as A, html as H, text as X
 
 SPACES = " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0   \u3000\u200b"
 
@@ -135,6 +137,44 @@ def test_anchors(spark):
     ]
 
 
+def py_html(t):
+    for name in ("script", "style"):
+        t = re.sub(rf"(?is)<{name}.*?</{name}>", "", t)
+    t = re.sub(r"(?i)</?(?:p|div|br|li|tr|h[1-6])[^>]*>", "\n", t)
+    t = html.unescape(re.sub(r"<[^>]+>", "", t))
+    return "\n".join(x.strip() for x in t.splitlines() if x.strip())
+
+
+def test_html_with_tags_left_open(spark):
+    bits = ["<script", "</script>", "</SCRIPT>", "<style", "</style>", "<p", "<P class=x>", "<", ">", "</", "a", " ", "\n", "<b>", "<br/>", "<!--", "&lt;"]
+    texts = random_texts(bits, 400, 14, 8)
+    for t, g in zip(texts, apply(spark, texts, H.html_to_text)):
+        assert g == py_html(t), repr(t)
+
+
+def test_anchors_with_tags_left_open(spark):
+    cases = [
+        ('<a href=x>1</a><script>var a; <a href=y>2</a>', [("x", "1")]),
+        ('<!-- open <a href=x>1</a>', []),
+        ('<style></style><a href=x>1</a><a href="y>2</a>', [("x", "1")]),
+        ("<a href=x>1 < 2 <b>3</b> <i", [("x", "13<i")]),
+        ("<a href=x>one</a><a href=y", [("x", "one")]),
+    ]
+    got = apply(spark, [c for c, _ in cases], H.anchors)
+    assert [[(r.href, r.text) for r in g] for g in got] == [w for _, w in cases]
+
+
+@pytest.mark.parametrize("opener", ["<script", "<STYLE ", "<!--", "<a ", '<a href="', "<a '", "<", "<p", "<script></style>",
+                                    "<!--</script>", "<a>", "<style><script>--", "<think>", "{", "<<p"])
+def test_text_of_openers_takes_linear_time(spark, opener):
+    """One megabyte each: what tries every opener to the end takes minutes."""
+    texts = [opener * (2 ** 20 // len(opener)), opener * (2 ** 20 // len(opener)) + ">"]
+    start = time.time()
+    for expr in (H.html_to_text, lambda c: F.size(H.anchors(c)), A.clean_answer):
+        assert len(apply(spark, texts, expr)) == 2
+    assert time.time() - start < 25
+
+
 def test_links_resolve_like_urljoin(spark):
     bases = ["http://h/a/b", "https://h.example:80/x/y/z.htm?q=1#f", "http://h", "http://h/a/"]
     hrefs = ["index.htm", "/r/s", "//o/p", "http://k/l", "mailto:a@b", "?q=2", "#top", "../up.htm",
