@@ -3,8 +3,11 @@
 Patterns find assignments, access keys and long hexadecimal runs. Beyond them, every long
 string that follows a sensitive word, or a secret found so, is measured: a zstandard compressor is primed with a
 dictionary of identifiers and the text around the candidate, and the bytes that the
-candidate adds are its novelty. Names and repeated strings add few bytes; a random key
-adds about one per character. Candidates above :data:`NOVEL` per character are reported.
+candidate adds are its novelty. Other copies of the candidate are left out of that text, so a
+key that stands several times is reported at each of its places. Names made of known words add
+few bytes; a random key adds about one per character, and from :data:`CODED` characters on,
+where the compressor codes single characters, as many bits as its alphabet has. Candidates
+above :data:`NOVEL` per character, or above :data:`SHARE` of those bits, are reported.
 
 Each row is scanned on its own, without a shuffle. Null and empty texts give no spans.
 Positions are code points, the end exclusive.
@@ -12,6 +15,7 @@ Positions are code points, the end exclusive.
 
 from __future__ import annotations
 
+import math
 import re
 
 import pyarrow as pa
@@ -42,8 +46,18 @@ REACH = 64
 AROUND = 1500
 #: Marginal compressed bytes per character from which a candidate is reported.
 NOVEL = 0.75
-#: Different characters that a candidate must have.
+#: Length from which the compressor codes single characters, and the share of the bits of the
+#: candidate's own alphabet from which one of that length is reported.
+CODED, SHARE = 64, 0.92
+#: Different characters that a candidate must have. Shorter ones than CODED need a digit and a
+#: letter too, as names and numbers of that length can't be told from keys.
 VARIETY = 10
+# Fixed: the alphabets that keys are written in.
+ALPHABETS = tuple(map(frozenset, (
+    "0123456789", "0123456789ABCDEF", "0123456789abcdef", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz",
+    "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", "abcdefghijklmnopqrstuvwxyz0123456789",
+    "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz",
+    "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789")))
 
 # Fixed: identifiers that occur in code and configuration without being secret.
 IDENTIFIERS = b"""abcdefghijklmnopqrstuvwxyz ABCDEFGHIJKLMNOPQRSTUVWXYZ 0123456789 authorization bearer
@@ -61,18 +75,29 @@ SPANS = "array<struct<kind:string,start:int,end:int,value_start:int,novelty:doub
 
 
 def _novelty(text: str, start: int, end: int) -> float:
-    """Bytes per character that the candidate adds to its surroundings."""
-    near = text[max(0, start - AROUND): start] + " " + text[end: end + AROUND]
+    """Bytes per character that the candidate adds to its surroundings without its other copies."""
+    own, far = text[start:end], AROUND + end - start   # copies that reach over the edge count too
+    before = text[max(0, start - far): start].replace(own, " ")[-AROUND:]
+    near = before + " " + text[end: end + far].replace(own, " ")[:AROUND]
     primer = zstandard.ZstdCompressionDict(IDENTIFIERS + near.encode("utf-8", "replace"),
                                            dict_type=zstandard.DICT_TYPE_RAWCONTENT)
     press = zstandard.ZstdCompressor(level=3, dict_data=primer, write_content_size=False)
-    added = len(press.compress(text[start:end].encode("utf-8", "replace"))) - len(press.compress(b""))
+    added = len(press.compress(own.encode("utf-8", "replace"))) - len(press.compress(b""))
     return added / (end - start)
 
 
-def _is_mixed(value: str) -> bool:
-    return (len(set(value)) >= VARIETY and any(c.isdigit() for c in value)
-            and any(c.isalpha() for c in value))
+def _is_varied(value: str) -> bool:
+    return len(set(value)) >= VARIETY and (
+        len(value) >= CODED or any(c.isdigit() for c in value) and any(c.isalpha() for c in value))
+
+
+def _least(value: str) -> float:
+    """Novelty from which the candidate is reported."""
+    if len(value) < CODED:
+        return NOVEL
+    symbols = set(value) - set("=")
+    size = next((len(a) for a in ALPHABETS if symbols <= a), 64)
+    return min(NOVEL, SHARE * math.log2(size) / 8)
 
 
 def find_secrets(text: str) -> list[dict]:
@@ -92,7 +117,12 @@ def find_secrets(text: str) -> list[dict]:
     for m in HEX.finditer(text):
         add("hex", m.start(), m.end(), m.start())
     if any(h in lower for h in HINTS):
-        taken = sorted((s["start"], s["end"]) for s in found)
+        taken: list[list[int]] = []   # what is found so far, as intervals apart from each other
+        for s in sorted(found, key=lambda s: s["start"]):
+            if taken and s["start"] <= taken[-1][1]:
+                taken[-1][1] = max(taken[-1][1], s["end"])
+            else:
+                taken.append([s["start"], s["end"]])
         words = SENSITIVE.finditer(text)
         word, at, reach = next(words, None), 0, -1
         for m in CANDIDATE.finditer(text, word.end()) if word else ():
@@ -104,10 +134,9 @@ def find_secrets(text: str) -> list[dict]:
                 continue
             while at < len(taken) and taken[at][1] <= m.start():
                 at += 1
-            covered = any(s < m.end() and e > m.start() for s, e in taken[at: at + 4])
-            if covered:
+            if at < len(taken) and taken[at][0] < m.end():
                 reach = max(reach, m.end() + REACH)
-            elif _is_mixed(m[0]) and (n := _novelty(text, m.start(), m.end())) >= NOVEL:
+            elif _is_varied(m[0]) and (n := _novelty(text, m.start(), m.end())) >= _least(m[0]):
                 tail = LAST_LINE.match(text, m.end())
                 end = tail.end() if tail else m.end()
                 add("novel", m.start(), end, m.start(), n)

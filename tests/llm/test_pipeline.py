@@ -55,5 +55,22 @@ def test_pipeline_stages_on_empty_and_null_rows(spark):
         assert stage(spark, odd, SF).count() <= 3, name
 
 
+def test_stages_judge_rows_by_their_own_text(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    item = spark.read.parquet(f"{SF}/benchmark.parquet").first().text
+    one = " ".join(f"one{i} word{i * i}" for i in range(40))
+    two = " ".join(f"two{i} other{i * 7}" for i in range(40))
+    rows = [(5, one), (5, two), (6, None), (6, "a real text"), (None, two + " tail"), (None, "alone"), (7, one), (7, one)]
+    odd = spark.createDataFrame([(i, t, "en", "s", None) for i, t in rows], docs.schema)
+    kept = [(r.doc_id, r.text) for r in corpus_pipeline.near_dedup(spark, odd, SF).collect()]
+    # A further text of an id gives way to a copy whose id names it alone.
+    assert [t for _, t in kept].count(one) == 1 and {i for i, t in kept if t == one} <= {5, 7}
+    assert set(kept) - {(5, one), (7, one)} == {(5, two), (6, None), (6, "a real text"), (None, "alone")} and len(kept) == 5
+    rows = [(None, f"so {item} there"), (8, f"so {item} there"), (8, two), (None, two), (9, None)]
+    odd = spark.createDataFrame([(i, t, "en", "s", None) for i, t in rows], docs.schema)
+    kept = sorted(((r.doc_id, r.text) for r in corpus_pipeline.decontaminate(spark, odd, SF).collect()), key=str)
+    assert kept == sorted([(8, two), (None, two), (9, None)], key=str)
+
+
 def test_the_package_is_optional():
     assert os.path.exists(entry.__file__) and entry.QUERIES.keys() < entry.queries().keys()
