@@ -307,7 +307,7 @@ PAGE = 100
 
 
 def child_pages(children: DataFrame, kind: str, page: int = PAGE, block: int = 1 << 14) -> DataFrame:
-    """(id, page, kind): the children of every action by id, at most ``page`` to a row.
+    """(id, page, kind): the children of every action by id and fields, at most ``page`` to a row.
 
     Children are ranked within (action, range of ``block`` ids) and the ranges counted
     first, so an action that has a third of all children is many small groups.
@@ -317,7 +317,7 @@ def child_pages(children: DataFrame, kind: str, page: int = PAGE, block: int = 1
     before = Window.partitionBy("action_id").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     starts = blocked.groupBy(*keys).agg(F.count("*").alias("_n")).select(
         *keys, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    rank = F.row_number().over(Window.partitionBy(*keys).orderBy("id")) - 1
+    rank = F.row_number().over(Window.partitionBy(*keys).orderBy("id", *CHILDREN[kind])) - 1
     ranked = blocked.withColumn("_rank", rank).join(starts, keys)
     number = F.floor((F.col("_before") + F.col("_rank")) / page)
     return ranked.groupBy(F.col("action_id").alias("id"), number.alias("page")).agg(

@@ -385,9 +385,10 @@ def pk_violations(spark, sf):
 
 def _list_sql(kind: str, *fields: str) -> str:
     texts = " || '|' || ".join(f"coalesce({f}, '')" for f in fields)
+    order = ", ".join(f"{f} NULLS FIRST" for f in ("id", *fields))
     return f"""(SELECT action_id, (rank - 1) // {_PAGE} AS page,
-        string_agg(concat(CAST(id AS VARCHAR), '|') || {texts}, ';' ORDER BY id) AS {kind}
-      FROM (SELECT *, row_number() OVER (PARTITION BY action_id ORDER BY id) AS rank FROM <s_{kind}>) c
+        string_agg(concat(CAST(id AS VARCHAR), '|') || {texts}, ';' ORDER BY {order}) AS {kind}
+      FROM (SELECT *, row_number() OVER (PARTITION BY action_id ORDER BY {order}) AS rank FROM <s_{kind}>) c
       GROUP BY ALL)"""
 
 
