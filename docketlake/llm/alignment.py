@@ -22,9 +22,11 @@ from __future__ import annotations
 import hashlib
 import json
 import os
+import re
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
@@ -38,7 +40,11 @@ BLOCK_BYTES = 8 << 20
 CALL_BYTES = 1 << 20
 TEXT = ["k1", "k2"]
 TOKENISED = ("block bigint, k1 bigint, k2 bigint, n_a bigint, n_b bigint, n_links bigint, groups_sha256 string, "
-             "at array<int>, times array<int>, pairs array<bigint>, weights array<bigint>")
+             "at array<int>, pairs array<bigint>, weights array<bigint>")
+# Fixed: how byte-level vocabularies split a text.
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: Beyond these the two libraries for byte-level vocabularies may know different letters.
+LATIN = re.compile("[^\x00-\u024f]")
 MEASURES = ("k1 bigint, k2 bigint, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, n_best bigint, "
             "count_sum bigint, groups_sha256 string")
 
@@ -57,6 +63,7 @@ class Aligner:
         self.a.encode_special_tokens = True
         self.b = SentencePieceProcessor(model_file=b_path)
         self.a_bytes = _byte_level(a_path)
+        self.fast = _ranked(a_path, self.a_bytes)
         self.b_bytes = [_piece(self.b.id_to_piece(i)) for i in range(self.b.get_piece_size())]
         self.sizes = [np.array([len(x) for x in table], np.int64) for table in (self.a_bytes, self.b_bytes)]
         #: An id's text with what follows it, by what: another of its side, the other side, a new group.
@@ -64,9 +71,11 @@ class Aligner:
         self.written = [f"{i}{after}" for table, marks in sides for after in marks for i in range(len(table))]
 
     def tokens(self, texts: list[str]) -> Iterator[tuple[list[int], list[int]]]:
-        a = self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)
-        for one, ids in zip(a, self.b.encode(texts, num_threads=1)):
-            yield one.ids, ids
+        for text, ids in zip(texts, self.b.encode(texts, num_threads=1)):
+            if self.fast and not LATIN.search(text):
+                yield self.fast.encode_ordinary(f" {text}"), ids
+            else:
+                yield self.a.encode(f" {text}", add_special_tokens=False).ids, ids
 
     def align(self, text: str, a: list[int], b: list[int]) -> tuple | None:
         """(links as pairs of ids, groups written out), or None where either side spells another text."""
@@ -104,43 +113,48 @@ def _byte_level(path: str) -> list[bytes]:
     return [entries.get(i, b"") for i in range(max(entries) + 1)]
 
 
+def _ranked(path: str, entries: list[bytes]):
+    """The vocabulary for a quicker library, None if its merges don't rank as its ids do."""
+    import tiktoken
+
+    with open(path, encoding="utf-8") as f:
+        file = json.load(f)
+    model, split, vocab = file["model"], file["pre_tokenizer"] or {}, file["model"]["vocab"]
+    merged = [vocab["".join(m.split(" ") if isinstance(m, str) else m)] for m in model["merges"]]
+    if (file["normalizer"] or model.get("dropout") or split.get("type") != "ByteLevel" or split.get("add_prefix_space")
+            or not split.get("use_regex", True) or merged != sorted(set(merged))):
+        return None
+    special = {t["id"] for t in file["added_tokens"]}
+    ranks = {token: i for i, token in enumerate(entries) if i not in special}
+    return tiktoken.Encoding(path, pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={})
+
+
 def _piece(piece: str) -> bytes:
     if len(piece) == 6 and piece.startswith("<0x") and piece.endswith(">"):
         return bytes([int(piece[3:5], 16)])
     return piece.replace("▁", " ").encode("utf-8")
 
 
-def _lists(arrays: list[np.ndarray], of: pa.DataType) -> pa.Array:
-    ends = np.cumsum([0, *map(len, arrays)])
-    values = np.concatenate(arrays) if arrays else np.zeros(0)
-    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values, of))
-
-
 def _block(number: int, rows: list[tuple]) -> Iterator[pa.RecordBatch]:
     """The texts of a block, then one row with its distinct pairs and their links."""
     links = [r[-1] for r in rows]
-    pairs, numbers = np.unique(np.concatenate(links), return_inverse=True)
-    copies = np.repeat(np.array([r[2] for r in rows], np.int64), [len(x) for x in links])
-    weights = np.zeros(len(pairs), np.int64)
-    np.add.at(weights, numbers, copies)
-    at, times, done = [], [], 0
-    for x in links:
-        n, t = np.unique(numbers[done: done + len(x)], return_counts=True)
-        done += len(x)
-        at.append(n)
-        times.append(t)
+    numbers, pairs = pd.factorize(np.concatenate(links))
+    ends = np.cumsum([0, *map(len, links)])
+    copies = np.repeat(np.array([r[2] for r in rows], np.float64), np.diff(ends))
+    weights = np.bincount(numbers, copies, len(pairs)).astype(np.int64)   # exact below 2**53
     long = pa.int64()
     k1, k2, _, n_a, n_b, digests, _ = zip(*rows)
     schema = pa.schema([("block", long), ("k1", long), ("k2", long), ("n_a", long), ("n_b", long), ("n_links", long),
-                        ("groups_sha256", pa.string()), ("at", pa.list_(pa.int32())), ("times", pa.list_(pa.int32())),
+                        ("groups_sha256", pa.string()), ("at", pa.list_(pa.int32())),
                         ("pairs", pa.list_(long)), ("weights", pa.list_(long))])
     columns = [pa.array([number] * len(rows), long), pa.array(k1, long), pa.array(k2, long), pa.array(n_a, long),
                pa.array(n_b, long), pa.array(map(len, links), long), pa.array(digests, pa.string()),
-               _lists(at, pa.int32()), _lists(times, pa.int32()), *(pa.nulls(len(rows), pa.list_(long)) for _ in range(2))]
+               pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(numbers, pa.int32())),
+               *(pa.nulls(len(rows), pa.list_(long)) for _ in range(2))]
     yield pa.RecordBatch.from_arrays(columns, schema=schema)
     if len(pairs):
-        last = [pa.array([number], long), *(pa.nulls(1, t) for t in schema.types[1:9]),
-                _lists([pairs], long), _lists([weights], long)]
+        last = [pa.array([number], long), *(pa.nulls(1, t) for t in schema.types[1:8]),
+                *(pa.ListArray.from_arrays([0, len(pairs)], pa.array(x, long)) for x in (pairs, weights))]
         yield pa.RecordBatch.from_arrays(last, schema=schema)
 
 
@@ -186,12 +200,11 @@ def _measured(texts: pa.Table, pairs: pa.Table) -> pa.Table:
     """A block's texts with the sums over their links of counts and of best pairs."""
     order = np.argsort(pairs["pos"].to_numpy())
     counts, best = pairs["n"].to_numpy()[order], pairs["best"].to_numpy()[order].astype(np.int64)
-    at, times = texts["at"].combine_chunks(), texts["times"].combine_chunks()
-    numbers, often = at.flatten().to_numpy(), times.flatten().to_numpy().astype(np.int64)
-    ends = np.cumsum(np.append(0, at.value_lengths().to_numpy()))
+    at = texts["at"].combine_chunks()
+    numbers, ends = at.flatten().to_numpy(), np.cumsum(np.append(0, at.value_lengths().to_numpy()))
 
     def sums(per_pair: np.ndarray) -> pa.Array:
-        running = np.append(0, np.cumsum(per_pair[numbers] * often if len(numbers) else np.zeros(0, np.int64)))
+        running = np.append(0, np.cumsum(per_pair[numbers] if len(numbers) else np.zeros(0, np.int64)))
         return pa.array(running[ends[1:]] - running[ends[:-1]], pa.int64())
 
     same = {c: texts[c] for c in (*TEXT, "n_a", "n_b", "n_links", "groups_sha256")}

@@ -84,5 +84,16 @@ def test_small_blocks_give_the_same(spark, expected, monkeypatch):
     assert got(spark, texts) == expected(texts)
 
 
+def test_the_quicker_library_gives_the_same_tokens():
+    rnd, a = random.Random(3), alignment.Aligner(A, B)
+    assert a.fast is not None
+    parts = [" ", "a", "7", "'s", "'LL", "\n", "\x85", "\xa0", "\x1c", "<|endoftext|>", "the", "ß", "\u024f"]
+    for _ in range(4000):
+        t = "".join(rnd.choice(parts) if rnd.random() < 0.6 else chr(rnd.randrange(0x250)) for _ in range(rnd.randrange(30)))
+        assert not alignment.LATIN.search(t)
+        assert a.fast.encode_ordinary(" " + t) == a.a.encode(" " + t, add_special_tokens=False).ids, repr(t)
+    assert alignment.LATIN.search("a\u0250") and alignment.LATIN.search("日")
+
+
 def test_no_documents(spark):
     assert got(spark, []) == []
