@@ -11,13 +11,18 @@ Retrieved items are verified on the words themselves: the item is split into que
 answer (after its last question mark, else its last fifth), and both must share most
 of their word trigrams with the passage.
 
-Training texts are handled row by row without a shuffle. Items are indexed in blocks of a
-bounded number of words, each block against all texts, so no index outgrows a task.
-Passages overlap so that every run of words as long as an item lies whole in one. Items
+Training texts are handled row by row without a shuffle. Items are dealt by a hash of their
+id to blocks of about :data:`INDEX_WORDS` words, each block against all texts, so no index
+outgrows a task. Counts of terms and the mean length are those of all items, and passages
+go by the item's length class (8 to 15 words, 16 to 31, ...), so what is found depends
+neither on the blocks nor on how long other items are. Passages of a class are twice as
+long as its longest item and overlap by half, so that every run of words as long as an item
+lies whole in one; of several passages the best counts, of equal ones the first. Items
 with fewer than :data:`FEWEST` words share too few trigrams to be judged by a share: they
 are found where all their words stand together in a text, by a look-up of runs of words. Null
 and empty texts, items without text and repeated rows are allowed; a repeated row is
-searched again and its result repeated, a repeated item is indexed once.
+searched again and its result repeated, a repeated item is indexed once. Rows without an id
+are searched like others, items without one take no part.
 """
 
 from __future__ import annotations
@@ -42,7 +47,7 @@ QUESTION, ANSWER = 0.6, 0.5
 FEWEST = 8
 #: Postings in a block.
 BLOCK = 32
-#: Words of all items in one index.
+#: Words of the items in one index, about.
 INDEX_WORDS = 2_000_000
 
 HITS = "array<struct<item_id:bigint,start_word:int,score:double,question:double,answer:double>>"
@@ -76,11 +81,20 @@ class Posting:
     bound: float
 
 
+@dataclass
+class LengthClass:
+    """Postings of the items of similar length, and the bound of every term, 0 where it has none."""
+
+    longest: int
+    postings: dict[int, Posting]
+    bounds: np.ndarray
+
+
 class Index:
-    """BM25 index of (item_id, text) pairs; ``frequency`` and ``total`` may come from more items."""
+    """BM25 index of (item_id, text) pairs; ``frequency``, ``total``, ``mean`` may come from more items."""
 
     def __init__(self, items: list[tuple[int, str]], frequency: dict[bytes, int] | None = None,
-                 total: int | None = None):
+                 total: int | None = None, mean: float | None = None):
         kept = sorted({(i, t) for i, t in items if t})
         self.texts = [(i, w, _split(w, t)) for i, t in kept if len(w := words_of(t)) >= FEWEST]
         self.short: dict[int, dict[tuple[bytes, ...], list[int]]] = {}
@@ -89,7 +103,6 @@ class Index:
                 self.short.setdefault(len(w), {}).setdefault(tuple(w), []).append(i)
         self.ids = [i for i, _, _ in self.texts]
         self.grams = [(_trigrams(w[:q]), _trigrams(w[max(0, q - 2):])) for _, w, q in self.texts]
-        self.longest = max((len(w) for _, w, _ in self.texts), default=0)
         n = len(self.texts) if total is None else total
         counts = [self._counts(terms_of(w)) for _, w, _ in self.texts]
         if frequency is None:
@@ -97,24 +110,35 @@ class Index:
             for c in counts:
                 for w in c:
                     frequency[w] = frequency.get(w, 0) + 1
-        mean = sum(len(w) for _, w, _ in self.texts) / max(1, len(self.texts))
-        lists: dict[bytes, list[tuple[int, float]]] = {}
+        if mean is None:
+            mean = sum(len(w) for _, w, _ in self.texts) / max(1, len(self.texts))
+        by_class: dict[int, dict[bytes, list[tuple[int, float]]]] = {}
         for k, c in enumerate(counts):
-            scale = K1 * (1 - B + B * len(self.texts[k][1]) / mean)
+            size = len(self.texts[k][1])
+            scale = K1 * (1 - B + B * size / mean)
             raw = {w: math.log(1 + (n - frequency[w] + 0.5) / (frequency[w] + 0.5)) * f * (K1 + 1) / (f + scale)
                    for w, f in c.items()}
-            own = sum(raw.values())
+            own = math.fsum(raw.values())
+            lists = by_class.setdefault(size.bit_length(), {})
             for w, v in raw.items():
                 lists.setdefault(w, []).append((k, v / own))
-        pairs = [tuple(t.split(b" ")) for t in lists]
+        terms = sorted({t for lists in by_class.values() for t in lists})
+        pairs = [tuple(t.split(b" ")) for t in terms]
         self.words = {w: i for i, w in enumerate(sorted({w for p in pairs for w in p}))}
         self.base = len(self.words) + 1
         keys = np.array([self.words[a] * self.base + self.words[b] for a, b in pairs], np.int64)
         order = np.argsort(keys)
         self.keys = np.append(keys[order], np.int64(-1))
-        found = list(lists.values())
-        self.postings = [self._posting(found[i]) for i in order]
-        self.bounds = np.array([p.bound for p in self.postings] + [0.0])   # the last: unknown terms
+        number = {terms[i]: at for at, i in enumerate(order.tolist())}
+        self.classes = [self._class(bits, {number[t]: found for t, found in lists.items()})
+                        for bits, lists in sorted(by_class.items())]
+
+    def _class(self, bits: int, lists: dict[int, list[tuple[int, float]]]) -> LengthClass:
+        bounds = np.zeros(len(self.keys))                       # the last: unknown terms
+        postings = {t: self._posting(found) for t, found in lists.items()}
+        for t, p in postings.items():
+            bounds[t] = p.bound
+        return LengthClass((1 << bits) - 1, postings, bounds)
 
     @staticmethod
     def _counts(words: list[bytes]) -> dict[bytes, int]:
@@ -130,10 +154,13 @@ class Index:
         return Posting(items, impacts, [items[min(c + BLOCK, len(items)) - 1] for c in cuts],
                        [max(impacts[c: c + BLOCK]) for c in cuts], max(impacts))
 
-    def above(self, terms: set[int], threshold: float) -> list[tuple[int, float]]:
-        """All items whose share reaches ``threshold`` for these words, by block-max WAND."""
-        lists = [self.postings[t] for t in terms]
-        end = len(self.texts)
+    def above(self, postings: dict[int, Posting], terms: set[int], threshold: float) -> list[tuple[int, float]]:
+        """All items whose share reaches ``threshold`` for these terms, by block-max WAND.
+
+        Bounds are sums in another order than scores, so they may fall short by a rounding error.
+        """
+        lists = [postings[t] for t in terms]
+        end, enough = len(self.texts), threshold - 1e-9
         cursors = [[p.items[0], 0, p] for p in lists]
         out: list[tuple[int, float]] = []
         while cursors:
@@ -141,7 +168,7 @@ class Index:
             bound, pivot = 0.0, -1
             for i, c in enumerate(cursors):
                 bound += c[2].bound
-                if bound >= threshold:
+                if bound >= enough:
                     pivot = i
                     break
             if pivot < 0:
@@ -156,12 +183,12 @@ class Index:
                 if b < len(c[2].last):
                     allowed += c[2].most[b]
                     until = min(until, c[2].last[b] + 1)
-            if allowed < threshold:
+            if allowed < enough:
                 if pivot + 1 < len(cursors):
                     until = min(until, cursors[pivot + 1][0])
                 target = max(until, item + 1)
             elif cursors[0][0] == item:
-                score = sum(c[2].impacts[c[1]] for c in cursors[: pivot + 1])
+                score = math.fsum(c[2].impacts[c[1]] for c in cursors[: pivot + 1])
                 if score >= threshold:
                     out.append((item, score))
                 target = item + 1
@@ -176,7 +203,7 @@ class Index:
 
     def _terms(self, words: list[bytes]) -> np.ndarray:
         """Number of the term that starts at each word but the last; the last number: unknown."""
-        unknown = len(self.postings)
+        unknown = len(self.keys) - 1
         get, none = self.words.get, self.base - 1
         numbers = np.fromiter((get(w, none) for w in words), np.int64, len(words))
         out = np.full(len(words) - 1, unknown, np.int64)
@@ -189,7 +216,12 @@ class Index:
     def search(self, text: str, threshold: float = THRESHOLD) -> list[dict]:
         """Verified items of one text, each with its best passage."""
         words = words_of(text)
-        return sorted(self._whole(words) + self._shares(words, threshold), key=lambda h: h["item_id"])
+        found = self._whole(words)
+        if len(words) >= FEWEST and self.classes:
+            terms = self._terms(words)
+            for c in self.classes:
+                found += self._shares(c, words, terms, threshold)
+        return sorted(found, key=lambda h: (h["item_id"], h["start_word"], h["score"]))
 
     def _whole(self, words: list[bytes]) -> list[dict]:
         """Short items that occur word by word, each with its first place."""
@@ -200,23 +232,20 @@ class Index:
                     best.setdefault(i, {"item_id": i, "start_word": at, "score": 1.0, "question": 1.0, "answer": 1.0})
         return list(best.values())
 
-    def _shares(self, words: list[bytes], threshold: float) -> list[dict]:
-        unknown, step = len(self.postings), max(self.longest, 1)
-        if len(words) < FEWEST or not unknown:
-            return []
-        terms = self._terms(words)
-        sums = np.concatenate([[0.0], np.cumsum(self.bounds[terms])])
+    def _shares(self, c: LengthClass, words: list[bytes], terms: np.ndarray, threshold: float) -> list[dict]:
+        """Verified items of a length class, each with its best passage."""
+        step = c.longest
+        sums = np.concatenate([[0.0], np.cumsum(c.bounds[terms])])
         starts = np.arange(0, max(1, len(terms) - step), step)
         ends = np.minimum(starts + 2 * step, len(terms))
         best: dict[int, dict] = {}
         for at in np.flatnonzero(sums[ends] - sums[starts] >= threshold - 1e-9).tolist():
             s, e = int(starts[at]), int(ends[at])
-            known = set(terms[s:e].tolist())
-            known.discard(unknown)
-            if self.bounds[list(known)].sum() < threshold:
+            known = {t for t in terms[s:e].tolist() if t in c.postings}
+            if c.bounds[list(known)].sum() < threshold - 1e-9:
                 continue
             grams = None
-            for k, score in self.above(known, threshold):
+            for k, score in self.above(c.postings, known, threshold):
                 if grams is None:
                     grams = _trigrams(words[s: e + 1])
                 asked, answered = (len(g & grams) / max(1, len(g)) for g in self.grams[k])
@@ -227,50 +256,50 @@ class Index:
 
 
 def _hits(text: str | Column, items: list[tuple[int, str]], frequency: dict[bytes, int], total: int,
-          threshold: float) -> Column:
+          mean: float, threshold: float) -> Column:
     kind = pa.list_(pa.struct([("item_id", pa.int64()), ("start_word", pa.int32()), ("score", pa.float64()),
                                ("question", pa.float64()), ("answer", pa.float64())]))
 
     def make():
-        index = Index(items, frequency, total)
+        index = Index(items, frequency, total, mean)
         return lambda texts: pa.array([index.search(t, threshold) for t in texts], kind)
 
     return text_udf(make, HITS)(text)
 
 
-def _blocks(items: DataFrame, budget: int) -> list[list[int]]:
-    """Ids of the items, in blocks of at most ``budget`` words (by their length in bytes)."""
-    out, room = [], 0
-    sizes = items.groupBy("_id").agg((F.sum(F.octet_length("_item")) / 4).alias("n")).orderBy("_id")
-    for row in sizes.toLocalIterator():
-        if not out or row["n"] > room:
-            out.append([])
-            room = budget
-        out[-1].append(row["_id"])
-        room -= row["n"]
-    return out
+def _terms_and_size(text: str) -> dict:
+    words = words_of(text)
+    terms = sorted({w.decode("utf-8") for w in terms_of(words)}) if len(words) >= FEWEST else []
+    return {"terms": terms, "size": len(words)}
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD,
                  index_words: int = INDEX_WORDS) -> DataFrame:
-    """(doc_id, item_id, start_word, score, question, answer): verified items per text."""
+    """(doc_id, item_id, start_word, score, question, answer): verified items per text.
+
+    ``index_words`` is about how many words one index holds; the driver holds those of one
+    block at a time and each block reads the texts once.
+    """
     texts = pick(docs, "doc_id", "text").where(F.col("text").isNotNull())
     items = (pick(benchmark, "item_id", "text").toDF("_id", "_item")
              .where(F.col("_id").isNotNull() & F.col("_item").isNotNull()).distinct())
-    pairs = text_udf(lambda: lambda ts: pa.array([sorted({w.decode("utf-8") for w in terms_of(words_of(t))})
-                                                   if len(words_of(t)) >= FEWEST else [] for t in ts],
-                                                  pa.list_(pa.string())), "array<string>")
-    terms = items.select("_id", pairs("_item").alias("_terms"))
-    total = terms.where(F.size("_terms") > 0).count()
-    counts = terms.select(F.explode("_terms").alias("_term")).groupBy("_term").agg(F.count("*").alias("n"))
+    kind = pa.struct([("terms", pa.list_(pa.string())), ("size", pa.int64())])
+    parts = text_udf(lambda: lambda ts: pa.array([_terms_and_size(t) for t in ts], kind),
+                     "struct<terms:array<string>,size:bigint>")
+    terms = items.select("_id", parts("_item").alias("p")).select("_id", "p.*")
+    long = F.col("size") >= FEWEST
+    found = terms.agg(F.sum("size").alias("words"), F.count(F.when(long, 1)).alias("n"),
+                      F.sum(F.when(long, F.col("size"))).alias("long")).first()
+    counts = terms.select(F.explode("terms").alias("_term")).groupBy("_term").agg(F.count("*").alias("n"))
+    blocks = max(1, math.ceil((found["words"] or 0) / index_words))
+    mean = (found["long"] or 0) / max(1, found["n"])
+    block_of = F.pmod(F.xxhash64("_id"), F.lit(blocks))
     out = None
-    for ids in _blocks(items, index_words):
-        part = items.where(F.col("_id").between(min(ids), max(ids)))
-        mine = terms.where(F.col("_id").between(min(ids), max(ids))).select(F.explode("_terms").alias("_term")).distinct()
+    for block in range(blocks):
+        mine = terms.where(block_of == block).select(F.explode("terms").alias("_term")).distinct()
         frequency = {r["_term"].encode("utf-8"): r["n"] for r in counts.join(mine, "_term", "left_semi").collect()}
-        rows = [(r["_id"], r["_item"]) for r in part.collect()]
-        found = texts.select("doc_id", F.explode(_hits("text", rows, frequency, total, threshold)).alias("_hit"))
-        out = found if out is None else out.unionByName(found)
-    if out is None:
-        out = texts.select("doc_id", F.explode(F.lit(None).cast(HITS)).alias("_hit"))
+        rows = [(r["_id"], r["_item"]) for r in items.where(block_of == block).collect()]
+        hits = _hits("text", rows, frequency, found["n"], mean, threshold)
+        one = texts.select("doc_id", F.explode(hits).alias("_hit"))
+        out = one if out is None else out.unionByName(one)
     return out.select("doc_id", "_hit.*")

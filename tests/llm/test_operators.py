@@ -1,7 +1,9 @@
 """The operators against brute force, libraries and planted cases, on small tables."""
 
+import math
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -12,7 +14,7 @@ from tokenizers import Tokenizer
 from docketlake.llm.chunks import repeated_spans, without_spans
 from docketlake.llm.components import components
 from docketlake.llm.common import Staging
-from docketlake.llm.decontamination import Index, contaminated
+from docketlake.llm.decontamination import Index, contaminated, terms_of
 from docketlake.llm.fingerprints import fingerprints
 from docketlake.llm.licenses import TEMPLATES, license_scan, words_of
 from docketlake.llm.near_duplicates import near_duplicates
@@ -258,15 +260,60 @@ def test_decontamination_of_short_items(spark):
 def test_wand_finds_all_above_the_threshold():
     rnd = random.Random(6)
     index = Index([(i, " ".join(rnd.choice(WORDS[:9]) for _ in range(rnd.randrange(8, 30)))) for i in range(150)])
-    for _ in range(200):
-        terms = set(rnd.sample(range(len(index.postings)), 12))
+    assert [c.longest for c in index.classes] == [15, 31]
+    for at in range(200):
+        postings = index.classes[at % 2].postings
+        terms = set(rnd.sample(sorted(postings), 12))
         sums = {}
         for t in sorted(terms):
-            for k, v in zip(index.postings[t].items, index.postings[t].impacts):
+            for k, v in zip(postings[t].items, postings[t].impacts):
                 sums[k] = sums.get(k, 0) + v
         for threshold in (0.1, 0.25, 0.4):
             near = {k for k, v in sums.items() if abs(v - threshold) < 1e-9}
-            assert {k for k, _ in index.above(terms, threshold)} - near == {k for k, v in sums.items() if v >= threshold} - near
+            found = {k for k, _ in index.above(postings, terms, threshold)}
+            assert found - near == {k for k, v in sums.items() if v >= threshold} - near
+
+
+def brute_hits(texts, items):
+    """Every passage of every text against every item, by the definition."""
+    words = {i: words_of(t) for i, t in items.items() if len(words_of(t)) >= 8}
+    holds = {i: set(terms_of(w)) for i, w in words.items()}
+    idf = lambda t: math.log(1 + (len(words) - (n := sum(t in h for h in holds.values())) + 0.5) / (n + 0.5))
+    mean = sum(map(len, words.values())) / len(words)
+    known = {t: idf(t) for h in holds.values() for t in h}
+    out = {}
+    for d, text in texts.items():
+        w = words_of(text)
+        terms = terms_of(w)
+        for i, item in words.items():
+            raw = {t: known[t] * f * 2.2 / (f + 1.2 * (0.25 + 0.75 * len(item) / mean)) for t, f in Counter(terms_of(item)).items()}
+            asked, step = max(1, len(item) - max(3, len(item) // 5)), 2 ** len(item).bit_length() - 1
+            trigrams = lambda x: set(zip(x, x[1:], x[2:])) if len(x) > 2 else {tuple(x)}
+            parts = [trigrams(item[:asked]), trigrams(item[max(0, asked - 2):])]
+            for s in range(0, max(1, len(terms) - step), step):
+                score = sum(raw[t] for t in set(terms[s: s + 2 * step]) if t in raw) / sum(raw.values())
+                passage = trigrams(w[s: s + 2 * step + 1])
+                q, a = (len(p & passage) / len(p) for p in parts)
+                if score >= 0.5 and q >= 0.6 and a >= 0.5 and score > out.get((d, i), (0, 0))[0] + 1e-12:
+                    out[d, i] = (score, s)
+    return {k: s for k, (_, s) in out.items()}
+
+
+def test_decontamination_against_brute_force_in_any_blocks(spark):
+    rnd = random.Random(28)
+    items = {i: prose(rnd, rnd.choice([8, 9, 15, 16, 25, 40])) for i in range(20)} | {20: prose(rnd, 3000)}
+    texts = {}
+    for d in range(60):     # pieces of an item over a long text, or close together
+        pieces = items[rnd.randrange(20)].split()
+        n, gap = rnd.choice([3, 5, 8]), rnd.choice([0, 2, 30, 300])
+        texts[d] = " ".join(" ".join(pieces[k: k + n]) + " " + prose(rnd, gap) for k in range(0, len(pieces), n))
+    bench = spark.createDataFrame(list(items.items()), "item_id bigint, text string")
+    docs = table(spark, list(texts.values()))
+    want = brute_hits(texts, items)
+    assert len(want) > 20
+    for words in (2_000_000, 700):
+        got = contaminated(docs, bench, index_words=words).collect()
+        assert {(r.doc_id, r.item_id): r.start_word for r in got} == want and len(got) == len(want)
 
 
 def test_secrets(spark):
