@@ -3,8 +3,16 @@
 All templates go into one generalised suffix automaton over words. A text is streamed
 through it: the state after each word is the longest run of words ending there that occurs
 in some template. Runs that cannot be extended and are long enough become matches; per
-template, matches in the same order in text and template are chained into a span. Fixed
-phrases are looked up besides, at every place where their words stand consecutively.
+template, matches in the same order in text and template are chained into a span. Words of
+the text that stand between chained matches count against it. Where spans overlap, the one
+with most covered less foreign words stays, so a variant of a licence gets its own label
+and not that of the licence it varies. Fixed phrases are looked up besides, at every place
+where their words stand consecutively.
+
+Templates are the paragraphs of short licences, whole, and the notices that long licences
+ask to be put into files; a caller may pass others. Any one paragraph gives the label. Spans
+that give a label stand before others; those of equal worth go by coverage, then the
+earlier, then the label's name.
 
 Each row is scanned on its own, without a shuffle. Null and empty texts have no words, no
 labels and score 0.
@@ -12,6 +20,8 @@ labels and score 0.
 
 from __future__ import annotations
 
+import bisect
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column
@@ -21,37 +31,136 @@ from docketlake.llm.common import text_udf
 # Fixed: phrases and the labels they give.
 PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
 
-# Fixed: opening or notice paragraphs of common public licences, and their one-line statements.
+# Fixed: paragraphs of common public licences, or the notice that a long licence asks for, and
+# one-line statements.
 TEMPLATES = {
-    "mit": ("Permission is hereby granted, free of charge, to any person obtaining a copy of this software "
-           "and associated documentation files (the Software), to deal in the Software without restriction, "
-           "including without limitation the rights to use, copy, modify, merge, publish, distribute, "
-           "sublicense, and/or sell copies of the Software",
-            "Released under the MIT License", "Licensed under the MIT License"),
-    "apache-2.0": ("Licensed under the Apache License, Version 2.0 (the License); you may not use this file "
-                  "except in compliance with the License. You may obtain a copy of the License at",
-                   "Licensed under the Apache License, Version 2.0"),
-    "bsd": ("Redistribution and use in source and binary forms, with or without modification, are permitted "
-           "provided that the following conditions are met: Redistributions of source code must retain the "
-           "above copyright notice, this list of conditions and the following disclaimer",
-            "Licensed under the BSD License"),
-    "gpl": ("This program is free software: you can redistribute it and/or modify it under the terms of the "
-           "GNU General Public License as published by the Free Software Foundation",
-            "This work is licensed under the GNU General Public License, version 3"),
-    "mpl-2.0": ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a "
-               "copy of the MPL was not distributed with this file, You can obtain one at",),
-    "isc": ("Permission to use, copy, modify, and/or distribute this software for any purpose with or without "
-           "fee is hereby granted, provided that the above copyright notice and this permission notice appear "
-            "in all copies",),
+    "mit": (
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software "
+        "and associated documentation files (the Software), to deal in the Software without restriction, "
+        "including without limitation the rights to use, copy, modify, merge, publish, distribute, "
+        "sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is "
+        "furnished to do so, subject to the following conditions:",
+        "The above copyright notice and this permission notice shall be included in all copies or "
+        "substantial portions of the Software.",
+        "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING "
+        "BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND "
+        "NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, "
+        "DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, "
+        "OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.",
+        "Released under the MIT License", "Licensed under the MIT License"),
+    "apache-2.0": (
+        "Licensed under the Apache License, Version 2.0 (the License); you may not use this file "
+        "except in compliance with the License. You may obtain a copy of the License at",
+        "Unless required by applicable law or agreed to in writing, software distributed under the License "
+        "is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express "
+        "or implied. See the License for the specific language governing permissions and limitations under "
+        "the License.",
+        "Licensed under the Apache License, Version 2.0"),
+    "bsd": (
+        "Redistribution and use in source and binary forms, with or without modification, are permitted "
+        "provided that the following conditions are met:",
+        "Redistributions of source code must retain the above copyright notice, this list of conditions and "
+        "the following disclaimer.",
+        "Redistributions in binary form must reproduce the above copyright notice, this list of conditions "
+        "and the following disclaimer in the documentation and/or other materials provided with the "
+        "distribution.",
+        "Neither the name of the copyright holder nor the names of its contributors may be used to endorse "
+        "or promote products derived from this software without specific prior written permission.",
+        "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR "
+        "IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND "
+        "FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR "
+        "CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL "
+        "DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, "
+        "DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER "
+        "IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT "
+        "OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.",
+        "Licensed under the BSD License"),
+    "gpl": (
+        "This program is free software: you can redistribute it and/or modify it under the terms of the "
+        "GNU General Public License as published by the Free Software Foundation, either version 3 of the "
+        "License, or (at your option) any later version.",
+        "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without "
+        "even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU "
+        "General Public License for more details.",
+        "You should have received a copy of the GNU General Public License along with this program.",
+        "This work is licensed under the GNU General Public License, version 3"),
+    "lgpl": (
+        "This library is free software; you can redistribute it and/or modify it under the terms of the "
+        "GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 "
+        "of the License, or (at your option) any later version.",
+        "This library is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without "
+        "even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU "
+        "Lesser General Public License for more details.",
+        "You should have received a copy of the GNU Lesser General Public License along with this library.",
+        "This work is licensed under the GNU Lesser General Public License, version 3"),
+    "agpl": (
+        "This program is free software: you can redistribute it and/or modify it under the terms of the "
+        "GNU Affero General Public License as published by the Free Software Foundation, either version 3 "
+        "of the License, or (at your option) any later version.",
+        "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without "
+        "even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU "
+        "Affero General Public License for more details.",
+        "You should have received a copy of the GNU Affero General Public License along with this program.",
+        "This work is licensed under the GNU Affero General Public License, version 3"),
+    "mpl-2.0": (
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a "
+        "copy of the MPL was not distributed with this file, You can obtain one at",),
+    "epl-2.0": (
+        "This program and the accompanying materials are made available under the terms of the Eclipse "
+        "Public License 2.0 which is available at",),
+    "isc": (
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without "
+        "fee is hereby granted, provided that the above copyright notice and this permission notice appear "
+        "in all copies.",
+        "THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS "
+        "SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE "
+        "AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES "
+        "WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, "
+        "NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE "
+        "OF THIS SOFTWARE."),
+    "bsl-1.0": (
+        "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of "
+        "the software and accompanying documentation covered by this license (the Software) to use, "
+        "reproduce, display, distribute, execute, and transmit the Software, and to prepare derivative "
+        "works of the Software, and to permit third-parties to whom the Software is furnished to do so, "
+        "all subject to the following:",
+        "Distributed under the Boost Software License, Version 1.0"),
+    "busl-1.1": ("Use of this software is governed by the Business Source License included in the file",),
+    "zlib": (
+        "This software is provided 'as-is', without any express or implied warranty. In no event will the "
+        "authors be held liable for any damages arising from the use of this software.",
+        "Permission is granted to anyone to use this software for any purpose, including commercial "
+        "applications, and to alter it and redistribute it freely, subject to the following restrictions:",
+        "The origin of this software must not be misrepresented; you must not claim that you wrote the "
+        "original software.",
+        "Altered source versions must be plainly marked as such, and must not be misrepresented as being "
+        "the original software.",
+        "This notice may not be removed or altered from any source distribution."),
     "cc-by": ("This work is licensed under a Creative Commons Attribution 4.0 International License",
-              "Licensed under CC BY"),
-    "unlicense": ("This is free and unencumbered software released into the public domain",),
+              "Licensed under CC BY 4.0"),
+    "cc-by-sa": ("This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License",
+                 "Licensed under CC BY-SA 4.0"),
+    "cc-by-nc": ("This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License",
+                 "Licensed under CC BY-NC 4.0"),
+    "cc-by-nd": ("This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License",
+                 "Licensed under CC BY-ND 4.0"),
+    "cc-by-nc-sa": ("This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 "
+                    "International License", "Licensed under CC BY-NC-SA 4.0"),
+    "cc-by-nc-nd": ("This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 "
+                    "International License", "Licensed under CC BY-NC-ND 4.0"),
+    "cc0": ("To the extent possible under law, the author has waived all copyright and related or neighboring "
+            "rights to this work", "This work is dedicated to the public domain under CC0 1.0 Universal"),
+    "unlicense": (
+        "This is free and unencumbered software released into the public domain.",
+        "Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in "
+        "source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any "
+        "means."),
 }
 #: Shortest run of words that counts as a match.
 RUN = 4
 #: Words of the text that may lie between two chained matches.
 GAP = 40
-#: Share of a template that a span must cover to give its label.
+#: Share of a template and of the foreign words in its span that must be covered to give its label.
 COVERED = 0.5
 
 # A-Z become a-z; ASCII other than letters and digits separates; bytes of other letters stay.
@@ -167,7 +276,7 @@ class LicenseScanner:
         }
 
     def _spans(self, words: list[bytes]) -> list[dict]:
-        """Chained spans of the templates, those of a single short match left out."""
+        """Chained spans of the templates; of overlapping ones the one that explains most words."""
         known = np.fromiter(map(self.known.__contains__, words), np.bool_, len(words))
         edges = np.flatnonzero(np.diff(np.concatenate([[False], known, [False]]).astype(np.int8)))
         out: dict[int, list[tuple[int, int, int, int]]] = {}
@@ -177,29 +286,38 @@ class LicenseScanner:
             for a, b, state in self.automaton.matches(words[start:end], RUN):
                 for k, stop in self.automaton.ends[state]:
                     out.setdefault(k, []).append((start + a, start + b, stop - (b - a), stop))
-        return sorted((s for k, found in out.items() for s in self._chain(k, found)),
-                      key=lambda s: (s["start"], s["end"], s["label"]))
+        found = sorted((s for k, matches in out.items() for s in self._chain(k, matches)),
+                       key=lambda s: (s["coverage"] < COVERED, -s["net"], -s["coverage"], s["start"], s["label"]))
+        starts, kept = [], []                 # disjoint, in the order of the text
+        for s in found:
+            at = bisect.bisect_left(starts, s["end"])
+            if at == 0 or kept[at - 1]["end"] <= s["start"]:
+                starts.insert(at, s["start"])
+                kept.insert(at, s)
+        return [{name: s[name] for name in ("label", "start", "end", "coverage")} for s in kept]
 
     def _chain(self, k: int, found: list[tuple[int, int, int, int]]) -> list[dict]:
-        """Best chains of one template; a match joins the chain that then covers most."""
+        """Best chains of one template; a match joins the chain that then has most, less foreign words."""
         found.sort()
-        best: list[tuple[int, int]] = []      # covered words, first match of the chain
+        best: list[tuple[int, int, int]] = []      # covered less foreign words, covered words, first match
         low = 0
         for at, (a, b, u, v) in enumerate(found):
-            while found[low][1] < a - GAP - self.sizes[k]:
+            while found[low][1] < a - GAP:
                 low += 1
-            top, first = b - a, at
+            top = (b - a, b - a, at)
             for j in range(low, at):
                 c, d, x, y = found[j]
-                if d <= a and y <= u and a - d <= GAP and best[j][0] + b - a > top:
-                    top, first = best[j][0] + b - a, best[j][1]
-            best.append((top, first))
-        spans: dict[int, tuple[int, int]] = {}
-        for at, (covered, first) in enumerate(best):
-            if covered > spans.get(first, (0, 0))[0]:
-                spans[first] = (covered, found[at][1])
-        return [{"label": self.labels[k], "start": found[first][0], "end": end,
-                 "coverage": min(1.0, covered / self.sizes[k])} for first, (covered, end) in spans.items()]
+                net = best[j][0] - (a - d) + b - a
+                if d <= a and y <= u and net > top[0]:
+                    top = (net, best[j][1] + b - a, best[j][2])
+            best.append(top)
+        spans: dict[int, tuple[int, int, int]] = {}
+        for at, (net, covered, first) in enumerate(best):
+            if net > spans.get(first, (0, 0, 0))[0]:
+                spans[first] = (net, covered, found[at][1])
+        return [{"label": self.labels[k], "start": found[first][0], "end": end, "net": net,
+                 "coverage": covered / (self.sizes[k] + covered - net)}
+                for first, (net, covered, end) in spans.items()]
 
 
 RESULT = ("struct<n_words:bigint,n_base:bigint,first_word:bigint,last_word:bigint,base_labels:array<string>,"

@@ -2,6 +2,7 @@
 
 import math
 import random
+import re
 import zlib
 from collections import Counter
 
@@ -16,7 +17,7 @@ from docketlake.llm.components import components
 from docketlake.llm.common import Staging
 from docketlake.llm.decontamination import Index, contaminated, terms_of
 from docketlake.llm.fingerprints import fingerprints
-from docketlake.llm.licenses import TEMPLATES, license_scan, words_of
+from docketlake.llm.licenses import PHRASES, TEMPLATES, LicenseScanner, license_scan, words_of
 from docketlake.llm.near_duplicates import near_duplicates
 from docketlake.llm.quality import fit_quality, held_out, ngrams, quality_score
 from docketlake.llm.secrets import find_secrets, redact, secret_spans
@@ -400,6 +401,50 @@ def test_licenses(spark):
     assert all(0 <= r.score <= 1 for r in rows) and rows[2].n_words == len(words_of(texts[2]))
 
 
+def test_licenses_of_every_paragraph_and_of_variants():
+    rnd = random.Random(30)
+    scanner = LicenseScanner(TEMPLATES, PHRASES)
+    for label, paragraphs in TEMPLATES.items():
+        for t in paragraphs:
+            found = scanner.scan(f"{prose(rnd, 20)} {t} {prose(rnd, 20)}")
+            assert [s["label"] for s in found["spans"]] == [label] and found["spans"][0]["coverage"] == 1, (label, t)
+        found = scanner.scan("\n\n".join(f"{prose(rnd, 50)}\n{t}" for t in paragraphs))
+        assert {s["label"] for s in found["spans"]} == {label}
+    # The notices of these licences under other wording than the templates'.
+    for text, label in (
+        ("Licensed under a Creative Commons Attribution-NonCommercial 3.0 Unported License", "cc-by-nc"),
+        ("this material is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License", "cc-by-sa"),
+        ("This file is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General "
+         "Public License as published by the Free Software Foundation; either version 3", "lgpl"),
+        ("you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by "
+         "the Free Software Foundation, version 3", "agpl"),
+    ):
+        spans = [s for s in scanner.scan(text)["spans"] if s["coverage"] >= 0.5]
+        assert [s["label"] for s in spans] == [label], (text, spans)
+    # Foreign words between the pieces count against a span.
+    words = TEMPLATES["mit"][2].split()
+    torn = " ".join(" ".join(words[i: i + 5]) + " " + prose(rnd, 12) for i in range(0, len(words), 5))
+    assert scanner.scan(torn)["labels"] == []
+
+
+def brute_base(text):
+    words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    places = [(i, label) for phrase, label in PHRASES.items() for i in range(len(words))
+              if words[i: i + len(phrase.split())] == phrase.split()]
+    at = [i for i, _ in places]
+    return len(words), len(at), min(at, default=None), max(at, default=None), sorted({label for _, label in places})
+
+
+def test_base_phrases_against_brute_force():
+    rnd = random.Random(31)
+    scanner = LicenseScanner(TEMPLATES, PHRASES)
+    for _ in range(3000):
+        text = "".join(rnd.choice(["cc", "by", "BY", "general", "public", "license", "All", "rights", "reserved", "é", "x1", "\u0130"])
+                       + rnd.choice([" ", "-", "\n", "", "\u2028", "."]) for _ in range(rnd.randrange(30)))
+        r = scanner.scan(text)
+        assert (r["n_words"], r["n_base"], r["first_word"], r["last_word"], r["base_labels"]) == brute_base(text), text
+
+
 def test_quality(spark):
     rnd = random.Random(12)
     junk = lambda: " ".join(rnd.choice(WORDS) + "###" for _ in range(rnd.randrange(1, 60)))
