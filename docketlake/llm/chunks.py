@@ -10,9 +10,9 @@ are then reported. So short common lines are left alone, and a passage is found
 where it holds at least one whole chunk; the README gives the share that holds none.
 
 Chunks are cut row by row. Only distinct digests of each task are shuffled to find the
-repeated ones; the chunks are joined to those in a join that adaptive execution can split,
-and first places are an aggregate. So a passage that a third of all texts share is no group
-anywhere. To extend, the bytes around each distinct place are cut from the texts once and
+repeated ones; the chunks are joined to those, and to first places, in joins that adaptive
+execution can split. So the places of a passage that a third of all texts share are spread
+over many tasks. To extend, the bytes around each distinct place are cut from the texts once and
 joined to the spans; spans that use all of them are tried again with more. Rows that repeat
 both id and text are one place; around ids with several texts nothing is extended. Null and
 empty texts have no chunks. Rows without an id take no part.
@@ -27,7 +27,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from docketlake.llm.common import Staging, pick
+from docketlake.llm.common import Staging, per_key, pick
 from docketlake.llm.shingles import mix
 
 #: A cut needs this many zero bits: chunks have 2**BITS + SMALLEST bytes on average.
@@ -239,12 +239,12 @@ def repeated_spans(docs: DataFrame, least: int = LEAST) -> DataFrame:
     texts = (pick(docs, "doc_id", "text").toDF("id", "text")
              .where(F.col("id").isNotNull() & (F.octet_length("text") > 0)))
     with Staging(spark, "chunks") as staging:
-        repeated = (texts.mapInArrow(_digest_counts, "digest bigint, low bigint, high bigint").groupBy("digest")
-                    .agg(F.min("low").alias("low"), F.max("high").alias("high")).where("low != high")
-                    .select("digest"))
+        repeated = (per_key(texts.mapInArrow(_digest_counts, "digest bigint, low bigint, high bigint"), "digest",
+                            F.min("low").alias("low"), F.max("high").alias("high"))
+                    .where("low != high").select("digest"))
         found = staging.save(texts.mapInArrow(_chunks, "digest bigint, id bigint, at bigint")
                              .join(repeated, "digest", "left_semi"))
-        first = found.groupBy("digest").agg(F.min(F.struct("id", "at")).alias("first"))
+        first = per_key(found, "digest", F.min(F.struct("id", "at")).alias("first"))
         later = (found.join(first, "digest")
                  .where((F.col("id") != F.col("first.id")) | (F.col("at") != F.col("first.at")))
                  .select("id", F.shiftright("at", 20).alias("start"),

@@ -7,6 +7,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from docketlake.operators.keys import apart
 from docketlake.session import configure, drop_scratch, scratch_path
 
 QUERIES: dict = {}
@@ -33,6 +34,14 @@ def pick(docs: DataFrame, *columns: str) -> DataFrame:
     return docs.select(*(docs[c] for c in columns))
 
 
+def per_key(df: DataFrame, key: str, *aggregates: Column) -> DataFrame:
+    """Aggregates per key, to be joined back to the rows of that key.
+
+    Grouped apart, so that adaptive execution can split the rows of a hot key in that join.
+    """
+    return df.groupBy(key, apart(key)).agg(*aggregates).drop("_apart")
+
+
 class Staging:
     """Tables written below the shared folder, so that a lost executor costs no recomputation.
 

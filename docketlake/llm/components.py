@@ -4,19 +4,19 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from docketlake.llm.common import Staging
+from docketlake.llm.common import Staging, per_key
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
     """Every larger neighbour of a node is linked to the node's smallest neighbour."""
     both = edges.select("u", "v").unionAll(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+    least = per_key(both, "u", F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
     return both.where(F.col("v") > F.col("u")).join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """A node and its smaller neighbours are linked to the smallest of them."""
-    least = edges.groupBy("u").agg(F.min("v").alias("m"))
+    least = per_key(edges, "u", F.min("v").alias("m"))
     moved = edges.join(least, "u").where(F.col("v") != F.col("m")).select(F.col("v").alias("u"), F.col("m").alias("v"))
     return moved.unionAll(least.select("u", F.col("m").alias("v")))
 

@@ -2,8 +2,9 @@
 
 1. Every text becomes its set of word shingles; equal sets are one class from then on, so
    copies cost nothing more.
-2. 128 universal hash minima per class, in 32 bands of 4. Two classes with similarity 0.8
-   miss every band with probability 5e-8.
+2. Universal hash minima per class, in bands; how many follows from the similarity asked for,
+   so that two classes of just that similarity miss every band with probability 5e-8 at
+   most: at 0.8 they are 32 bands of 4.
 3. Classes in a band bucket with others are candidates. A candidate more than a fifth of
    whose shingles no other candidate has can't reach the similarity with any, and leaves.
 4. In each bucket, all are compared with the candidate that shares most buckets, which in a
@@ -20,32 +21,51 @@ the smallest id represents a component.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from docketlake.llm.common import Staging, pick
+from docketlake.llm.common import Staging, per_key, pick
 from docketlake.llm.components import components
 from docketlake.llm.shingles import mix, shingler
 
-MINIMA, BANDS = 128, 32
-ROWS = MINIMA // BANDS
+#: Minima up to which bands get more rows, and the chance that a link misses all bands.
+MINIMA, MISSED = 128, 5e-8
 #: Classes of shingles whose counts bound an intersection.
 PROFILE = 256
-#: Five standard deviations of the estimated similarity below the threshold still pass.
-SLACK = 5 * (0.8 * 0.2 / MINIMA) ** 0.5
 
 
-def signer():
-    """``hashes -> minima`` of 128 universal hash functions, as signed 32-bit numbers."""
+def bands_for(share: int) -> tuple[int, int]:
+    """(bands, rows in a band) for links from ``share`` percent on: most rows that MINIMA allow."""
+    if not 1 <= share <= 100:
+        raise ValueError(f"share is a percentage from 1 to 100, not {share}")
+    found = None
+    for rows in range(1, MINIMA + 1):
+        hit = (share / 100) ** rows
+        bands = 1 if hit == 1 else math.ceil(math.log(MISSED) / math.log1p(-hit))
+        if found and bands * rows > MINIMA:
+            break
+        found = bands, rows
+    return found
+
+
+def least_agreement(share: int, minima: int) -> int:
+    """Agreeing minima that a link has: five standard deviations below the expected number pass."""
+    s = share / 100
+    return max(0, int(minima * (s - 5 * (s * (1 - s) / minima) ** 0.5)))
+
+
+def signer(minima: int):
+    """``hashes -> minima`` of as many universal hash functions, as signed 32-bit numbers."""
     random = np.random.default_rng(20240229)
-    a = random.integers(0, 2**64, MINIMA, np.uint64)[:, None] | np.uint64(1)
-    b = random.integers(0, 2**64, MINIMA, np.uint64)[:, None]
+    a = random.integers(0, 2**64, minima, np.uint64)[:, None] | np.uint64(1)
+    b = random.integers(0, 2**64, minima, np.uint64)[:, None]
 
     def sign(hashes: np.ndarray) -> np.ndarray:
-        low = np.full(MINIMA, 2**32 - 1, np.uint64)
+        low = np.full(minima, 2**32 - 1, np.uint64)
         keys = hashes >> np.uint64(32)
         for at in range(0, len(keys), 2048):
             part = (a * keys[None, at: at + 2048] + b) >> np.uint64(32)
@@ -67,10 +87,10 @@ def _profile(hashes: np.ndarray) -> np.ndarray:
     return np.minimum(counts, 32767).astype(np.int16)
 
 
-def _features(docs: DataFrame, k: int, whole_sets: bool) -> DataFrame:
+def _features(docs: DataFrame, k: int, minima: int, whole_sets: bool) -> DataFrame:
     """(id, n, d1, d2) and the minima; for candidates the sets besides."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingles, sign = shingler(k), signer()
+        shingles, sign = shingler(k), signer(minima)
         for batch in batches:
             sets = [shingles(t or "") for t in batch["text"].to_pylist()]
             columns = {
@@ -95,7 +115,8 @@ def _alike(share: int) -> Column:
     same = F.size(F.filter(F.zip_with("minima_a", "minima_b", lambda x, y: x == y), lambda v: v))
     both = F.size(F.array_intersect("hashes_a", "hashes_b"))
     union = F.size("hashes_a") + F.size("hashes_b") - both
-    return (same >= int(MINIMA * (share / 100 - SLACK))) & (100 * both >= share * union)
+    bands, rows = bands_for(share)
+    return (same >= least_agreement(share, bands * rows)) & (100 * both >= share * union)
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, share: int) -> DataFrame:
@@ -127,20 +148,23 @@ def near_duplicates(docs: DataFrame, k: int = 5, share: int = 80) -> DataFrame:
     row's own. Links: ``100 * intersection >= share * union`` of the shingle sets.
     """
     spark = docs.sparkSession
+    n_bands, n_rows = bands_for(share)
+    minima = n_bands * n_rows
     texts = pick(docs, "doc_id", "text").toDF("id", "text")
     with Staging(spark, "near") as staging:
-        features = staging.save(_features(texts, k, whole_sets=False))
+        features = staging.save(_features(texts, k, minima, whole_sets=False))
         classes = staging.save(
             features.where(F.col("id").isNotNull() & (F.col("n") > 0)).groupBy("n", "d1", "d2")
             .agg(F.min("id").alias("id"), F.first("minima").alias("minima"))
         )
         bands = classes.select("id", "n", F.posexplode(F.transform(
-            F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda b: F.xxhash64(b, F.slice("minima", b * ROWS + 1, F.lit(ROWS)))
+            F.sequence(F.lit(0), F.lit(n_bands - 1)),
+            lambda b: F.xxhash64(b, F.slice("minima", b * n_rows + 1, F.lit(n_rows)))
         )).alias("band", "bucket"))
-        shared = bands.groupBy("bucket").agg(F.count("*").alias("_size")).where("_size > 1").select("bucket")
+        shared = per_key(bands, "bucket", F.count("*").alias("_size")).where("_size > 1").select("bucket")
         members = staging.save(bands.join(shared, "bucket", "left_semi"))
         candidates = members.select("id").distinct()
-        sets = staging.save(_features(texts.join(candidates, "id", "left_semi"), k, whole_sets=True))
+        sets = staging.save(_features(texts.join(candidates, "id", "left_semi"), k, minima, whole_sets=True))
 
         # Shingles that one candidate alone has.
         alone = (sets.select("id", F.explode("hashes").alias("h")).groupBy("h")
@@ -170,11 +194,11 @@ def near_duplicates(docs: DataFrame, k: int = 5, share: int = 80) -> DataFrame:
 
 def _star_links(members: DataFrame, sets: DataFrame, share: int) -> DataFrame:
     """Confirmed links of all in a bucket with the one that shares most buckets."""
-    sizes = members.groupBy("bucket").agg(F.count("*").alias("size"))
+    sizes = per_key(members, "bucket", F.count("*").alias("size"))
     weight = members.join(sizes, "bucket").groupBy("id").agg(F.sum("size").alias("weight"))
     weighed = members.join(weight, "id")
-    centre = weighed.groupBy("bucket").agg(
-        F.max(F.struct("weight", (-F.col("id")).alias("neg"), "n", "own")).alias("c")
+    centre = per_key(
+        weighed, "bucket", F.max(F.struct("weight", (-F.col("id")).alias("neg"), "n", "own")).alias("c")
     ).select("bucket", F.struct((-F.col("c.neg")).alias("id"), "c.n", "c.own").alias("c"))
     pairs = (
         members.select("bucket", F.struct("id", "n", "own").alias("m")).join(centre, "bucket")
@@ -193,7 +217,7 @@ def _remaining_pairs(members: DataFrame, parts: DataFrame, sets: DataFrame, shar
     placed = (members.join(parts, "id", "left")
               .withColumn("component", F.coalesce("component", "id")))
     per = placed.groupBy("bucket", "component").agg(F.count("*").alias("size"))
-    largest = (per.groupBy("bucket").agg(F.max(F.struct("size", "component")).alias("top"), F.count("*").alias("parts"))
+    largest = (per_key(per, "bucket", F.max(F.struct("size", "component")).alias("top"), F.count("*").alias("parts"))
                .where("parts > 1").select("bucket", F.col("top.component").alias("main")))
     open_ = placed.join(largest, "bucket")
     keys = placed.groupBy("id").agg(F.sort_array(F.collect_set("bucket")).alias("keys"))   # at most one per band

@@ -20,7 +20,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from docketlake.llm.common import Staging, pick, whole
+from docketlake.llm.common import Staging, per_key, pick, whole
 
 SHARDS = 40
 ROUNDS = 6
@@ -130,7 +130,7 @@ def balanced_shards(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS)
         total = rows.count()
         parts = max(16, -(-total // ROWS_TOGETHER))
         quotas = [total // shards + (s < total % shards) for s in range(shards)]
-        groups = rows.groupBy("group").agg(F.count("*").alias("_n")).where("_n > 1").select("group")
+        groups = per_key(rows, "group", F.count("*").alias("_n")).where("_n > 1").select("group")
         linked = staging.save(rows.join(groups, "group", "left_semi"))
         cells = staging.save(linked.groupBy("group", by_hash.alias("shard")).agg(F.count("*").alias("n")))
         for number in range(rounds):

@@ -18,7 +18,7 @@ from docketlake.llm.common import Staging
 from docketlake.llm.decontamination import Index, contaminated, terms_of
 from docketlake.llm.fingerprints import fingerprints
 from docketlake.llm.licenses import PHRASES, TEMPLATES, LicenseScanner, license_scan, words_of
-from docketlake.llm.near_duplicates import near_duplicates
+from docketlake.llm.near_duplicates import bands_for, least_agreement, near_duplicates
 from docketlake.llm.quality import fit_quality, held_out, ngrams, quality_score
 from docketlake.llm.secrets import find_secrets, redact, secret_spans
 from docketlake.llm.sharding import balanced_shards
@@ -126,6 +126,29 @@ def test_near_duplicates(spark, texts, k):
     assert got == brute_components(texts, k)
 
 
+@pytest.mark.parametrize("share", [50, 95])
+def test_near_duplicates_of_other_shares(spark, share):
+    rnd = random.Random(share)
+    base = [prose(rnd, 60).split() for _ in range(8)]
+    texts = []
+    for _ in range(120):
+        words = list(rnd.choice(base))
+        for _ in range(rnd.randrange(8)):
+            words[rnd.randrange(len(words))] = rnd.choice(WORDS)
+        texts.append(" ".join(words))
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_duplicates(table(spark, texts), 2, share).collect()}
+    assert got == brute_components(texts, 2, share)
+
+
+def test_bands_follow_the_share():
+    assert bands_for(80) == (32, 4) and least_agreement(80, 128) == 79
+    for share in (1, 20, 50, 80, 95, 99):
+        bands, rows = bands_for(share)
+        assert (1 - (share / 100) ** rows) ** bands <= 5e-8
+    with pytest.raises(ValueError):
+        bands_for(0)
+
+
 def test_near_duplicates_of_nothing_and_of_repeated_rows(spark):
     assert near_duplicates(table(spark, [])).collect() == []
     docs = table(spark, ["a b c d e f", None]).unionAll(table(spark, ["a b c d e f"])).unionAll(
