@@ -237,17 +237,20 @@ def action_profile(digests: DataFrame) -> DataFrame:
 def orphans(children: dict[str, DataFrame], actions: DataFrame) -> DataFrame:
     """Per child table, the number of rows whose action does not exist.
 
-    Children are counted by action first, so one action with very many children
-    is a single row in the join.
+    Children and actions meet in one aggregate by action, without a join: no set of all
+    keys is broadcast, and one action with very many children is a few rows in the
+    shuffle.
     """
-    counted = None
-    for name, df in children.items():
-        one = df.groupBy("action_id").agg(F.count("*").alias("n")).select(
-            F.lit(name).alias("table"), "action_id", "n")
-        counted = one if counted is None else counted.unionAll(one)
-    known = actions.select(F.col("id").alias("action_id"))
-    missing = counted.join(known, "action_id", "left_anti")
-    return missing.groupBy("table").agg(F.sum("n").alias("n"))
+    rows = actions.where(F.col("id").isNotNull()).select(F.col("id").alias("action_id"), F.lit(-1).alias("_table"))
+    for number, df in enumerate(children.values()):
+        rows = rows.unionAll(df.select("action_id", F.lit(number).alias("_table")))
+    counts = {name: f"_n{number}" for number, name in enumerate(children)}
+    missing = rows.groupBy("action_id").agg(
+        F.count_if(F.col("_table") == -1).alias("_known"),
+        *[F.count_if(F.col("_table") == number).alias(n) for number, n in enumerate(counts.values())],
+    ).where("_known = 0").agg(*[F.sum(n).alias(n) for n in counts.values()])
+    each = F.explode(F.array(*[F.struct(F.lit(name).alias("table"), F.col(n).alias("n")) for name, n in counts.items()]))
+    return missing.select(each.alias("_each")).select("_each.*").where("n > 0")
 
 
 def key_violations(tables: dict[str, DataFrame]) -> DataFrame:

@@ -61,6 +61,20 @@ def test_top_lists_do_not_sort_everything(spark):
         assert "TakeOrderedAndProject" in plan(QUERIES[name](spark, SF))
 
 
+def test_orphans_hold_no_set_of_all_keys(spark):
+    """Keys may be null or repeat; the actions' ids are neither broadcast nor joined."""
+    actions = spark.createDataFrame([(1,), (2,), (2,), (None,)], "id BIGINT")
+    children = {
+        "respondents": spark.createDataFrame([(1,), (2,), (2,)], "action_id BIGINT"),
+        "violations": spark.createDataFrame([(3,), (3,), (-1,), (1,), (None,)], "action_id BIGINT"),
+        "sanctions": spark.createDataFrame([(3,), (2,)], "action_id BIGINT")}
+    lost = L.orphans(children, actions)
+    assert {tuple(r) for r in lost.collect()} == {("violations", 4), ("sanctions", 1)} and lost.columns == ["table", "n"]
+    assert L.orphans(children, actions.where("false")).agg(F.sum("n")).first()[0] == 10
+    text = plan(QUERIES["fk_orphans"](spark, SF))
+    assert "Broadcast" not in text and "Join" not in text
+
+
 def test_scans_read_only_what_they_need(spark):
     text = plan(QUERIES["top_respondents"](spark, SF))
     assert "ReadSchema: struct<o_custkey:bigint>" in text
