@@ -241,7 +241,8 @@ def load_records(spark: SparkSession, base: str, digests: DataFrame, order: list
     # without the nested columns. The counts come from this write.
     staged, seen = scratch_path(spark, "load"), Observation()
     sized = L.with_sizes(L.classify(digests, days)).withColumn("_row", F.monotonically_increasing_id())
-    sized.observe(seen, *L.load_metrics(sized.columns), *L.total_metrics()).write.parquet(staged)
+    sized.observe(seen, *L.load_metrics(sized.columns), *L.total_metrics()).where(
+        F.col("load_outcome").isin("loaded", "error")).write.parquet(staged)
     classified, counts = spark.read.parquet(staged), seen.get
     if replace_years and counts["loaded"] == 0:
         raise ValueError("nothing to load in place of the stored years")

@@ -94,6 +94,18 @@ def test_ids_are_dense_and_in_order_with_a_hot_date(spark):
         assert (r.repeated_keys, r.null_rows) == (0, 0)
 
 
+def test_what_is_not_loaded_is_counted_and_not_staged(spark, monkeypatch):
+    from docketlake.plans import stages
+
+    base, staged = scratch_path(spark, "test"), []
+    load_records(spark, base, frame(spark, [digest("2001-01-01", [action(1)])]), ORDER)
+    monkeypatch.setattr(stages, "drop_scratch", lambda spark, *paths: staged.extend(paths))
+    rows = [digest("2001-01-01", [action(4)]), digest("2001-01-02", []), digest("2001-01-03", [action(2)]), digest(None, [action(1)])]
+    stats = load_records(spark, base, frame(spark, rows), ORDER).first()
+    assert tuple(stats) == (1, 1, 1, 1, 1, 1, 0)
+    assert rows_of(spark.read.parquet(staged[0]), "load_outcome") == [("error",), ("loaded",)]
+
+
 def test_same_record_twice_loads_twice(spark):
     base = scratch_path(spark, "test")
     twin = digest("2001-01-01", [action(1)])
