@@ -145,24 +145,41 @@ def with_sizes(digests: DataFrame) -> DataFrame:
     return digests.withColumns(sizes)
 
 
+#: Stored bytes of nested rows that one range holds, and the most ranges.
+RANGE_BYTES, MOST_RANGES = 16 << 20, 4096
+
+
+def _ranges(digests: DataFrame) -> int:
+    """Ranges for :func:`with_offsets`: two a core at least, more for more bytes."""
+    size = int(digests._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    cores = digests.sparkSession.sparkContext.defaultParallelism
+    return min(max(size // RANGE_BYTES, 2 * cores), MOST_RANGES)
+
+
 def with_offsets(digests: DataFrame, order: list[str]) -> DataFrame:
     """Adds to each digest, per table, the number of rows that all digests before it bring.
 
     ``order`` must be unique. A prefix sum without a global window or a join back: sizes
     and order alone are dealt over ranges, of which each keeps its lowest key and its
     totals (one row a range). By those keys the digests are dealt to the same ranges, the
-    one exchange that moves nested rows, and summed up inside each.
+    one exchange that moves nested rows, and summed up inside each. There are as many
+    ranges as the nested rows need, and a digest's is found by halving.
     """
     sized = digests if f"n_{KINDS[-1]}" in digests.columns else with_sizes(digests)
     counts = [f"n_{k}" for k in KINDS]
     key = F.struct(*order)
-    dealt = sized.select(*order, *counts).repartitionByRange(*order).withColumn("_part", F.spark_partition_id())
+    dealt = sized.select(*order, *counts).repartitionByRange(_ranges(sized), *order).withColumn(
+        "_part", F.spark_partition_id())
     ranges = dealt.groupBy("_part").agg(F.min(key).alias("_low"), *[F.sum(c).alias(c) for c in counts])
     earlier = Window.orderBy("_low").rowsBetween(Window.unboundedPreceding, -1)
     starts = ranges.select("_low", *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"_{c}") for c in counts])
-    bounds = starts.agg(F.sort_array(F.collect_list(F.struct("_low", *[f"_{c}" for c in counts]))).alias("_ranges"))
-    at = F.size(F.filter("_ranges", lambda r: r["_low"] <= key)) - 1
-    placed = sized.withColumn("_ranges", bounds.scalar()).withColumn("_start", F.get("_ranges", at)).drop("_ranges")
+    rows = F.sort_array(F.collect_list(F.struct("_low", *[f"_{c}" for c in counts])))
+    halves = F.transform(F.sequence(F.ceil(F.log2(F.count("*"))).cast("int"), F.lit(0), F.lit(-1)),
+                         lambda n: F.pow(F.lit(2), n).cast("int"))
+    bounds = starts.agg(F.struct(rows.alias("rows"), halves.alias("halves")).alias("_ranges"))
+    at = F.aggregate("_ranges.halves", F.lit(-1), lambda low, half: F.when(
+        F.get("_ranges.rows", low + half)["_low"] <= key, low + half).otherwise(low))
+    placed = sized.withColumn("_ranges", bounds.scalar()).withColumn("_start", F.get("_ranges.rows", at)).drop("_ranges")
     inside = Window.partitionBy("_start").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     return placed.withColumns({
         f"{k}_offset": F.coalesce(F.sum(f"n_{k}").over(inside), F.lit(0)) + F.col(f"_start._n_{k}") for k in KINDS

@@ -177,6 +177,21 @@ def test_offsets_survive_recomputation(spark):
         total += i % 3
 
 
+def test_ranges_follow_the_nested_rows(spark, monkeypatch):
+    """More stored bytes are dealt over more ranges, and each digest still finds its own."""
+    path = scratch_path(spark, "sized")
+    spark.range(300).select(F.lpad(F.col("id").cast("string"), 4, "0").alias("f"), F.repeat(F.uuid(), 20).alias("text"),
+                            *[(F.col("id") % 3).alias(f"n_{k}") for k in L.KINDS]).write.parquet(path)
+    df = spark.read.parquet(path)
+    for size, most, parts in ((1 << 30, 4096, 8), (1, 37, 37), (1, 64, 64)):
+        monkeypatch.setattr(L, "RANGE_BYTES", size)
+        monkeypatch.setattr(L, "MOST_RANGES", most)
+        out = L.with_offsets(df, ["f"])
+        assert re.search(rf"rangepartitioning\(f#\d+ ASC NULLS FIRST, {parts}\)", plan(out))
+        offsets = [r.actions_offset for r in out.select("f", "actions_offset").orderBy("f").collect()]
+        assert offsets == [sum(j % 3 for j in range(i)) for i in range(300)]
+
+
 def test_broadcast_of_dates_only(spark):
     from docketlake.operators.keys import known_keys
 
